@@ -64,17 +64,33 @@ def number(name: str, dtype: T.DataType) -> Column:
         return F.when(~F.isnan(c), c.cast("double"))
     if isinstance(dtype, (T.NumericType, T.BooleanType)):
         return c.cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(instant(c, dtype)).cast("double")
     return F.lit(None).cast("double")
 
 
-def timestamp(name: str, dtype: T.DataType) -> Column:
-    """The cell as a UTC timestamp; null where a text is not a date."""
-    c = column(name)
-    return c.try_cast("timestamp") if is_text(dtype) else c.cast("timestamp")
+def instant(c: Column, dtype: T.DataType) -> Column:
+    """A date or time as a timestamp, reading one without a zone as UTC.
+
+    A text is read in the session's zone, which should be UTC; one that is no date is null.
+    """
+    if is_text(dtype):
+        return c.try_cast("timestamp")
+    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz")))
+    return c
+
+
+def latest(name: str, dtype: T.DataType) -> Column:
+    """The aggregate that finds a column's last instant; finish with :func:`latest_instant`."""
+    return F.max(instant(column(name), dtype) if is_text(dtype) else column(name))
+
+
+def latest_instant(aggregated: str, dtype: T.DataType) -> Column:
+    """What :func:`latest` found, as a timestamp."""
+    found = column(aggregated)
+    return found if is_text(dtype) else instant(found, dtype)
 
 
 def missing(name: str, dtype: T.DataType | None) -> Column:

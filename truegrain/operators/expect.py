@@ -130,7 +130,7 @@ def _type_fits(dtype: T.DataType, wanted: str) -> bool:
     if wanted == "float":
         return isinstance(dtype, T.NumericType)
     if wanted == "timestamp":
-        return isinstance(dtype, (T.TimestampType, T.DateType))
+        return isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
     return dtype == TYPES[wanted]
 
 

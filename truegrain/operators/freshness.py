@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truegrain.functions.cells import column
+from truegrain.functions import cells
 from truegrain.operators import measures
 
 
@@ -41,15 +41,20 @@ def sla_frame(spark: SparkSession, slas: Sequence[FreshnessSLA]) -> DataFrame:
 
 def latest_by(df: DataFrame, timestamp: str, table: str) -> DataFrame:
     """``table_name, latest_timestamp`` for each value of a column."""
-    return df.groupBy(column(table).alias("table_name")).agg(
-        F.max(column(timestamp).cast("timestamp")).alias("latest_timestamp")
+    dtype = df.schema[timestamp].dataType
+    newest = df.groupBy(cells.column(table).alias("table_name")).agg(
+        cells.latest(timestamp, dtype).alias("newest")
     )
+    return newest.select("table_name", cells.latest_instant("newest", dtype).alias("latest_timestamp"))
 
 
 def latest_of(df: DataFrame, timestamp: str, table_name: str) -> DataFrame:
     """``table_name, latest_timestamp`` of a whole table, null if it is empty."""
-    return df.agg(F.max(column(timestamp).cast("timestamp")).alias("latest_timestamp")).select(
-        F.lit(table_name).alias("table_name"), "latest_timestamp"
+    dtype = df.schema[timestamp].dataType
+    newest = df.agg(cells.latest(timestamp, dtype).alias("newest"))
+    return newest.select(
+        F.lit(table_name).alias("table_name"),
+        cells.latest_instant("newest", dtype).alias("latest_timestamp"),
     )
 
 

@@ -199,7 +199,7 @@ def dimension_scores(
         dtype = cells.dtype_of(df, spec.timestamp)
         if dtype is None:
             raise ValueError(f"timeliness column {spec.timestamp!r} is not in the table")
-        aggregates.append(F.max(cells.timestamp(spec.timestamp, dtype)).alias("latest"))
+        aggregates.append(cells.latest(spec.timestamp, dtype).alias("latest"))
     facts = df.groupBy(*by).agg(*aggregates)
 
     if "uniqueness" in wanted:
@@ -222,7 +222,8 @@ def dimension_scores(
     if "uniqueness" in wanted:
         scores["uniqueness"] = share_passed(F.col("excess"), F.col("key_rows"))
     if "timeliness" in wanted:
-        scores["timeliness"] = timeliness_score(F.col("latest"), spec.sla_hours, as_of)
+        newest = cells.latest_instant("latest", cells.dtype_of(df, spec.timestamp))
+        scores["timeliness"] = timeliness_score(newest, spec.sla_hours, as_of)
     return facts.select(
         *by, "row_count", *(scores[d].alias(f"score_{d}") for d in wanted)
     )
@@ -319,3 +320,25 @@ def reference_violations(df: DataFrame, name: str, reference: DataFrame, key: st
         "checked",
         share_passed(F.col("violations"), F.col("checked")).alias("accuracy"),
     )
+
+
+def issue_profile(
+    df: DataFrame,
+    nulls: Sequence[str] = (),
+    negatives: Sequence[str] = (),
+    sets: Mapping[str, Iterable] | None = None,
+    unique: Sequence[str] = (),
+) -> DataFrame:
+    """Counts of planted or suspected faults in one row: rows, nulls, negatives, odd values, repeats."""
+    counts = [F.count("*").alias("total_rows")]
+    counts += [F.count_if(cells.column(c).isNull()).alias(f"null_{c}") for c in nulls]
+    counts += [F.count_if(cells.column(c) < 0).alias(f"negative_{c}") for c in negatives]
+    counts += [
+        F.count_if(cells.not_in_set(c, allowed)).alias(f"invalid_{c}")
+        for c, allowed in (sets or {}).items()
+    ]
+    profile = df.agg(*counts)
+    if not unique:
+        return profile
+    repeats = key_counts(df, unique).select(F.col("excess").alias("duplicate_" + "_".join(unique)))
+    return profile.crossJoin(F.broadcast(repeats))  # two global aggregates: one row each

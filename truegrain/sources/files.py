@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,18 @@ def null_tokens(df: DataFrame) -> DataFrame:
     )
 
 
+def _typed(name: str, dtype: T.DataType) -> Column:
+    """A text cell as its type. A whole number may be written with a fraction, as 3.0."""
+    value = cells.column(name)
+    if isinstance(dtype, T.IntegralType):
+        as_number = cells.number(name, T.StringType())
+        whole = F.when(as_number == F.floor(as_number), as_number.try_cast(dtype))
+        return F.coalesce(value.try_cast(dtype), whole)
+    if isinstance(dtype, T.FractionalType):
+        return cells.number(name, T.StringType()).cast(dtype)
+    return value.try_cast(dtype)
+
+
 def read_bronze(
     spark: SparkSession,
     path: str,
@@ -72,7 +84,7 @@ def read_bronze(
         given = {f.name: f.dataType for f in schema.fields}
         return raw.select(
             *(
-                cells.column(c).try_cast(given[c]).alias(c) if c in given else cells.column(c)
+                _typed(c, given[c]).alias(c) if c in given else cells.column(c)
                 for c in raw.columns
             )
         )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from truegrain.functions import cells
 from truegrain.operators.score import long_scores
 from truegrain.sources.files import read_raw
 
@@ -30,7 +31,8 @@ def land_bronze(spark: SparkSession, source: str, target: str, multi_line: bool
     return write_raw(read_raw(spark, source, multi_line), target)
 
 
-def write_silver(df: DataFrame, path: str) -> str:
+def write_parquet(df: DataFrame, path: str) -> str:
+    """Write or replace a layer."""
     df.write.mode("overwrite").parquet(path)
     return path
 
@@ -58,12 +60,21 @@ def append_scores(card: DataFrame, path: str) -> str:
     The long form takes any set of dimensions, so runs with different ones share a table.
     Partitioned by pipeline for reading one at a time.
     """
-    long_scores(card, list(RUN_COLUMNS)).write.mode("append").partitionBy("pipeline_name").parquet(path)
+    run_at = cells.instant(F.col("scored_at"), card.schema["scored_at"].dataType)
+    runs = card.withColumn("scored_at", run_at)
+    long_scores(runs, list(RUN_COLUMNS)).write.mode("append").partitionBy("pipeline_name").parquet(path)
     return path
 
 
+HISTORY_SCHEMA = (
+    "scored_at timestamp, total_score double, status string, hard_block_triggered string, "
+    "dimension string, score double, pipeline_name string"
+)
+
+
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """The history in long form. The schema is given, so a pipeline named ``2024`` stays text."""
+    return spark.read.schema(HISTORY_SCHEMA).parquet(path)
 
 
 def wide_scores(history: DataFrame, dimensions: list[str]) -> DataFrame:
@@ -74,6 +85,13 @@ def wide_scores(history: DataFrame, dimensions: list[str]) -> DataFrame:
     )
 
 
+def append_scores_csv(card: DataFrame, path: str) -> str:
+    """Add score runs to a wide CSV history; every run in it must have the same dimensions."""
+    dims = [c for c in card.columns if c.startswith("score_")]
+    card.select(*RUN_COLUMNS, *dims).write.mode("append").option("header", True).csv(path)
+    return path
+
+
 FRESHNESS_COLUMNS = (
     "table_name", "checked_at", "age_hours", "sla_hours", "severity", "is_breached", "message",
 )
