@@ -136,6 +136,9 @@ def scorecard(
     Columns: ``pipeline_name, by, scored_at, row_count, score_<dimension>..., total_score,
     status, hard_block_triggered``.
     """
+    taken = {"pipeline_name", "scored_at", "row_count", "total_score", "status", "hard_block_triggered"}
+    if taken & set(by):
+        raise ValueError(f"rename the grouping columns {sorted(taken & set(by))}: the scorecard uses them")
     scored = with_score(measures.dimension_scores(df, spec, as_of, by), config)
     dims = [c for c in scored.columns if c.startswith("score_")]
     return scored.select(

@@ -348,13 +348,10 @@ def scorecard_orders(spark, sf_dir):
 
 @query
 def scorecard_by_group(spark, sf_dir):
+    orders = views.contract_orders(spark, sf_dir).withColumn("order_status", F.col("status"))
     card = score.scorecard(
-        views.contract_orders(spark, sf_dir),
-        settings.ORDERS_SPEC,
-        settings.ORDERS_CONFIG,
-        ORDERS_AS_OF,
-        by=["status"],
-    ).withColumnsRenamed({"status": "status"})
+        orders, settings.ORDERS_SPEC, settings.ORDERS_CONFIG, ORDERS_AS_OF, by=["order_status"]
+    )
     return _round_scores(card)
 
 
