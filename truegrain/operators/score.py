@@ -80,8 +80,12 @@ def weighted_score(scores: DataFrame, config: DataFrame) -> DataFrame:
     )
     blocked = F.col("score") < F.col("hard_block")
     message = block_message(F.col("dimension"), F.col("score"), F.col("hard_block"))
+    # Parts are added up in configuration order, so the last digit never depends on task order.
+    parts = F.sort_array(
+        F.collect_list(F.struct("ord", (F.col("score") * F.col("weight")).alias("part")))
+    )
     totals = lines.groupBy("pipeline_name", "run_id").agg(
-        F.sum(F.col("score") * F.col("weight")).alias("total"),
+        F.aggregate(parts, F.lit(0.0), lambda total, p: total + p["part"]).alias("total"),
         F.min(F.when(blocked, F.struct("ord", message.alias("text")))).alias("first_block"),
         F.first("pass_threshold").alias("pass_threshold"),
         F.first("warn_threshold").alias("warn_threshold"),

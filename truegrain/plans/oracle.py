@@ -96,6 +96,11 @@ def total(*tests: str) -> str:
     return "(" + " + ".join(f"count(*) FILTER (WHERE {t})" for t in tests) + ")"
 
 
+def half_up(value: str, digits: int) -> str:
+    """Round the shortest decimal text of a double, ties away from zero."""
+    return f"round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 20)), {digits})"
+
+
 def share(failed: str, checked: str) -> str:
     return f"(CASE WHEN {checked} > 0 THEN 1.0::DOUBLE - ({failed})::DOUBLE / ({checked})::DOUBLE ELSE 0.0::DOUBLE END)"
 
@@ -140,7 +145,7 @@ def weighted(weights: dict[str, float]) -> str:
 
 def blocks(floors: dict[str, float]) -> str:
     cases = " ".join(
-        f"WHEN {d} < {f}::DOUBLE THEN '{d} score ' || printf('%.2f', {d}) || ' below hard block {f}'"
+        f"WHEN {d} < {f}::DOUBLE THEN '{d} score ' || {half_up(d, 2)} || ' below hard block {f}'"
         for d, f in floors.items()
     )
     return f"(CASE {cases} ELSE NULL END)" if cases else "CAST(NULL AS VARCHAR)"
@@ -156,7 +161,7 @@ def card(name: str, weights: dict[str, float], floors: dict[str, float], as_of:
     t, b = weighted(weights), blocks(floors)
     return f"""
       SELECT '{name}' AS pipeline_name, {comma}{as_of} AS scored_at, row_count, {dims},
-        round({t} * 100, 2) AS total_score,
+        {half_up(f'{t} * 100', 2)}::DOUBLE AS total_score,
         CASE WHEN {b} IS NOT NULL THEN 'FAIL' WHEN {t} >= 0.8 THEN 'PASS' WHEN {t} >= 0.6 THEN 'WARN'
              ELSE 'FAIL' END AS status,
         {b} AS hard_block_triggered
@@ -284,7 +289,7 @@ daily AS (
     {share("count(*) - count(DISTINCT user_id)", "count(*)")} AS uniqueness
   FROM events GROUP BY 1, 2),
 history AS (
-  SELECT pipeline_name, scored_at, round({EVENT_TOTAL} * 100, 2) AS total_score,
+  SELECT pipeline_name, scored_at, {half_up(f'{EVENT_TOTAL} * 100', 2)}::DOUBLE AS total_score,
     CASE WHEN {EVENT_TOTAL} >= 0.8 THEN 'PASS' WHEN {EVENT_TOTAL} >= 0.6 THEN 'WARN' ELSE 'FAIL' END AS status,
     CAST(NULL AS VARCHAR) AS hard_block_triggered,
     {", ".join(f"{d} AS score_{d}" for d in EVENT_DIMENSIONS)}
@@ -574,7 +579,7 @@ ORACLE: dict[str, str] = {
     "score_report": f"""WITH {DIRTY}, {CLEAN}, {orders_measured("clean")},
       report_card AS (SELECT * FROM ({ORDERS_CARD}), (SELECT {RAW_DIMENSIONS} FROM measured)) {REPORT}""",
     "weighted_score": f"""WITH {HISTORY}, {WEIGHTED}
-      SELECT pipeline_name, run_id, round(t * 100, 2) AS total_score FROM summed""",
+      SELECT pipeline_name, run_id, {half_up('t * 100', 2)}::DOUBLE AS total_score FROM summed""",
     "quality_status": f"""WITH {HISTORY}, {WEIGHTED}
       SELECT pipeline_name, run_id, hard_block_triggered,
         CASE WHEN hard_block_triggered IS NOT NULL THEN 'FAIL' WHEN t >= 0.88 THEN 'PASS'
