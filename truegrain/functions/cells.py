@@ -43,6 +43,11 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def sql_text(value: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def is_text(dtype: T.DataType | None) -> bool:
     return isinstance(dtype, (T.StringType, T.CharType, T.VarcharType))
 

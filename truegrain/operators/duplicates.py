@@ -57,39 +57,26 @@ def later_copies(
 ) -> DataFrame:
     """Every row of a key but its first, by the order of :func:`deduplicate`.
 
-    The first row of each repeated key comes from an aggregate, partly done on the map
-    side; rows beyond it are found by a join, whose hot keys Spark can split. Identical
-    copies of a first row cannot be told apart, so they are counted and one is left out.
+    Only rows of repeated keys are looked at. Identical rows are first counted as one, since
+    they cannot be told apart; the first of each key then comes from an aggregate, partly
+    done on the map side, and goes back by a join whose hot keys Spark can split. No step
+    orders a whole key in one task.
     """
     order = _ordering(df, subset, order_by)
-    if not order:
-        groups = df.groupBy(*df.columns).agg(F.count("*").alias("__copies"))
-        return _all_but_one(groups, df.columns)
-    firsts = (
-        df.groupBy(*(column(c) for c in subset))
-        .agg(
-            F.count("*").alias("__copies"),
-            F.min(F.struct(*(column(c) for c in order))).alias("__first"),
-        )
-        .where(F.col("__copies") > 1)
-        .drop("__copies")
-    )
-    ranked = join_on(df, firsts, subset).withColumn(
-        "__is_first", F.struct(*(column(c) for c in order)).eqNullSafe(F.col("__first"))
-    )
-    beyond = ranked.where(~F.col("__is_first")).select(*df.columns)
-    twins = (
-        ranked.where("__is_first").groupBy(*df.columns).agg(F.count("*").alias("__copies"))
-    )
-    return beyond.unionByName(_all_but_one(twins, df.columns))
-
-
-def _all_but_one(groups: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Each counted row, once less than it was counted."""
-    extra = groups.where(F.col("__copies") > 1).select(
-        *columns, F.explode(F.sequence(F.lit(2), F.col("__copies")))
+    counted = all_copies(df, subset).groupBy(*(column(c) for c in df.columns)).agg(
+        F.count("*").alias("__copies")
     )
-    return extra.select(*columns)
+    if order:
+        place = F.struct(*(column(c) for c in order))
+        firsts = counted.groupBy(*(column(c) for c in subset)).agg(F.min(place).alias("__first"))
+        marked = join_on(counted, firsts, subset)
+        is_first = place.eqNullSafe(F.col("__first"))
+    else:
+        marked, is_first = counted, F.lit(True)
+    left = F.col("__copies") - F.when(is_first, 1).otherwise(0)
+    extra = marked.withColumn("__left", left).where(F.col("__left") > 0)
+    repeated = extra.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__left"))))
+    return repeated.select(*(column(c) for c in df.columns))
 
 
 def copy_counts(df: DataFrame, subset: Sequence[str]) -> DataFrame:

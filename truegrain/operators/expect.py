@@ -19,17 +19,27 @@ from truegrain.sources.contract import TYPES, Contract
 RESULT_COLUMNS = ("check_kind", "column_name", "passed", "observed", "threshold")
 
 
-def _line(kind: str, name: str, passed: Column, observed: Column, threshold: Column | None = None):
-    limit = F.lit(None) if threshold is None else threshold
-    return F.struct(
-        F.lit(kind).alias("check_kind"),
-        F.lit(name).alias("column_name"),
-        passed.alias("passed"),
-        observed.cast("double").alias("observed"),
-        limit.cast("double").alias("threshold"),
+def _line(kind: str, name: str, passed: str, observed: str, threshold: str = "0") -> str:
+    """One check row as SQL over the aggregated counts, so that many rows stay one expression."""
+    return (
+        f"{cells.sql_text(kind)}, {cells.sql_text(name)}, {passed}, "
+        f"CAST({observed} AS DOUBLE), CAST({threshold} AS DOUBLE)"
+    )
+
+
+def _rows(facts: DataFrame, lines: Sequence[str], *kept: str) -> DataFrame:
+    """The check rows of a one-row frame of counts."""
+    names = ", ".join(RESULT_COLUMNS)
+    return facts.selectExpr(*kept, f"stack({len(lines)}, {', '.join(lines)}) AS ({names})").select(
+        *RESULT_COLUMNS, *kept
     )
 
 
+def _known(kind: str, name: str, passed: bool) -> str:
+    """A check row that the schema alone decides."""
+    return _line(kind, name, str(passed).lower(), "0" if passed else "1")
+
+
 def _matches_family(dtype: T.DataType, family: str) -> bool:
     if family == "numeric":
         return isinstance(dtype, T.NumericType) and not isinstance(dtype, T.DecimalType)
@@ -54,43 +64,34 @@ def expectations(
     aggregates = [F.count("*").alias("total_records")]
     lines = []
     for name in required:
-        present = F.lit(name in df.columns)
-        lines.append(_line("schema", name, present, F.lit(0 if name in df.columns else 1), F.lit(0)))
+        lines.append(_known("schema", name, name in df.columns))
     for i, (name, family) in enumerate(types.items()):
         if family not in ("numeric", "string"):
             continue
         dtype = cells.dtype_of(df, name)
         if dtype is None:
-            lines.append(_line("type", name, F.lit(False), F.lit(None), F.lit(0)))
+            lines.append(_line("type", name, "false", "NULL"))
         elif raw_text:
             value = cells.column(name)
             odd = value.isNotNull() & cells.number(name, dtype).isNull()
             aggregates.append(F.count_if(odd).alias(f"odd_{i}"))
             aggregates.append(F.count(value).alias(f"held_{i}"))
-            odd_count, held = F.col(f"odd_{i}"), F.col(f"held_{i}")
             if family == "numeric":
-                lines.append(_line("type", name, odd_count == 0, odd_count, F.lit(0)))
-            else:  # an all-null column is read as a number
-                text = odd_count > 0
-                wrong = F.when(text, F.lit(0)).otherwise(held)
-                lines.append(_line("type", name, text, wrong, F.lit(0)))
+                lines.append(_line("type", name, f"odd_{i} = 0", f"odd_{i}"))
+            else:  # a column of nothing but numbers, or of nulls, is read as numbers
+                lines.append(_line("type", name, f"odd_{i} > 0", f"IF(odd_{i} > 0, 0, held_{i})"))
         else:
-            fits = _matches_family(dtype, family)
-            lines.append(_line("type", name, F.lit(fits), F.lit(0 if fits else 1), F.lit(0)))
+            lines.append(_known("type", name, _matches_family(dtype, family)))
     for i, name in enumerate(not_null):
         dtype = cells.dtype_of(df, name)
         if dtype is None:
-            lines.append(_line("null", name, F.lit(False), F.lit(None), F.lit(0)))
+            lines.append(_line("null", name, "false", "NULL"))
             continue
         value = cells.column(name)
         null = value.isNull() | F.isnan(value) if cells.is_fraction(dtype) else value.isNull()
         aggregates.append(F.count_if(null).alias(f"null_{i}"))
-        lines.append(_line("null", name, F.col(f"null_{i}") == 0, F.col(f"null_{i}"), F.lit(0)))
-    return (
-        df.agg(*aggregates)
-        .select("total_records", F.inline(F.array(*lines)))
-        .select(*RESULT_COLUMNS, "total_records")
-    )
+        lines.append(_line("null", name, f"null_{i} = 0", f"null_{i}"))
+    return _rows(df.agg(*aggregates), lines, "total_records")
 
 
 def expectation_summary(results: DataFrame) -> DataFrame:
@@ -150,14 +151,12 @@ def contract_check(
     lines = []
     for spec in contract.columns:
         dtype = cells.dtype_of(df, spec.name)
-        there = dtype is not None
-        lines.append(_line("schema", spec.name, F.lit(there), F.lit(0 if there else 1), F.lit(0)))
-        fits = there and _type_fits(dtype, spec.type)
-        lines.append(_line("type", spec.name, F.lit(fits), F.lit(0 if fits else 1), F.lit(0)))
+        lines.append(_known("schema", spec.name, dtype is not None))
+        lines.append(_known("type", spec.name, dtype is not None and _type_fits(dtype, spec.type)))
     for i, name in enumerate(contract.non_nullable_columns()):
         nulls = cells.column(name).isNull() if name in df.columns else F.lit(True)
         aggregates.append(F.count_if(nulls).alias(f"null_{i}"))
-        lines.append(_line("null", name, F.col(f"null_{i}") == 0, F.col(f"null_{i}"), F.lit(0)))
+        lines.append(_line("null", name, f"null_{i} = 0", f"null_{i}"))
 
     pooled = {
         "completeness": measures.completeness_checks(df, contract.required_columns()),
@@ -170,21 +169,19 @@ def contract_check(
     for kind, checks in pooled.items():
         if not checks:
             continue
-        failed = F.lit(0)
         for i, check in enumerate(checks):
             aggregates.append(F.count_if(check.failed).alias(f"{kind}_{i}"))
-            failed = failed + F.col(f"{kind}_{i}")
-        score = measures.share_passed(failed, F.col("n") * F.lit(len(checks)))
-        limit = F.lit(float(limits[kind]))
-        lines.append(_line(kind, "", score >= limit, score, limit))
+        failed = " + ".join(f"{kind}_{i}" for i in range(len(checks)))
+        score = f"coalesce(1.0D - try_divide({failed}, n * {len(checks)}), 0.0D)"
+        limit = f"{float(limits[kind])}D"
+        lines.append(_line(kind, "", f"{score} >= {limit}", score, limit))
 
     facts = df.agg(*aggregates)
     if contract.uniqueness_columns:
         keys = measures.key_counts(df, contract.uniqueness_columns)
         facts = facts.crossJoin(F.broadcast(keys))  # two global aggregates: one row each
-        name = ",".join(contract.uniqueness_columns)
-        lines.append(_line("unique", name, F.col("excess") == 0, F.col("excess"), F.lit(0)))
-    return facts.select(F.inline(F.array(*lines))).select(*RESULT_COLUMNS)
+        lines.append(_line("unique", ",".join(contract.uniqueness_columns), "excess = 0", "excess"))
+    return _rows(facts, lines)
 
 
 _COLUMN_SCHEMA = "column_name string, type string, nullable boolean"

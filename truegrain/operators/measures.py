@@ -127,18 +127,17 @@ def violations(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -
         F.count("*").alias("checked"),
         *(count_where(check.failed).alias(f"v{i}") for i, check in enumerate(checks)),
     )
-    lines = [
-        F.struct(
-            F.lit(check.dimension).alias("dimension"),
-            F.lit(check.column_name).alias("column_name"),
-            F.lit(check.rule).alias("rule"),
-            F.col(f"v{i}").alias("violations"),
-        )
+    lines = ", ".join(
+        f"{cells.sql_text(check.dimension)}, {cells.sql_text(check.column_name)}, "
+        f"{cells.sql_text(check.rule)}, v{i}"
         for i, check in enumerate(checks)
-    ]
-    return counted.select(*by, "checked", F.inline(F.array(*lines))).select(
-        *by, "dimension", "column_name", "rule", "violations", "checked"
     )
+    long = counted.selectExpr(
+        *(f"`{name}`" for name in by),
+        "checked",
+        f"stack({len(checks)}, {lines}) AS (dimension, column_name, rule, violations)",
+    )
+    return long.select(*by, "dimension", "column_name", "rule", "violations", "checked")
 
 
 def age_hours(moment: Column, as_of: datetime) -> Column:

@@ -1,7 +1,8 @@
 """Exact quantiles with linear interpolation, without gathering a column in one task.
 
-The built-in ``percentile`` keeps every distinct value of a column in one reducer.
-Here each wanted rank is narrowed down by counting instead:
+The built-in ``percentile`` keeps every distinct value of a column in one reducer, so it
+is used only where Spark estimates the columns at a few megabytes. Beyond that each
+wanted rank is narrowed down by counting instead:
 
 1. count rows per logarithmic bucket of the value and keep each bucket's true least
    and greatest value; the bucket that holds the rank becomes its bracket;
@@ -26,6 +27,7 @@ from truegrain.functions.joins import join_on
 
 LOG_STEPS = 64  # buckets per factor e, about 1.6 % of the value each
 LINEAR_STEPS = 4096  # equal steps inside a bracket
+SMALL_BYTES = 2 * 1024 * 1024  # columns up to this size go through the built-in percentile
 _LARGEST = 1.0e308
 
 
@@ -40,6 +42,20 @@ def numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     return df.select(*by, F.inline(F.array(*lines))).where(F.col("value").isNotNull())
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Spark's own estimate of a result's size, before running it; None where it has none to give."""
+    try:
+        statistics = df._jdf.queryExecution().optimizedPlan().stats()  # as printed by explain("cost")
+        return int(str(statistics.sizeInBytes()))
+    except AttributeError:
+        return None
+
+
+def _is_small(df: DataFrame, limit: int) -> bool:
+    size = estimated_bytes(df)
+    return size is not None and size <= limit
+
+
 def _log_bucket(value: Column) -> Column:
     """A whole number that never falls as the value rises, over all doubles."""
     size = F.least(F.abs(value), F.lit(_LARGEST))
@@ -123,13 +139,31 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     by: Sequence[str] = (),
+    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Quantiles per column, in long form: ``by, column_name, q0, q1, ...``.
 
-    A group or column that holds no number has no row.
+    A group or column that holds no number has no row. Both ways give the same answer;
+    ``small_bytes`` is the estimated size up to which the built-in one is taken.
     """
     group = [*by, "column_name"]
     values = numbers(df, columns, by)
+    if _is_small(df.select(*by, *(cells.column(c) for c in columns)), small_bytes):
+        return _listed(values, F.percentile("value", _marks(probabilities)), group, len(probabilities))
+    return _descend(values, probabilities, group)
+
+
+def _marks(probabilities: Sequence[float]) -> Column:
+    return F.array(*(F.lit(float(p)) for p in probabilities))
+
+
+def _listed(values: DataFrame, aggregate: Column, group: Sequence[str], n: int) -> DataFrame:
+    found = values.groupBy(*group).agg(aggregate.alias("marks"))
+    return found.select(*group, *(F.col("marks")[i].alias(f"q{i}") for i in range(n)))
+
+
+def _descend(values: DataFrame, probabilities: Sequence[float], group: Sequence[str]) -> DataFrame:
+    """The three counting passes; each reads the table once and is used once."""
     value, low, high = F.col("value"), F.col("low"), F.col("high")
 
     places = [F.lit(float(p)) * (F.col("total") - 1) for p in probabilities]
@@ -165,11 +199,5 @@ def sketched_quantiles(
     accuracy: int = 10000,
 ) -> DataFrame:
     """As :func:`exact_quantiles` in one pass, each within ``rows / accuracy`` ranks."""
-    marks = F.array(*(F.lit(float(p)) for p in probabilities))
-    sketch = F.percentile_approx("value", marks, F.lit(accuracy))
-    return (
-        numbers(df, columns, by)
-        .groupBy(*by, "column_name")
-        .agg(sketch.alias("marks"))
-        .select(*by, "column_name", *(F.col("marks")[i].alias(f"q{i}") for i in range(len(probabilities))))
-    )
+    sketch = F.percentile_approx("value", _marks(probabilities), F.lit(accuracy))
+    return _listed(numbers(df, columns, by), sketch, [*by, "column_name"], len(probabilities))

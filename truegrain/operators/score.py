@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from truegrain.functions.cells import sql_text
 from truegrain.operators import measures
 from truegrain.operators.measures import MeasureSpec
 
@@ -159,12 +160,11 @@ def scorecard(
 
 def long_scores(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``score_<dimension>`` columns as rows: ``keys, dimension, score``."""
-    lines = [
-        F.struct(F.lit(c.removeprefix("score_")).alias("dimension"), F.col(c).alias("score"))
-        for c in scored.columns
-        if c.startswith("score_")
-    ]
-    return scored.select(*keys, F.inline(F.array(*lines)))
+    dims = [c for c in scored.columns if c.startswith("score_")]
+    lines = ", ".join(f"{sql_text(c.removeprefix('score_'))}, `{c}`" for c in dims)
+    return scored.selectExpr(
+        *(f"`{k}`" for k in keys), f"stack({len(dims)}, {lines}) AS (dimension, score)"
+    )
 
 
 def score_report(card: DataFrame, keys: Sequence[str] = ("pipeline_name",)) -> DataFrame:

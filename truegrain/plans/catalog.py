@@ -534,9 +534,11 @@ def contract_check(spark, sf_dir):
 
 @query
 def gate_results(spark, sf_dir):
+    written = sinks.write_parquet(_flagged_orders(spark, sf_dir), fresh_path(spark, "flagged"))
+    flagged = spark.read.parquet(written)
+    clean, _ = anomaly.quarantine(flagged)
     bronze = views.contract_orders(spark, sf_dir)
-    clean, _ = anomaly.split_anomalies(bronze, settings.ORDERS_ANOMALY_COLUMNS)
-    rows = medallion.orders_gates(spark, bronze, medallion.orders_silver(clean), ORDERS_AS_OF)
+    rows = medallion.orders_gates(spark, bronze, flagged, medallion.orders_silver(clean), ORDERS_AS_OF)
     return rounded(rows, "observed")
 
 

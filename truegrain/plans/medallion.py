@@ -17,10 +17,13 @@ from truegrain.sources import files, sinks
 
 
 def orders_gates(
-    spark: SparkSession, bronze: DataFrame, silver: DataFrame, as_of: datetime
+    spark: SparkSession, bronze: DataFrame, flagged: DataFrame, silver: DataFrame, as_of: datetime
 ) -> DataFrame:
-    """Gates 1 to 4 over bronze and silver as one lazy frame."""
-    flagged = anomaly.detect(bronze, settings.ORDERS_ANOMALY_COLUMNS)
+    """Gates 1 to 4 as one lazy frame.
+
+    ``flagged`` is bronze after outlier detection. It is read by several gates, so it
+    should be a written table rather than a plan that would run once for each.
+    """
     clean, _ = anomaly.quarantine(flagged)
     card = score.scorecard(clean, settings.ORDERS_SPEC, settings.ORDERS_CONFIG, as_of)
     return (

@@ -15,6 +15,7 @@ def build_session(app_name: str = "truegrain", **conf: str) -> SparkSession:
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call-site lookup per column
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

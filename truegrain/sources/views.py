@@ -6,63 +6,35 @@ so that any engine can define the same view.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from truegrain.sources.files import table
 
 
-def _each(key: str, n: int) -> Column:
-    return F.col(key) % n == 0
-
-
-def _text(*parts) -> Column:
-    return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
-
-
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with missing cells, placeholders, blanks, outliers, bad texts and repeated ids."""
-    key = "o_orderkey"
-    k = F.col(key)
-    number = F.when(_each(key, 101) & (k > 0), k - 1).otherwise(k)
-    quantity = (
-        F.when(_each(key, 71), F.lit(-5))
-        .when(_each(key, 73), F.lit(999))
-        .when(_each(key, 59), F.lit(None))
-        .otherwise(k % 19 + 1)
-        .cast("long")
+    base = table(spark, sf_dir, "orders").selectExpr(
+        "*",
+        "CASE WHEN o_orderkey % 71 = 0 THEN -5 WHEN o_orderkey % 73 = 0 THEN 999 "
+        "WHEN o_orderkey % 59 = 0 THEN NULL ELSE o_orderkey % 19 + 1 END AS quantity",
+        "IF(o_orderkey % 67 = 0, NULL, CAST(o_orderkey % 490 + 10 AS DOUBLE)) AS unit_price",
     )
-    price = F.when(_each(key, 67), F.lit(None)).otherwise((k % 490 + 10).cast("double"))
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    base = table(spark, sf_dir, "orders").select(
-        key, "o_custkey", "o_orderstatus", "o_orderdate", quantity.alias("quantity"), price.alias("unit_price")
-    )
-    return base.select(
-        _text("ORD-", number).alias("order_id"),
-        F.when(_each(key, 97), F.lit(None))
-        .when(_each(key, 89), F.lit("N/A"))
-        .when(_each(key, 83), F.lit(" - "))
-        .otherwise(_text("CUST-", F.col("o_custkey")))
-        .alias("customer_id"),
-        F.when(_each(key, 103), F.lit("  "))
-        .when(_each(key, 107), F.lit("\t"))
-        .otherwise(_text(" PROD-", k % 20))
-        .alias("product_id"),
+    return base.selectExpr(
+        "'ORD-' || IF(o_orderkey % 101 = 0 AND o_orderkey > 0, o_orderkey - 1, o_orderkey) AS order_id",
+        "CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey % 89 = 0 THEN 'N/A' "
+        "WHEN o_orderkey % 83 = 0 THEN ' - ' ELSE 'CUST-' || o_custkey END AS customer_id",
+        "CASE WHEN o_orderkey % 103 = 0 THEN '  ' WHEN o_orderkey % 107 = 0 THEN chr(9) "
+        "ELSE ' PROD-' || (o_orderkey % 20) END AS product_id",
         "quantity",
         "unit_price",
-        (F.col("quantity") * F.col("unit_price") + F.when(_each(key, 79), 1).otherwise(0)).alias("total_amount"),
-        F.col("o_orderdate").alias("order_date"),
-        F.when(_each(key, 61), F.lit("refunded"))
-        .when(F.col("o_orderstatus") == "F", F.lit("completed"))
-        .when(F.col("o_orderstatus") == "O", F.lit("pending"))
-        .otherwise(F.lit("cancelled"))
-        .alias("status"),
-        F.when(_each(key, 43), F.lit("bad-email"))
-        .when(_each(key, 47), F.lit(None))
-        .otherwise(_text("user", F.col("o_custkey"), "@example.com"))
-        .alias("customer_email"),
-        F.when(_each(key, 53), F.lit("not_a_number")).otherwise((k % 19 + 1).cast("string")).alias("quantity_text"),
-        F.when(_each(key, 41), F.lit("not-a-date")).otherwise(day).alias("order_date_text"),
+        "quantity * unit_price + IF(o_orderkey % 79 = 0, 1, 0) AS total_amount",
+        "o_orderdate AS order_date",
+        "CASE WHEN o_orderkey % 61 = 0 THEN 'refunded' WHEN o_orderstatus = 'F' THEN 'completed' "
+        "WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'cancelled' END AS status",
+        "CASE WHEN o_orderkey % 43 = 0 THEN 'bad-email' WHEN o_orderkey % 47 = 0 THEN NULL "
+        "ELSE 'user' || o_custkey || '@example.com' END AS customer_email",
+        "IF(o_orderkey % 53 = 0, 'not_a_number', CAST(o_orderkey % 19 + 1 AS STRING)) AS quantity_text",
+        "IF(o_orderkey % 41 = 0, 'not-a-date', date_format(o_orderdate, 'yyyy-MM-dd')) AS order_date_text",
     )
 
 
@@ -79,48 +51,38 @@ def contract_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders in the earlier layout: one price, delivery statuses, an order time."""
-    status = (
-        F.when(F.col("status") == "completed", "delivered")
-        .when(F.col("status") == "pending", "pending")
-        .when(F.col("status") == "cancelled", "shipped")
-        .otherwise(F.col("status"))
-    )
-    return dirty_orders(spark, sf_dir).select(
+    return dirty_orders(spark, sf_dir).selectExpr(
         "order_id",
         "customer_id",
         "product_id",
         "quantity",
-        F.col("unit_price").alias("price"),
-        status.alias("status"),
-        F.col("order_date").alias("ordered_at"),
+        "unit_price AS price",
+        "CASE status WHEN 'completed' THEN 'delivered' WHEN 'cancelled' THEN 'shipped' ELSE status END AS status",
+        "order_date AS ordered_at",
     )
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments with repeated ids, missing and huge amounts, impossible ages and minors."""
-    key = "o_orderkey"
-    k = F.col(key)
-    age = F.when(_each(key, 73), F.lit(200)).otherwise(k % 80 + 10).cast("long")
-    return table(spark, sf_dir, "orders").select(
-        _text("T", F.when(_each(key, 17) & (k > 0), k - 1).otherwise(k)).alias("transaction_id"),
-        F.when(_each(key, 29), F.lit(None))
-        .when(_each(key, 31), F.lit(999999999.0))
-        .otherwise(F.col("o_totalprice"))
-        .alias("amount"),
-        age.alias("age"),
-        F.when(_each(key, 13), F.lit("bad-email"))
-        .otherwise(_text("user", F.col("o_custkey"), "@example.com"))
-        .alias("email"),
-        ((age >= 18) | _each(key, 37)).alias("is_adult"),
-        F.col("o_orderdate").alias("updated_at"),
+    aged = table(spark, sf_dir, "orders").selectExpr(
+        "*", "IF(o_orderkey % 73 = 0, 200, o_orderkey % 80 + 10) AS age"
+    )
+    return aged.selectExpr(
+        "'T' || IF(o_orderkey % 17 = 0 AND o_orderkey > 0, o_orderkey - 1, o_orderkey) AS transaction_id",
+        "CASE WHEN o_orderkey % 29 = 0 THEN NULL WHEN o_orderkey % 31 = 0 THEN 999999999.0D "
+        "ELSE o_totalprice END AS amount",
+        "age",
+        "IF(o_orderkey % 13 = 0, 'bad-email', 'user' || o_custkey || '@example.com') AS email",
+        "age >= 18 OR o_orderkey % 37 = 0 AS is_adult",
+        "o_orderdate AS updated_at",
     )
 
 
 def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their type as the pipeline and their day as the run."""
-    return table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("pipeline_name"),
-        F.col("ts").cast("date").cast("timestamp_ntz").alias("run_at"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_type AS pipeline_name",
+        "CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ) AS run_at",
         "ts",
         "user_id",
         "value",
