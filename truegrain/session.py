@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -27,17 +28,23 @@ def build_session(app_name: str = "truegrain", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@functools.cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="truegrain-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a session without ``spark.checkpoint.dir`` (a test on one machine) gets a
-    temporary folder, which is then set so that later calls agree.
+    Where it is unset a session on one machine, as in tests, gets a temporary folder; a
+    cluster has to name one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="truegrain-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _own_dir()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

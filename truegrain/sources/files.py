@@ -29,6 +29,8 @@ def _csv(spark: SparkSession, multi_line: bool):
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", "\x00")  # stands for a bare empty cell, so that a quoted "" stays text
+        .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
     )
@@ -115,7 +117,8 @@ def read_history_csv(spark: SparkSession, path: str, dimensions: Sequence[str])
         "pipeline_name string, scored_at timestamp, total_score double, status string, "
         f"hard_block_triggered string, {scores}"
     )
-    return _csv(spark, False).schema(schema).csv(path)
+    read = _csv(spark, False).schema(schema).csv(path)
+    return read.withColumn("hard_block_triggered", F.nullif("hard_block_triggered", F.lit("")))
 
 
 def file_times(spark: SparkSession, path: str, table_name: str) -> DataFrame:
