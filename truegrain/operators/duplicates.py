@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from truegrain.functions.cells import column
+from truegrain.functions.cells import column, is_text
 from truegrain.functions.joins import join_on
 
 
@@ -47,9 +47,23 @@ def _repeated(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return counts.where(F.col("__copies") > 1)
 
 
+def _suspects(df: DataFrame, subset: Sequence[str]) -> DataFrame:
+    """Rows whose key may be repeated, judged by a hash of it.
+
+    Text keys can be long, so hashes are counted first and only keys whose hash occurs
+    twice go through a shuffle whole. Equal keys have equal hashes, so none is lost.
+    """
+    if not any(is_text(df.schema[c].dataType) for c in subset):
+        return df
+    hashed = df.withColumn("__hash", F.xxhash64(*(column(c) for c in subset)))
+    twice = hashed.groupBy("__hash").agg(F.count("*").alias("__n")).where(F.col("__n") > 1)
+    return hashed.join(twice.select("__hash"), "__hash", "left_semi").drop("__hash")
+
+
 def all_copies(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """Every row of a key that occurs more than once."""
-    return join_on(df, _repeated(df, subset).select(*subset), subset, "left_semi")
+    likely = _suspects(df, subset)
+    return join_on(likely, _repeated(likely, subset).select(*(column(c) for c in subset)), subset, "left_semi")
 
 
 def later_copies(

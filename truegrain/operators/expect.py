@@ -7,6 +7,7 @@ decides is filled in as literals and costs no scan.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,18 @@ def _matches_family(dtype: T.DataType, family: str) -> bool:
     return cells.is_text(dtype)
 
 
+@dataclass(frozen=True)
+class ExpectationPlan:
+    """What to count on a table, and the check rows to make of the counts."""
+
+    counts: Sequence[Column]
+    lines: Sequence[str]
+
+    def rows(self, facts: DataFrame) -> DataFrame:
+        """The check rows of a one-row frame that holds the counts."""
+        return _rows(facts, self.lines, "total_records")
+
+
 def expectations(
     df: DataFrame,
     required: Sequence[str],
@@ -61,6 +74,18 @@ def expectations(
     inference on the file would find. ``observed`` counts the cells against it. An
     expectation on an absent column fails.
     """
+    plan = expectation_plan(df, required, types, not_null, raw_text)
+    return plan.rows(df.agg(*plan.counts))
+
+
+def expectation_plan(
+    df: DataFrame,
+    required: Sequence[str],
+    types: Mapping[str, str],
+    not_null: Sequence[str],
+    raw_text: bool = False,
+) -> ExpectationPlan:
+    """The parts of :func:`expectations`, for counting along with another pass over the table."""
     aggregates = [F.count("*").alias("total_records")]
     lines = []
     for name in required:
@@ -91,7 +116,7 @@ def expectations(
         null = value.isNull() | F.isnan(value) if cells.is_fraction(dtype) else value.isNull()
         aggregates.append(F.count_if(null).alias(f"null_{i}"))
         lines.append(_line("null", name, f"null_{i} = 0", f"null_{i}"))
-    return _rows(df.agg(*aggregates), lines, "total_records")
+    return ExpectationPlan(aggregates, lines)
 
 
 def expectation_summary(results: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from truegrain.operators import anomaly, expect, gates, score, transform
 from truegrain.plans import settings
@@ -35,15 +35,14 @@ def orders_gates(
     )
 
 
-def _expectations(df: DataFrame, raw_text: bool = False) -> DataFrame:
+def _agreed() -> tuple[list[str], dict[str, str], list[str]]:
+    """Required columns, column types and non-nullable columns of an order."""
     contract = settings.ORDERS_CONTRACT
-    return expect.expectations(
-        df,
-        contract.required_columns(),
-        settings.ORDERS_TYPES,
-        contract.non_nullable_columns(),
-        raw_text=raw_text,
-    )
+    return contract.required_columns(), settings.ORDERS_TYPES, contract.non_nullable_columns()
+
+
+def _expectations(df: DataFrame) -> DataFrame:
+    return expect.expectations(df, *_agreed())
 
 
 def _quarantine_gate(flagged: DataFrame) -> DataFrame:
@@ -98,11 +97,16 @@ def run_orders(
     def stopped(staged: str | None = None, silver: str | None = None) -> MedallionRun:
         return MedallionRun(bronze, staged, silver, None, None, decided, False)
 
+    # Gate 1 counts the raw texts while they are turned into a typed table: the file is parsed once.
     raw = files.null_tokens(files.read_raw(spark, bronze))
-    if not settle(gates.expectation_gate(_expectations(raw, raw_text=True), "gate_1")):
+    plan = expect.expectation_plan(raw, *_agreed(), raw_text=True)
+    seen = Observation()
+    typed_rows = files.typed(raw.observe(seen, *plan.counts), contract.struct_type())
+    typed = spark.read.parquet(sinks.write_parquet(typed_rows, f"{target}/typed"))
+    facts = spark.createDataFrame([Row(**seen.get)])
+    if not settle(gates.expectation_gate(plan.rows(facts), "gate_1")):
         return stopped()
 
-    typed = files.read_bronze(spark, bronze, contract.struct_type())
     staged = sinks.write_parquet(
         anomaly.detect(typed, settings.ORDERS_ANOMALY_COLUMNS), f"{target}/flagged"
     )

@@ -68,6 +68,14 @@ def _typed(name: str, dtype: T.DataType) -> Column:
     return value.try_cast(dtype)
 
 
+def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast the text columns a schema names; a cell that does not fit becomes null."""
+    given = {f.name: f.dataType for f in schema.fields}
+    return raw.select(
+        *(_typed(c, given[c]).alias(c) if c in given else cells.column(c) for c in raw.columns)
+    )
+
+
 def read_bronze(
     spark: SparkSession,
     path: str,
@@ -83,13 +91,7 @@ def read_bronze(
     """
     raw = null_tokens(read_raw(spark, path, multi_line))
     if schema is not None:
-        given = {f.name: f.dataType for f in schema.fields}
-        return raw.select(
-            *(
-                _typed(c, given[c]).alias(c) if c in given else cells.column(c)
-                for c in raw.columns
-            )
-        )
+        return typed(raw, schema)
     if not infer:
         return raw
     families = infer_families(raw)
