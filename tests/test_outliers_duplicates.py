@@ -50,6 +50,15 @@ def test_exact_quantiles_random_and_grouped(spark):
         assert [r["q0"], r["q1"]] == pytest.approx(list(np.quantile(own, (0.25, 0.75))), rel=1e-12)
 
 
+def test_more_passes_for_larger_tables(spark):
+    assert [quantiles._linear_passes(n) for n in (0, 8 * 10**9, 8 * 10**12, 8 * 10**15, None)] == [1, 1, 2, 3, 3]
+    df = spark.createDataFrame([(v,) for v in SHAPES["close"]], "v double")
+    values = quantiles.numbers(df, ["v"])
+    for passes in (1, 2, 3):
+        row = quantiles._descend(values, (0.25, 0.75), ["column_name"], passes).first()
+        assert [row["q0"], row["q1"]] == pytest.approx(list(np.quantile(SHAPES["close"], (0.25, 0.75))), rel=1e-15)
+
+
 def test_sketched_quantiles_are_close(spark):
     df = spark.range(100_000).select(F.col("id").cast("double").alias("v"))
     bounds = anomaly.iqr_bounds(df, ["v"], exact=False).first()

@@ -6,7 +6,8 @@ wanted rank is narrowed down by counting instead:
 
 1. count rows per logarithmic bucket of the value and keep each bucket's true least
    and greatest value; the bucket that holds the rank becomes its bracket;
-2. count again inside each bracket, in equal steps, and narrow once more;
+2. count again inside each bracket, in equal steps, and narrow once more (twice for tables
+   so large that one bracket could still hold millions of values);
 3. count the single values left in the bracket and read off the rank.
 
 Only bucket counts cross the network, partly summed on the map side, so neither a
@@ -16,6 +17,7 @@ a row: it only has to keep the order of values, which it does.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +30,7 @@ from truegrain.functions.joins import join_on
 LOG_STEPS = 64  # buckets per factor e, about 1.6 % of the value each
 LINEAR_STEPS = 4096  # equal steps inside a bracket
 SMALL_BYTES = 2 * 1024 * 1024  # columns up to this size go through the built-in percentile
+VALUES_LEFT = 1_000_000  # values of one bracket that one task may sort at the end
 _LARGEST = 1.0e308
 
 
@@ -51,9 +54,11 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def _is_small(df: DataFrame, limit: int) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
+def _linear_passes(size: int | None) -> int:
+    """How often to narrow by equal steps, so that about a million values are left at the end
+    even where all values share one logarithmic bucket."""
+    values = (size if size is not None else 1 << 50) / 8
+    return max(1, math.ceil(math.log(max(values, 1) / VALUES_LEFT, LINEAR_STEPS)))
 
 
 def _log_bucket(value: Column) -> Column:
@@ -148,9 +153,10 @@ def exact_quantiles(
     """
     group = [*by, "column_name"]
     values = numbers(df, columns, by)
-    if _is_small(df.select(*by, *(cells.column(c) for c in columns)), small_bytes):
+    size = estimated_bytes(df.select(*by, *(cells.column(c) for c in columns)))
+    if size is not None and size <= small_bytes:
         return _listed(values, F.percentile("value", _marks(probabilities)), group, len(probabilities))
-    return _descend(values, probabilities, group)
+    return _descend(values, probabilities, group, _linear_passes(size))
 
 
 def _marks(probabilities: Sequence[float]) -> Column:
@@ -162,8 +168,10 @@ def _listed(values: DataFrame, aggregate: Column, group: Sequence[str], n: int)
     return found.select(*group, *(F.col("marks")[i].alias(f"q{i}") for i in range(n)))
 
 
-def _descend(values: DataFrame, probabilities: Sequence[float], group: Sequence[str]) -> DataFrame:
-    """The three counting passes; each reads the table once and is used once."""
+def _descend(
+    values: DataFrame, probabilities: Sequence[float], group: Sequence[str], linear_passes: int
+) -> DataFrame:
+    """The counting passes; each reads the table once and is used once."""
     value, low, high = F.col("value"), F.col("low"), F.col("high")
 
     places = [F.lit(float(p)) * (F.col("total") - 1) for p in probabilities]
@@ -176,7 +184,8 @@ def _descend(values: DataFrame, probabilities: Sequence[float], group: Sequence[
     first = _with_first_rank(_tally(values, group, _log_bucket(value)), group)
     first = first.withColumn("total", F.sum("n").over(W.partitionBy(*group)))
     brackets = _brackets(first, group, wanted)
-    brackets = _narrow(values, brackets, group, names, _linear_bucket(value, low, high))
+    for _ in range(linear_passes):
+        brackets = _narrow(values, brackets, group, names, _linear_bucket(value, low, high))
     found = _narrow(values, brackets, group, names, value)  # one value per bucket: low = high
 
     ends = found.groupBy(*group, "total").agg(
