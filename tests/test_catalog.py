@@ -84,9 +84,10 @@ def test_first_rows_are_limited_before_the_shuffle(spark):
         assert re.search(r"WindowGroupLimit .* Partial", plan(frame))
 
 
-def test_duplicate_marking_has_no_window(spark):
+def test_marking_copies_of_hot_keys_has_no_window(spark):
     lines = files.table(spark, SF_DIR, "lineitem")
-    assert "Window" not in plan(duplicates.later_copies(lines, ["l_orderkey"]))
+    assert "Window" not in plan(duplicates._beyond_first(lines, ["l_orderkey"], ["l_shipdate"]))
+    assert plan(duplicates.later_copies(lines, ["l_orderkey"])).count("Window [") == 1
 
 
 def test_outlier_statistics_are_one_broadcast_row(spark):

@@ -138,7 +138,8 @@ def test_later_copies_and_dedup_against_brute_force(copies):
         return Counter(tuple(r) for r in frame.collect())
 
     assert counted(duplicates.deduplicate(df, ["k"], ["n"])) == first
-    assert counted(duplicates.later_copies(df, ["k"], ["n"])) == later
+    for hot_rows in (0, 10, 10_000):
+        assert counted(duplicates.later_copies(df, ["k"], ["n"], hot_rows)) == later
     assert counted(duplicates.all_copies(df, ["k"])) == every
     counts = duplicates.copy_counts(df, ["k"]).first()
     assert tuple(counts) == (len(rows), len(groups), sum(later.values()))
@@ -146,8 +147,9 @@ def test_later_copies_and_dedup_against_brute_force(copies):
 
 def test_whole_row_copies(copies):
     df, rows = copies
-    later = duplicates.later_copies(df, df.columns)
-    assert later.count() == len(rows) - len(set(rows))
+    for hot_rows in (0, 10, 10_000):
+        later = duplicates.later_copies(df, df.columns, hot_rows=hot_rows)
+        assert later.count() == len(rows) - len(set(rows))
     assert duplicates.deduplicate(df, df.columns).count() == len(set(rows))
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from truegrain.functions.cells import column, is_text
 from truegrain.functions.joins import join_on
 
+HOT_ROWS = 100_000  # rows of one key that one task may order
+
 
 def _others(df: DataFrame, subset: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in subset]
@@ -67,19 +69,34 @@ def all_copies(df: DataFrame, subset: Sequence[str]) -> DataFrame:
 
 
 def later_copies(
-    df: DataFrame, subset: Sequence[str], order_by: Sequence[str] | None = None
+    df: DataFrame,
+    subset: Sequence[str],
+    order_by: Sequence[str] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every row of a key but its first, by the order of :func:`deduplicate`.
 
-    Only rows of repeated keys are looked at. Identical rows are first counted as one, since
-    they cannot be told apart; the first of each key then comes from an aggregate, partly
-    done on the map side, and goes back by a join whose hot keys Spark can split. No step
-    orders a whole key in one task.
+    Only rows of repeated keys are looked at. Keys of up to ``hot_rows`` rows are numbered
+    by a window; the few beyond it are split over many tasks instead (:func:`_beyond_first`).
     """
     order = _ordering(df, subset, order_by)
-    counted = all_copies(df, subset).groupBy(*(column(c) for c in df.columns)).agg(
-        F.count("*").alias("__copies")
-    )
+    likely = _suspects(df, subset)
+    rows = join_on(likely, _repeated(likely, subset), subset)
+    usual = rows.where(F.col("__copies") <= hot_rows).drop("__copies")
+    hot = rows.where(F.col("__copies") > hot_rows).drop("__copies")
+    place = W.partitionBy(*(column(c) for c in subset)).orderBy(*(column(c) for c in order or subset))
+    numbered = usual.withColumn("__nth", F.row_number().over(place)).where(F.col("__nth") > 1)
+    return numbered.drop("__nth").unionByName(_beyond_first(hot, subset, order))
+
+
+def _beyond_first(df: DataFrame, subset: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Every row of a key but its first, without ordering a whole key in one task.
+
+    Identical rows cannot be told apart and are first counted as one. The first of each key
+    comes from an aggregate, partly done on the map side, and goes back by a join whose hot
+    keys Spark can split.
+    """
+    counted = df.groupBy(*(column(c) for c in df.columns)).agg(F.count("*").alias("__copies"))
     if order:
         place = F.struct(*(column(c) for c in order))
         firsts = counted.groupBy(*(column(c) for c in subset)).agg(F.min(place).alias("__first"))
