@@ -57,7 +57,8 @@ def estimated_bytes(df: DataFrame) -> int | None:
 def _linear_passes(size: int | None) -> int:
     """How often to narrow by equal steps, so that about a million values are left at the end
     even where all values share one logarithmic bucket."""
-    values = (size if size is not None else 1 << 50) / 8
+    largest = 1 << 50  # also stands for an estimate that Spark could not make
+    values = min(largest, largest if size is None else size) / 8
     return max(1, math.ceil(math.log(max(values, 1) / VALUES_LEFT, LINEAR_STEPS)))
 
 
