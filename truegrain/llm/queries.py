@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from truegrain.llm import exact_dedup, simhash
+from truegrain.llm import exact_dedup, mixing, packing, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,20 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scores.select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "fingerprint", "component_id")
@@ -23,6 +37,9 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_mixing": op6_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
