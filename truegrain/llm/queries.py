@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from truegrain.llm import exact_dedup, mixing, packing, quality, simhash
+from truegrain.llm import exact_dedup, mixing, packing, quality, simhash, substring_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,11 +26,21 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asks = F.col("vec_id") % topk.QUERY_EVERY == 0
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), asks)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "fingerprint", "component_id")
@@ -39,7 +50,9 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_mixing": op6_mixing,
+    "op7_exact_topk": op7_exact_topk,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
@@ -58,4 +71,44 @@ ORACLE = {
         FROM norm
         WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op5_substring_dedup": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ),
+        windows AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+            FROM words, unnest(range(1, len(w) - 11)) AS t(i)
+        ),
+        repeated AS (SELECT k, min(doc_id) AS first_id FROM windows GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+        gone AS (
+            SELECT DISTINCT doc_id, i + j AS place
+            FROM windows JOIN repeated USING (k), unnest(range(0, 13)) AS t(j)
+            WHERE first_id < doc_id
+        ),
+        placed AS (SELECT doc_id, i AS place, w[i] AS word FROM words, unnest(range(1, len(w) + 1)) AS t(i)),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n
+            FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+        )
+        SELECT doc_id,
+               CAST(len(w) AS BIGINT) AS n_words,
+               CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM words LEFT JOIN kept USING (doc_id)
+    """,
+    "op7_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+            FROM embeddings
+        ),
+        scores AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   CAST(list_inner_product(CAST(q.c AS DOUBLE[]), CAST(v.c AS DOUBLE[])) AS BIGINT) AS score
+            FROM v AS q, v WHERE q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM scores
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+    """,
 }
