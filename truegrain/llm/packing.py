@@ -27,7 +27,7 @@ PARTITION_PIECES = 8192
 ROUNDS = 6
 #: Text in which the two libraries could differ goes to the slower one: special tokens' strings, controls,
 #: letters beyond Latin (they may know different Unicode versions), and very long runs of space.
-RARE = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]|<\||\s{1000}")
+RARE = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]|<\||\s{1000}")
 
 
 def encoder(name: str = TOKENIZER) -> Callable[[str], list[int]]:

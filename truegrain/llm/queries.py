@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truegrain.llm import exact_dedup, mixing, packing, quality, simhash, substring_dedup, topk
+from truegrain.llm import chat_format, exact_dedup, language_id, mixing, packing, pii, quality, simhash, substring_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.repair(_table(spark, sf_dir, "conversations"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return scores.select("doc_id", "held_out", "score", "predicted")
@@ -41,19 +45,36 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), asks)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(f"n_{kind}" for kind in pii.KINDS),
+        F.sha2(pii.joined("base"), 256).alias("base_sha256"),
+        pii.joined("spans").alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_mixing": op6_mixing,
     "op7_exact_topk": op7_exact_topk,
+    "op8_language_id": op8_language_id,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_pii": op10_pii,
 }
 
 #: Unlike Python's or Spark's, DuckDB's ``\s`` class is not used: the white space is named.
