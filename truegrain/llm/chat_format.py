@@ -33,7 +33,7 @@ ORDER = ("keep", "merge", "relabel", "merge_other", "insert")  # of equal costs
 NEVER = 1 << 50
 UNIT = 1 << 20  # costs are multiples; what is below tells equal costs apart
 BLOCK_ITEMS = 4096
-ROW = "__row"
+ROW = "__truegrain_row"
 BEGIN_ITEM, END_ITEM = "\0begin", "\0end"
 
 Move = tuple[int, str, tuple[str, ...]]  # cost, action, roles of the empty turns put before

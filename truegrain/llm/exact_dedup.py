@@ -20,7 +20,7 @@ from truegrain.llm.common import SPACES, Scratch, text_or_empty, with_row_id
 
 BLOCK_CHARS = 4096
 ABSENT = -(1 << 63)  # stands to the right of an odd last name
-ROW = "__row"
+ROW = "__truegrain_row"
 
 
 def _blocks(text: Column, block_chars: int) -> Column:

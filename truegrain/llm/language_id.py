@@ -24,7 +24,7 @@ TEXT_WEIGHT = 0.25  # triples overlap and repeat, so a text's likelihood counts
 TEXT_MOST = 12.0  # nats that a text can speak for one language against another
 STRENGTH = 4.0  # pages' worth of the coarser prior in a finer one
 TEXT_AT_ONCE = 1 << 20
-ROW = "__row"
+ROW = "__truegrain_row"
 LEVELS = ("suffix", "domain", "host")
 NOT_TEXT = re.compile(rb"(?is)<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[^>]*>?|&[a-z#0-9]{1,8};")
 

@@ -23,7 +23,7 @@ WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 CHUNK_DOCS = 2048
 SEED = 11
-ROW = "__row"
+ROW = "__truegrain_row"
 WORD = r"[^\x20\x09-\x0D]+"
 SETTLED = 1e-9
 LANDING_TURNS = 8
@@ -175,6 +175,6 @@ def mix(
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: every document as often as it is taken, with all its columns."""
-    times = mix(docs).where("times > 0").select(ROW, "times")
+    times = mix(docs).where("times > 0").select(ROW, F.col("times").cast("int").alias("__times"))
     copies = with_row_id(docs, ROW).join(times, ROW)
-    return copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(docs.columns)
+    return copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(docs.columns)

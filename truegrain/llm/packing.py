@@ -163,10 +163,10 @@ def pack(
 
     def packing(pool: DataFrame, turn: int) -> DataFrame:
         parts = max(1, -(-pool.count() // partition_pieces))
-        dealt = with_row_id(pool, "__row").withColumn("__part", F.pmod(F.xxhash64(F.lit(turn), "__row"), F.lit(parts)))
+        dealt = with_row_id(pool, "__truegrain_row").withColumn("__part", F.pmod(F.xxhash64(F.lit(turn), "__truegrain_row"), F.lit(parts)))
         first_id = turn << 56
         return scratch.store(
-            dealt.drop("__row").groupBy("__part").applyInArrow(lambda p: packed_partition(p, sequence, first_id), ddl)
+            dealt.drop("__truegrain_row").groupBy("__part").applyInArrow(lambda p: packed_partition(p, sequence, first_id), ddl)
         )
 
     placed = packing(pool, 0)

@@ -23,7 +23,7 @@ LEAST_SEEDS = 3  # different seeds of a kind in a pattern
 PATTERN_SCORE = 0.8
 INSTANCE_SCORE = 0.8
 CONTEXT_CHARS = 64
-ROW = "__row"
+ROW = "__truegrain_row"
 MARK = "\ufffe"  # stands for a separator inside a match; a noncharacter, replaced where a text has it
 LABEL, LOCAL = "A-Za-z0-9-", f"A-Za-z0-9._%+{MARK}-"
 

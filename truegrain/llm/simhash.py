@@ -28,7 +28,7 @@ SAMPLE = 20_000  # fingerprints the tree is fitted on
 SHARD_POINTS = 16_384  # aimed at per shard
 SHARD_LIMIT = 8 * SHARD_POINTS  # a larger shard is compared block by block
 LEAF_POINTS = 512  # compared all with all inside a task
-ROW = "__row"
+ROW = "__truegrain_row"
 HASHES_AT_ONCE = 1 << 16
 
 

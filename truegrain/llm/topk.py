@@ -29,7 +29,7 @@ QUERIES_AT_ONCE = 256
 COORDINATE_SHARE = 0.25  # coordinate pruning is chosen if it leaves at most this share of what length pruning leaves
 SLACK = 1e-9
 NONE = np.iinfo(np.int64).min
-ROW = "__row"
+ROW = "__truegrain_row"
 FOUND = "query_row long, query_id long, vec_id long, vec_row long, score long"
 
 
