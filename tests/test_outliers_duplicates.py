@@ -21,13 +21,12 @@ SHAPES = {
 
 
 @pytest.mark.parametrize("shape", SHAPES)
-@pytest.mark.parametrize("small_bytes", [0, 1 << 63])
-def test_exact_quantiles(spark, shape, small_bytes):
+def test_exact_quantiles(spark, shape):
     values = SHAPES[shape]
     df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
     p = (0.25, 0.75)
     expected = [2.0, 6.0] if shape == "infinite" else np.quantile(values, p)
-    row = quantiles.exact_quantiles(df, ["v"], p, small_bytes=small_bytes).first()
+    row = quantiles.exact_quantiles(df, ["v"], p).first()
     assert [row["q0"], row["q1"]] == pytest.approx(list(expected), rel=1e-12, abs=1e-300)
 
 
@@ -35,7 +34,7 @@ def test_exact_quantiles(spark, shape, small_bytes):
 def test_other_quantiles(spark, p):
     values = SHAPES["heavy tail"]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    row = quantiles.exact_quantiles(df, ["v"], p, small_bytes=0).first()
+    row = quantiles.exact_quantiles(df, ["v"], p).first()
     assert list(row)[1:] == pytest.approx(list(np.quantile(values, p)), rel=1e-12)
 
 
@@ -46,20 +45,20 @@ def test_exact_quantiles_random_and_grouped(spark):
         for i in range(5000)
     ]
     df = spark.createDataFrame(rows, "g string, v double, t string").repartition(13)
-    out = quantiles.exact_quantiles(df, ["v", "t"], (0.25, 0.75), ["g"], small_bytes=0).collect()
+    out = quantiles.exact_quantiles(df, ["v", "t"], (0.25, 0.75), ["g"]).collect()
     assert len(out) == 2 * len({g for g, _, _ in rows})
     for r in out:
         own = [v if r["column_name"] == "v" else float(t) for g, v, t in rows if g == r["g"]]
         assert [r["q0"], r["q1"]] == pytest.approx(list(np.quantile(own, (0.25, 0.75))), rel=1e-12)
 
 
-def test_more_passes_for_larger_tables(spark):
-    assert [quantiles._linear_passes(n) for n in (0, 8 * 10**9, 8 * 10**12, 8 * 10**15, None)] == [1, 1, 2, 3, 3]
-    df = spark.createDataFrame([(v,) for v in SHAPES["close"]], "v double")
-    values = quantiles.numbers(df, ["v"])
-    for passes in (1, 2, 3):
-        row = quantiles._descend(values, (0.25, 0.75), ["column_name"], passes).first()
-        assert [row["q0"], row["q1"]] == pytest.approx(list(np.quantile(SHAPES["close"], (0.25, 0.75))), rel=1e-15)
+@pytest.mark.parametrize("values", [[1.7e18 + 1000 * (i // 3) for i in range(4000)], [float(i % 2) for i in range(999)]])
+def test_many_probabilities_of_clustered_values(spark, values):
+    """Forty probabilities at once, values packed together as times are, and ties."""
+    p = tuple(i / 39 for i in range(40))
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7)
+    row = quantiles.exact_quantiles(df, ["v"], p).first()
+    assert list(row)[1:] == pytest.approx(list(np.quantile(values, p)), rel=1e-12)
 
 
 def test_sketched_quantiles_are_close(spark):
@@ -141,8 +140,8 @@ def test_later_copies_and_dedup_against_brute_force(copies):
         return Counter(tuple(r) for r in frame.collect())
 
     assert counted(duplicates.deduplicate(df, ["k"], ["n"])) == first
-    for hot_rows in (0, 10, 10_000):
-        assert counted(duplicates.later_copies(df, ["k"], ["n"], hot_rows)) == later
+    for parts in (1, 3, 11):
+        assert counted(duplicates.later_copies(df.repartition(parts), ["k"], ["n"])) == later
     assert counted(duplicates.all_copies(df, ["k"])) == every
     counts = duplicates.copy_counts(df, ["k"]).first()
     assert tuple(counts) == (len(rows), len(groups), sum(later.values()))
@@ -150,12 +149,28 @@ def test_later_copies_and_dedup_against_brute_force(copies):
 
 def test_whole_row_copies(copies):
     df, rows = copies
-    for hot_rows in (0, 10, 10_000):
-        later = duplicates.later_copies(df, df.columns, hot_rows=hot_rows)
+    for parts in (1, 3, 11):
+        later = duplicates.later_copies(df.repartition(parts), df.columns)
         assert later.count() == len(rows) - len(set(rows))
     assert duplicates.deduplicate(df, df.columns).count() == len(set(rows))
 
 
+def test_copies_keep_every_cell(spark):
+    """A key of a third of the rows, signed zeros and NaN: cells come back as they went in."""
+    rows = [(1, "hot", -0.0, float("nan"))] * 40 + [(i, f"k{i % 30}", [0.0, -0.0, 1.5][i % 3], float(i)) for i in range(80)]
+    df = spark.createDataFrame(rows, "n int, k string, x double, y double").repartition(5)
+
+    def texts(frame):
+        return Counter(tuple(map(str, r)) for r in frame.collect())
+
+    groups: dict = {}
+    for row in rows:
+        groups.setdefault(row[1], []).append(row)
+    later = Counter(tuple(map(str, r)) for g in groups.values() for r in sorted(g, key=lambda r: r[0])[1:])
+    assert texts(duplicates.later_copies(df, ["k"], ["n"])) == later
+    assert texts(duplicates.all_copies(df, ["k"])) == Counter(tuple(map(str, r)) for g in groups.values() for r in g if len(g) > 1)
+
+
 def test_transform(spark):
     rows = [(" a ", "2024-01-02", "1"), ("", "nope", "2"), (None, None, "3"), ("\t", "2024-01-02", "1")]
     df = spark.createDataFrame(rows, "s string, d string, k string")

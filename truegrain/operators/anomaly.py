@@ -1,7 +1,9 @@
 """Outliers by z-score and interquartile range, and the clean / quarantine split.
 
-Statistics are taken for all columns together and brought back to the rows: as one
-broadcast row for a whole table, by a join on the group otherwise.
+Statistics are taken for all columns together, written as one small table, and brought
+back to the rows: as one broadcast row for a whole table, by a join on the group otherwise. As the
+small table is read back, Spark knows its size when it plans that join, and a plan that uses
+flagged rows more than once doesn't work the statistics out again.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from truegrain.functions import cells
 from truegrain.functions.joins import join_on
 from truegrain.operators import quantiles
+from truegrain.session import stored
 
 # Name starts of the columns that detection adds.
 DETECTION_PREFIXES = ("z_score_", "is_anomaly_", "iqr_lower_", "iqr_upper_")
@@ -73,18 +76,17 @@ def detect(
     added: dict[str, Column] = {}
     flags: list[Column] = []
     scratch: list[str] = []
-    out = df
+    statistics: DataFrame | None = None
 
     if present and method in ("iqr", "both"):
         bounds = iqr_bounds(df, present, multiplier, by, exact)
-        wide = bounds.groupBy(*by).agg(
+        statistics = bounds.groupBy(*by).agg(
             *(
                 F.max(F.when(F.col("column_name") == name, F.col(f"iqr_{end}"))).alias(f"iqr_{end}_{name}")
                 for name in present
                 for end in ("lower", "upper")
             )
         )
-        out = _bring(out, wide, by)
     if present and method in ("zscore", "both"):
         moments = []
         for name in present:
@@ -92,7 +94,9 @@ def detect(
             moments.append(F.avg(value).alias(f"__mean_{name}"))
             moments.append(F.stddev_samp(value).alias(f"__sd_{name}"))
             scratch += [f"__mean_{name}", f"__sd_{name}"]
-        out = _bring(out, df.groupBy(*by).agg(*moments), by)
+        spread = df.groupBy(*by).agg(*moments)
+        statistics = spread if statistics is None else _bring(spread, statistics, by)
+    out = df if statistics is None else _bring(df, stored(statistics, "statistics"), by)
 
     for name in present:
         value = cells.number(name, df.schema[name].dataType)

@@ -7,14 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from truegrain.functions.cells import column, is_text
-from truegrain.functions.joins import join_on
-
-HOT_ROWS = 100_000  # rows of one key that one task may order
 
 
 def _others(df: DataFrame, subset: Sequence[str]) -> list[str]:
@@ -44,15 +41,10 @@ def deduplicate(
     return df.withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")
 
 
-def _repeated(df: DataFrame, subset: Sequence[str]) -> DataFrame:
-    counts = df.groupBy(*(column(c) for c in subset)).agg(F.count("*").alias("__copies"))
-    return counts.where(F.col("__copies") > 1)
-
-
 def _suspects(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """Rows whose key may be repeated, judged by a hash of it.
 
-    Text keys can be long, so hashes are counted first and only keys whose hash occurs
+    Text keys can be long, so hashes are counted first and only rows whose hash occurs
     twice go through a shuffle whole. Equal keys have equal hashes, so none is lost.
     """
     if not any(is_text(df.schema[c].dataType) for c in subset):
@@ -62,52 +54,41 @@ def _suspects(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return hashed.join(twice.select("__hash"), "__hash", "left_semi").drop("__hash")
 
 
-def all_copies(df: DataFrame, subset: Sequence[str]) -> DataFrame:
-    """Every row of a key that occurs more than once."""
-    likely = _suspects(df, subset)
-    return join_on(likely, _repeated(likely, subset).select(*(column(c) for c in subset)), subset, "left_semi")
+def _placed(df: DataFrame, subset: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, WindowSpec]:
+    """Add ``__nth``, a row's place among those of its key in one input partition, and the window of its key's leaders.
 
+    A partition's first row of a key is its leader. Leaders of a key meet in one window, which so has a
+    row per partition at most; all other rows stay apart by partition. Rows travel as they are, so a hot key
+    needs no treatment of its own and no cell is changed.
+    """
+    keys = [column(c) for c in subset]
+    by_order = [column(c) for c in order] or [F.col("__part")]
+    parted = df.withColumn("__part", F.spark_partition_id())
+    nth = F.row_number().over(W.partitionBy(*keys, "__part").orderBy(*by_order))
+    numbered = parted.withColumn("__nth", nth)
+    slot = F.when(F.col("__nth") == 1, F.lit(-1)).otherwise(F.col("__part"))
+    return numbered.withColumn("__slot", slot), W.partitionBy(*keys, "__slot").orderBy(*by_order, "__part")
 
-def later_copies(
-    df: DataFrame,
-    subset: Sequence[str],
-    order_by: Sequence[str] | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Every row of a key but its first, by the order of :func:`deduplicate`.
 
-    Only rows of repeated keys are looked at. Keys of up to ``hot_rows`` rows are numbered
-    by a window; the few beyond it are split over many tasks instead (:func:`_beyond_first`).
-    """
-    order = _ordering(df, subset, order_by)
-    likely = _suspects(df, subset)
-    rows = join_on(likely, _repeated(likely, subset), subset)
-    usual = rows.where(F.col("__copies") <= hot_rows).drop("__copies")
-    hot = rows.where(F.col("__copies") > hot_rows).drop("__copies")
-    place = W.partitionBy(*(column(c) for c in subset)).orderBy(*(column(c) for c in order or subset))
-    numbered = usual.withColumn("__nth", F.row_number().over(place)).where(F.col("__nth") > 1)
-    return numbered.drop("__nth").unionByName(_beyond_first(hot, subset, order))
+def all_copies(df: DataFrame, subset: Sequence[str]) -> DataFrame:
+    """Every row of a key that occurs more than once."""
+    numbered, leaders = _placed(_suspects(df, subset), subset, ())
+    whole = leaders.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    local = W.partitionBy(*(column(c) for c in subset), "__part")
+    many = numbered.withColumn("__here", F.count("*").over(local)).withColumn("__leaders", F.count("*").over(whole))
+    kept = many.where((F.col("__here") > 1) | (F.col("__leaders") > 1))
+    return kept.select(*(column(c) for c in df.columns))
 
 
-def _beyond_first(df: DataFrame, subset: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Every row of a key but its first, without ordering a whole key in one task.
+def later_copies(df: DataFrame, subset: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
+    """Every row of a key but its first, by the order of :func:`deduplicate`.
 
-    Identical rows cannot be told apart and are first counted as one. The first of each key
-    comes from an aggregate, partly done on the map side, and goes back by a join whose hot
-    keys Spark can split.
+    A row that isn't its partition's first of the key is a later copy; of the partitions' firsts all but one are.
     """
-    counted = df.groupBy(*(column(c) for c in df.columns)).agg(F.count("*").alias("__copies"))
-    if order:
-        place = F.struct(*(column(c) for c in order))
-        firsts = counted.groupBy(*(column(c) for c in subset)).agg(F.min(place).alias("__first"))
-        marked = join_on(counted, firsts, subset)
-        is_first = place.eqNullSafe(F.col("__first"))
-    else:
-        marked, is_first = counted, F.lit(True)
-    left = F.col("__copies") - F.when(is_first, 1).otherwise(0)
-    extra = marked.withColumn("__left", left).where(F.col("__left") > 0)
-    repeated = extra.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__left"))))
-    return repeated.select(*(column(c) for c in df.columns))
+    numbered, leaders = _placed(df, subset, _ordering(df, subset, order_by))
+    led = numbered.withColumn("__led", F.row_number().over(leaders))
+    kept = led.where((F.col("__nth") > 1) | (F.col("__led") > 1))
+    return kept.select(*(column(c) for c in df.columns))
 
 
 def copy_counts(df: DataFrame, subset: Sequence[str]) -> DataFrame:

@@ -1,23 +1,16 @@
 """Exact quantiles with linear interpolation, without gathering a column in one task.
 
-The built-in ``percentile`` keeps every distinct value of a column in one reducer, so it
-is used only where Spark estimates the columns at a few megabytes. Beyond that each
-wanted rank is narrowed down by counting instead:
-
-1. count rows per logarithmic bucket of the value and keep each bucket's true least
-   and greatest value; the bucket that holds the rank becomes its bracket;
-2. count again inside each bracket, in equal steps, and narrow once more (twice for tables
-   so large that one bracket could still hold millions of values);
-3. count the single values left in the bracket and read off the rank.
-
-Only bucket counts cross the network, partly summed on the map side, so neither a
-hot value nor the number of rows decides the size of a shuffle. Bucketing never loses
-a row: it only has to keep the order of values, which it does.
+1. Rows are counted per distinct value, partly on the map side: a hot value is one row per map task.
+2. The counted values are sorted over the cluster by group and value, in ranges of equal size, and
+   written to the shared folder. As they are distinct, no range is hot, whatever the distribution.
+3. The sums of the ranges say which range holds a wanted rank; only there a running sum over the
+   values of the range finds it.
+
+Wanted ranks travel as rows, so their number costs next to nothing. The same steps are taken at every size.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,13 +18,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from truegrain.functions import cells
+from truegrain.functions.cells import column
 from truegrain.functions.joins import join_on
-
-LOG_STEPS = 64  # buckets per factor e, about 1.6 % of the value each
-LINEAR_STEPS = 4096  # equal steps inside a bracket
-SMALL_BYTES = 2 * 1024 * 1024  # columns up to this size go through the built-in percentile
-VALUES_LEFT = 1_000_000  # values of one bracket that one task may sort at the end
-_LARGEST = 1.0e308
+from truegrain.session import stored
 
 
 def numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -45,119 +34,50 @@ def numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     return df.select(*by, F.inline(F.array(*lines))).where(F.col("value").isNotNull())
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Spark's own estimate of a result's size, before running it; None where it has none to give."""
-    try:
-        statistics = df._jdf.queryExecution().optimizedPlan().stats()  # as printed by explain("cost")
-        return int(str(statistics.sizeInBytes()))
-    except AttributeError:
-        return None
-
-
-def _linear_passes(size: int | None) -> int:
-    """How often to narrow by equal steps, so that about a million values are left at the end
-    even where all values share one logarithmic bucket."""
-    largest = 1 << 50  # also stands for an estimate that Spark could not make
-    values = min(largest, largest if size is None else size) / 8
-    return max(1, math.ceil(math.log(max(values, 1) / VALUES_LEFT, LINEAR_STEPS)))
-
-
-def _log_bucket(value: Column) -> Column:
-    """A whole number that never falls as the value rises, over all doubles."""
-    size = F.least(F.abs(value), F.lit(_LARGEST))
-    level = F.ln(size) + F.lit(800.0)  # above zero for the least positive double
-    return F.when(value == 0, F.lit(0)).otherwise(
-        F.floor(F.signum(value) * level * F.lit(LOG_STEPS))
-    )
-
-
-def _linear_bucket(value: Column, low: Column, high: Column) -> Column:
-    """A whole number in 0..LINEAR_STEPS that never falls as the value rises from low to high.
-
-    Both ends are halved so that their distance cannot overflow.
-    """
-    span = _bounded(high) / 2 - _bounded(low) / 2
-    part = (_bounded(value) / 2 - _bounded(low) / 2) / span
-    return F.when(span <= 0, F.lit(0)).otherwise(F.floor(part * F.lit(LINEAR_STEPS)))
-
-
-def _bounded(value: Column) -> Column:
-    return F.greatest(F.least(value, F.lit(_LARGEST)), F.lit(-_LARGEST))
-
-
-def _with_first_rank(counts: DataFrame, bracket: Sequence[str]) -> DataFrame:
-    """Add ``first_rank``: the 0-based rank, in its bracket, of a bucket's first row.
-
-    The window runs over bucket counts, whose number the bucketing bounds, not over rows.
-    """
-    order = W.partitionBy(*bracket).orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return counts.withColumn("first_rank", F.sum("n").over(order) - F.col("n"))
-
-
-def _brackets(ranked: DataFrame, group: Sequence[str], ranks: dict[str, Column]) -> DataFrame:
-    """Keep the buckets that hold a wanted rank, as brackets between two true values.
-
-    ``ranks`` are the wanted ranks within the old bracket; a bracket notes those it holds,
-    counted from its own first row, and null for the others.
-    """
-    held = {
-        name: F.when(
-            (rank >= F.col("first_rank")) & (rank < F.col("first_rank") + F.col("n")),
-            rank - F.col("first_rank"),
-        )
-        for name, rank in ranks.items()
-    }
-    return ranked.select(
-        *group,
-        F.col("least").alias("low"),
-        F.col("greatest").alias("high"),
-        "total",
-        *(rank.alias(name) for name, rank in held.items()),
-    ).where(F.coalesce(*(F.col(name) for name in ranks)).isNotNull())
-
-
-def _tally(values: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
-    return values.groupBy(*keys, bucket.alias("bucket")).agg(
-        F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("greatest")
-    )
-
-
-def _narrow(values: DataFrame, brackets: DataFrame, group: Sequence[str], ranks, bucket: Column):
-    """Count the values of each bracket by bucket and move into the buckets that hold ranks.
-
-    The wanted ranks follow from the bracket, so they ride along as grouping keys: the old
-    brackets are used once, and each level reads the table once.
-    """
-    inside = join_on(
-        values,
-        brackets,
-        group,
-        also=F.col("value").between(F.col("low"), F.col("high")),
-        broadcast=list(group) == ["column_name"],  # then at most two brackets per quantile and column
-    )
-    counts = _tally(inside, [*group, "low", "high", "total", *ranks], bucket)
-    ranked = _with_first_rank(counts, [*group, "low", "high"])
-    return _brackets(ranked, group, {name: F.col(name) for name in ranks})
-
-
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    by: Sequence[str] = (),
-    small_bytes: int = SMALL_BYTES,
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Quantiles per column, in long form: ``by, column_name, q0, q1, ...``.
 
-    A group or column that holds no number has no row. Both ways give the same answer;
-    ``small_bytes`` is the estimated size up to which the built-in one is taken.
+    A group or column that holds no number has no row. The table is read when this is called.
     """
     group = [*by, "column_name"]
-    values = numbers(df, columns, by)
-    size = estimated_bytes(df.select(*by, *(cells.column(c) for c in columns)))
-    if size is not None and size <= small_bytes:
-        return _listed(values, F.percentile("value", _marks(probabilities)), group, len(probabilities))
-    return _descend(values, probabilities, group, _linear_passes(size))
+    order = [column(c) for c in (*group, "value")]
+    counted = numbers(df, columns, by).groupBy(*order).agg(F.count("*").alias("n"))
+    ranges = counted.repartitionByRange(*order).sortWithinPartitions(*order)
+    values = stored(ranges.withColumn("__range", F.spark_partition_id()), "quantiles")
+
+    sums = values.groupBy(*group, "__range").agg(F.sum("n").alias("held"))
+    ahead = W.partitionBy(*group).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.withColumns(
+        {
+            "before": F.coalesce(F.sum("held").over(ahead), F.lit(0)),
+            "total": F.sum("held").over(W.partitionBy(*group)),
+        }
+    )
+    # Two ranks a probability: the one at or below its place, and the next.
+    place = F.col("p") * (F.col("total") - 1)
+    low = F.floor(place)
+    marks = F.array(
+        *(F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities))
+    )
+    wanted = sums.select(*group, "__range", "held", "before", "total", F.inline(marks)).withColumn(
+        "rank", F.explode(F.array_distinct(F.array(low, F.least(low + 1, F.col("total") - 1))))
+    )
+    inside = wanted.where(F.col("rank").between(F.col("before"), F.col("before") + F.col("held") - 1))
+    inside = inside.withColumn("__nth", F.col("rank") - F.col("before"))
+
+    upto = W.partitionBy(*group, "__range").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    running = values.withColumn("upto", F.sum("n").over(upto))
+    here = (F.col("__nth") < F.col("upto")) & (F.col("__nth") >= F.col("upto") - F.col("n"))
+    found = join_on(running, inside, [*group, "__range"], also=here)
+
+    ends = found.groupBy(*group, "i", "p", "total").agg(F.min("value").alias("a"), F.max("value").alias("b"))
+    part = place - low
+    mark = F.when((part == 0) | (F.col("a") == F.col("b")), F.col("a"))
+    told = ends.withColumn("mark", mark.otherwise(F.col("a") + (F.col("b") - F.col("a")) * part))
+    wide = [F.max(F.when(F.col("i") == i, F.col("mark"))).alias(f"q{i}") for i in range(len(probabilities))]
+    return told.groupBy(*group).agg(*wide)
 
 
 def _marks(probabilities: Sequence[float]) -> Column:
@@ -169,38 +89,6 @@ def _listed(values: DataFrame, aggregate: Column, group: Sequence[str], n: int)
     return found.select(*group, *(F.col("marks")[i].alias(f"q{i}") for i in range(n)))
 
 
-def _descend(
-    values: DataFrame, probabilities: Sequence[float], group: Sequence[str], linear_passes: int
-) -> DataFrame:
-    """The counting passes; each reads the table once and is used once."""
-    value, low, high = F.col("value"), F.col("low"), F.col("high")
-
-    places = [F.lit(float(p)) * (F.col("total") - 1) for p in probabilities]
-    wanted = {}
-    for i, place in enumerate(places):
-        wanted[f"a{i}"] = F.floor(place)
-        wanted[f"b{i}"] = F.least(F.floor(place) + 1, F.col("total") - 1)
-    names = list(wanted)
-
-    first = _with_first_rank(_tally(values, group, _log_bucket(value)), group)
-    first = first.withColumn("total", F.sum("n").over(W.partitionBy(*group)))
-    brackets = _brackets(first, group, wanted)
-    for _ in range(linear_passes):
-        brackets = _narrow(values, brackets, group, names, _linear_bucket(value, low, high))
-    found = _narrow(values, brackets, group, names, value)  # one value per bucket: low = high
-
-    ends = found.groupBy(*group, "total").agg(
-        *(F.max(F.when(F.col(name).isNotNull(), low)).alias(name) for name in names)
-    )
-    marks = []
-    for i, place in enumerate(places):
-        part = place - F.floor(place)
-        a, b = F.col(f"a{i}"), F.col(f"b{i}")
-        mark = F.when((part == 0) | (a == b), a).otherwise(a + (b - a) * part)
-        marks.append(mark.alias(f"q{i}"))
-    return ends.select(*group, *marks)
-
-
 def sketched_quantiles(
     df: DataFrame,
     columns: Sequence[str],

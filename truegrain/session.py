@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "truegrain", **conf: str) -> SparkSession:
@@ -28,25 +27,34 @@ def build_session(app_name: str = "truegrain", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-@functools.cache
-def _own_dir() -> str:
-    return tempfile.mkdtemp(prefix="truegrain-")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Where it is unset a session on one machine, as in tests, gets a temporary folder; a
+    A session on one machine that names none gets a temporary folder set as its own; a
     cluster has to name one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _own_dir()
+    if not named:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="truegrain-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no earlier run has used."""
     return f"{shared_dir(spark)}/truegrain/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a result to a path of its own in the shared folder and read it back."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a path through the file system it names, local or remote."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
