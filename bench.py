@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from truegrain.plans.catalog import QUERIES
@@ -59,6 +60,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="truegrain-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,7 +9,7 @@ from truegrain.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "truegrain-tests",
         **{
@@ -17,6 +17,8 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
     session.sparkContext.setLogLevel("OFF")

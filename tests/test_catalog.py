@@ -12,7 +12,6 @@ from truegrain.plans import catalog, settings
 from truegrain.sources import files, views
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-NO_SQL = {"file_freshness"}
 
 
 @pytest.fixture(scope="module")
@@ -21,20 +20,15 @@ def oracle():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == NO_SQL
+    assert set(catalog.QUERIES) <= set(contract.oracle_sql())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if n not in NO_SQL])
+@pytest.mark.parametrize("name", catalog.QUERIES)
 def test_query_matches_its_sql(spark, oracle, name):
     assert mismatch(contract.queries()[name](spark, SF_DIR), oracle, contract.oracle_sql()[name]) is None
 
 
-def test_file_freshness(spark):
-    row = contract.queries()["file_freshness"](spark, SF_DIR).first()
-    assert row["latest_timestamp"] is not None
-
-
 def test_entry(spark):
     assert contract.entry(spark).count() == 1
 
@@ -45,11 +39,11 @@ def plan(df) -> str:
 
 WRITING = {
     "bronze_csv_scan", "bronze_land", "medallion_silver", "medallion_gold", "silver_validate", "gate_results",
-    "history_scan", "score_history_append", "freshness_history_append", "file_freshness",
+    "history_scan", "history_table_scan", "score_history_append", "freshness_history_append", "scorecard_v1_trend",
 }
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if n not in WRITING])
+@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if n not in WRITING])
 def test_plans_stay_in_spark(spark, name):
     text = plan(contract.queries()[name](spark, SF_DIR))
     assert "Python" not in text
@@ -67,11 +61,11 @@ def test_row_measures_read_the_table_once(spark):
     assert any(re.fullmatch(r"o_orderkey#\d+L", s) for s in scans)  # the key branch reads the key
 
 
-def test_quantile_passes_read_only_the_columns(spark):
+def test_quantiles_come_from_sorted_counts(spark):
     lines = files.table(spark, SF_DIR, "lineitem")
-    text = plan(quantiles.exact_quantiles(lines, ["l_tax"], (0.25, 0.75), small_bytes=0))
-    assert re.findall(r"FileScan parquet \[([a-z_]*)", text) == ["l_tax"] * 3
-    assert "percentile" not in text
+    text = plan(quantiles.exact_quantiles(lines, ["l_tax"], (0.25, 0.75)))
+    assert "percentile" not in text and "l_tax" not in text  # the table was read once, before
+    assert not re.search("SinglePartition|Cartesian", text)
 
 
 def test_first_rows_are_limited_before_the_shuffle(spark):
@@ -84,10 +78,24 @@ def test_first_rows_are_limited_before_the_shuffle(spark):
         assert re.search(r"WindowGroupLimit .* Partial", plan(frame))
 
 
-def test_marking_copies_of_hot_keys_has_no_window(spark):
+def test_marking_copies_reads_the_table_once(spark):
     lines = files.table(spark, SF_DIR, "lineitem")
-    assert "Window" not in plan(duplicates._beyond_first(lines, ["l_orderkey"], ["l_shipdate"]))
-    assert plan(duplicates.later_copies(lines, ["l_orderkey"])).count("Window [") == 1
+    text = plan(duplicates.later_copies(lines, ["l_orderkey"], ["l_shipdate"]))
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+    docs = files.table(spark, SF_DIR, "documents")
+    assert plan(duplicates.all_copies(docs, ["text"])).count("FileScan") == 2
+
+
+def test_bounds_are_worked_out_once_in_a_scorecard(spark):
+    text = plan(catalog.QUERIES["scorecard_orders"](spark, SF_DIR))
+    assert "repartition" not in text.lower() and text.count("o_orderkey") and len(re.findall("FileScan", text)) == 4
+
+
+def test_trends_read_the_stored_history(spark):
+    text = plan(catalog.QUERIES["trend_summary"](spark, SF_DIR))
+    assert text.count("FileScan") <= 4 and "props" not in text
+    text = plan(catalog.QUERIES["weighted_score"](spark, SF_DIR))
+    assert text.count("FileScan") == 1 and "SortMergeJoin" not in text
 
 
 def test_outlier_statistics_are_one_broadcast_row(spark):

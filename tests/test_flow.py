@@ -1,5 +1,6 @@
 """Contract, expectations, gates, files, histories, trend and freshness."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -170,9 +171,24 @@ def test_medallion_runs_to_the_end(spark):
     assert "is_anomaly" not in gold.columns
     assert spark.read.parquet(run.flagged).where("is_anomaly").count() == 1
     by_gate = {r["gate"]: r["severity"] for r in run.gate_rows.collect() if r["check_kind"] != "null"}
-    assert by_gate == {f"gate_{i}": "OK" for i in range(1, 6)}
+    assert by_gate == {**{f"gate_{i}": "OK" for i in range(1, 6)}, "transform": "OK", "gold": "OK"}
+    seen = {r["check_kind"]: (r["observed"], r["threshold"]) for r in run.gate_rows.collect() if r["gate"] in ("transform", "gold")}
+    assert seen == {
+        "input_records": (202.0, None), "output_records": (201.0, None), "duplicates_removed": (1.0, None), "records_loaded": (201.0, 201.0),
+    }
     history = sinks.read_scores(spark, run.history)
     assert history.select("dimension").distinct().count() == 6
+    run.clear_layers(spark)
+    assert not os.path.exists(run.flagged) and not os.path.exists(run.bronze) and os.path.exists(run.gold)
+
+
+def test_medallion_with_line_breaks_in_cells(spark):
+    rows = list(order_rows(60))
+    rows[0] = (rows[0][0], "CUST\nwith a break", *rows[0][2:])
+    source = land(spark, rows)
+    run = medallion.run_orders(spark, source, fresh_path(spark, "run"), datetime(2024, 1, 30, 12), multi_line=True)
+    assert run.completed
+    assert spark.read.parquet(run.gold).where(F.col("customer_id").contains("\n")).count() == 1
 
 
 def test_medallion_stops_on_types_and_on_score(spark):
@@ -194,6 +210,41 @@ def test_gold_is_replaced(spark):
     assert sinks.load_gold(spark, silver, gold).first()["records_loaded"] == 3
 
 
+def test_gold_by_name(spark):
+    silver = sinks.write_parquet(spark.range(4), fresh_path(spark, "silver"))
+    gold = fresh_path(spark, "gold")
+    name = "gold_" + gold.rsplit("-", 1)[1]
+    row = sinks.load_gold(spark, silver, gold, name).first()
+    assert (row["passed"], row["records_loaded"], row["records_due"], row["table"]) == (True, 4, 4, name)
+    assert spark.table(name).count() == 4
+
+
+def test_gold_that_lost_rows_stops(spark):
+    for loaded, severity in ((4, "OK"), (3, "STOP")):
+        row = spark.createDataFrame([(loaded == 4, loaded, 4, "gold")], "passed boolean, records_loaded long, records_due long, table string")
+        assert gates.load_gate(row).first()["severity"] == severity
+
+
+def test_history_under_a_name(spark):
+    path = fresh_path(spark, "history")
+    name = "history_" + path.rsplit("-", 1)[1]
+    for day in (2, 1):
+        card = spark.createDataFrame([("p", NOW + timedelta(days=day), 90.0 - day, "PASS", None, 0.9), ("q", NOW, 1.0, "FAIL", "x", 0.1)],
+            "pipeline_name string, scored_at timestamp, total_score double, status string, hard_block_triggered string, score_a double")
+        sinks.append_scores(card, path, name)
+    rows = files.history_of(files.history_table(spark, name), "p").collect()
+    assert [r["total_score"] for r in rows] == [89.0, 88.0]
+
+
+def test_csv_history_keeps_quotes(spark):
+    message = 'a "quoted" name, with \\ and a comma'
+    card = spark.createDataFrame([(message, NOW, 90.0, "PASS", message, 0.9)],
+        "pipeline_name string, scored_at timestamp, total_score double, status string, hard_block_triggered string, score_a double")
+    path = sinks.append_scores_csv(card, fresh_path(spark, "csv"))
+    row = files.read_history_csv(spark, path, ["a"]).first()
+    assert (row["pipeline_name"], row["hard_block_triggered"]) == (message, message)
+
+
 def history(spark, rows, name="p"):
     start = datetime(2026, 7, 25, 9)
     data = [(name, start + timedelta(days=i), float(v), v / 100) for i, v in enumerate(rows)]
@@ -277,7 +328,9 @@ def test_freshness(spark, table, sla, age_minutes, severity):
 
 def test_file_times(spark):
     path = sinks.write_parquet(spark.range(10).repartition(3), fresh_path(spark, "f"))
-    assert files.file_times(spark, path, "t").first()["latest_timestamp"] is not None
+    newest = max(os.stat(os.path.join(path, f)).st_mtime for f in os.listdir(path) if f.endswith(".parquet"))
+    seen = files.file_times(spark, path, "t").select(F.unix_micros("latest_timestamp")).first()[0]
+    assert abs(seen / 1e6 - newest) < 0.01
     absent = files.file_times(spark, path + "-absent", "t").first()
     assert (absent["table_name"], absent["latest_timestamp"]) == ("t", None)
 
@@ -293,14 +346,19 @@ def test_history_appends_with_other_dimensions(spark):
     assert [(r["pipeline_name"], r["score_a"], r["score_b"]) for r in wide] == [("2024", 0.9, None), ("2024", None, 0.8)]
 
 
+class Conf(dict):
+    set = dict.__setitem__
+
+
 class Session:
     def __init__(self, **settings):
-        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+        self.conf = Conf({key.replace("_", "."): value for key, value in settings.items()})
 
 
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(Session(spark_checkpoint_dir="/shared/x/")) == "/shared/x"
-    assert shared_dir(Session(spark_master="local[4]")) == shared_dir(Session(spark_master="local[4]"))
+    alone = Session(spark_master="local[4]")
+    assert shared_dir(alone) == shared_dir(alone) == alone.conf["spark.checkpoint.dir"]
     with pytest.raises(RuntimeError):
         shared_dir(Session(spark_master="yarn"))
     assert fresh_path(spark, "a") != fresh_path(spark, "a")

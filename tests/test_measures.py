@@ -297,7 +297,7 @@ def test_weighted_score_long_form(spark):
     ]
     rows = [
         ("p", 1, "a", 1.0), ("p", 1, "b", 0.95), ("p", 2, "a", 0.4), ("p", 2, "b", 0.1), ("p", 3, "a", 1.0),
-        ("p", 3, "other", 9.0), ("q", 1, "a", 0.7), ("q", 2, "a", 0.3),
+        ("p", 3, "other", 9.0), ("q", 1, "a", 0.7), ("q", 2, "a", 0.3), ("new", 1, "a", 0.9),
     ]
     scores = spark.createDataFrame(rows, "pipeline_name string, run_id int, dimension string, score double")
     out = score.weighted_score(scores, score.config_frame(spark, configs)).collect()
@@ -308,4 +308,5 @@ def test_weighted_score_long_form(spark):
         ("p", 3): (50.0, "FAIL", "b score 0.00 below hard block 0.9"),
         ("q", 1): (70.0, "WARN", None),
         ("q", 2): (30.0, "FAIL", None),
+        ("new", 1): (None, "UNCONFIGURED", None),
     }

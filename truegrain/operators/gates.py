@@ -74,3 +74,29 @@ def contract_gate(spark: SparkSession, contract: Contract, gate: str = "contract
     name = f"{contract.previous_version} -> {contract.version}"
     rows = [(gate, "breaking_change", name, False, "WARN", None, None)] if notice else []
     return spark.createDataFrame(rows, GATE_SCHEMA)
+
+
+def transform_gate(counts: DataFrame, gate: str = "transform") -> DataFrame:
+    """Rows in, rows out and duplicates removed by the transform, as rows that never stop."""
+    kinds = ("input_records", "output_records", "duplicates_removed")
+    lines = F.inline(F.array(*(F.struct(F.lit(k).alias("check_kind"), F.col(k).alias("n")) for k in kinds)))
+    rows = counts.select(lines).select(
+        "check_kind",
+        F.lit("").alias("column_name"),
+        F.lit(True).alias("passed"),
+        F.col("n").cast("double").alias("observed"),
+        F.lit(None).cast("double").alias("threshold"),
+    )
+    return _rows(rows, gate, F.lit("OK"))
+
+
+def load_gate(loaded: DataFrame, gate: str = "gold") -> DataFrame:
+    """A gold table with another number of rows than silver stops."""
+    line = loaded.select(
+        F.lit("records_loaded").alias("check_kind"),
+        F.lit("").alias("column_name"),
+        "passed",
+        F.col("records_loaded").cast("double").alias("observed"),
+        F.col("records_due").cast("double").alias("threshold"),
+    )
+    return _rows(line, gate, F.when(F.col("passed"), "OK").otherwise("STOP"))

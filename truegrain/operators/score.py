@@ -71,33 +71,54 @@ def weighted_score(scores: DataFrame, config: DataFrame) -> DataFrame:
     """Score runs held in long form (``pipeline_name, run_id, dimension, score``).
 
     The configuration drives the result: a dimension without a score counts as 0.0,
-    and a score outside the configuration is ignored. Returns one row per pipeline and
+    and a score outside the configuration is ignored. A run of a pipeline without a configuration
+    stays, with status UNCONFIGURED and no total. Returns one row per pipeline and
     run: ``pipeline_name, run_id, total_score, status, hard_block_triggered``.
+
+    A run's few scores are gathered in its row; the configuration, which people write, is broadcast.
     """
-    runs = scores.select("pipeline_name", "run_id").distinct()
-    due = runs.join(config, "pipeline_name")
-    lines = due.join(scores, ["pipeline_name", "run_id", "dimension"], "left").withColumn(
-        "score", F.coalesce("score", F.lit(0.0))
-    )
-    blocked = F.col("score") < F.col("hard_block")
-    message = block_message(F.col("dimension"), F.col("score"), F.col("hard_block"))
-    # Parts are added up in configuration order, so the last digit never depends on task order.
-    parts = F.sort_array(
-        F.collect_list(F.struct("ord", (F.col("score") * F.col("weight")).alias("part")))
+    runs = scores.groupBy("pipeline_name", "run_id").agg(
+        F.collect_list(F.struct("dimension", "score")).alias("__scores")
     )
-    totals = lines.groupBy("pipeline_name", "run_id").agg(
-        F.aggregate(parts, F.lit(0.0), lambda total, p: total + p["part"]).alias("total"),
-        F.min(F.when(blocked, F.struct("ord", message.alias("text")))).alias("first_block"),
+    weights = F.sort_array(F.collect_list(F.struct("ord", "dimension", "weight", "hard_block")))
+    plans = config.groupBy("pipeline_name").agg(
+        weights.alias("__weights"),
         F.first("pass_threshold").alias("pass_threshold"),
         F.first("warn_threshold").alias("warn_threshold"),
     )
-    block = F.col("first_block.text")
-    return totals.select(
+    due = runs.join(F.broadcast(plans), "pipeline_name", "left")
+
+    def score_of(dimension: Column) -> Column:
+        own = F.filter("__scores", lambda s: s["dimension"] == dimension)
+        return F.aggregate(own, F.lit(0.0), lambda total, s: total + F.coalesce(s["score"], F.lit(0.0)))
+
+    lines = F.transform(
+        "__weights",
+        lambda w: F.struct(
+            w["dimension"].alias("dimension"),
+            w["weight"].alias("weight"),
+            w["hard_block"].alias("floor"),
+            score_of(w["dimension"]).alias("score"),
+        ),
+    )
+    # Parts are added up in configuration order, so the last digit never depends on task order.
+    told = due.withColumn("__lines", lines).withColumn(
+        "__total", F.aggregate("__lines", F.lit(0.0), lambda total, x: total + x["score"] * x["weight"])
+    )
+    blocked = F.filter("__lines", lambda x: F.coalesce(x["score"] < x["floor"], F.lit(False)))
+    first = F.get(blocked, F.lit(0))
+    block = F.when(F.size(blocked) > 0, block_message(first["dimension"], first["score"], first["floor"]))
+    judged = told.withColumn("hard_block_triggered", block)
+    known = F.col("__weights").isNotNull()
+    verdict = status(
+        F.col("__total"), F.col("hard_block_triggered"), F.col("pass_threshold"), F.col("warn_threshold")
+    )
+    return judged.select(
         "pipeline_name",
         "run_id",
-        F.round(F.col("total") * 100, 2).alias("total_score"),
-        status(F.col("total"), block, F.col("pass_threshold"), F.col("warn_threshold")).alias("status"),
-        block.alias("hard_block_triggered"),
+        F.when(known, F.round(F.col("__total") * 100, 2)).alias("total_score"),
+        F.when(known, verdict).otherwise("UNCONFIGURED").alias("status"),
+        "hard_block_triggered",
     )
 
 

@@ -8,6 +8,7 @@ path of their own under the cluster's shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,14 @@ from truegrain.operators import (
     duplicates,
     expect,
     freshness,
+    gates,
     measures,
     score,
     transform,
     trend,
 )
 from truegrain.plans import medallion, settings
-from truegrain.session import fresh_path
+from truegrain.session import fresh_path, stored
 from truegrain.sources import files, sinks, views
 
 ORDERS_AS_OF = datetime(2001, 8, 1, 3, 0)
@@ -50,7 +52,7 @@ def _round_scores(df: DataFrame) -> DataFrame:
 # --- scans and sinks -----------------------------------------------------------------
 
 RAW_COLUMNS = (
-    "order_id", "customer_id", "product_id", "quantity", "unit_price", "total_amount",
+    "order_id", "customer_id", "product_id", "quantity", "unit_price", "total_amount", "order_date",
     "order_date_text", "status", "customer_email", "quantity_text",
 )
 TEXT_COLUMNS = (
@@ -59,19 +61,26 @@ TEXT_COLUMNS = (
 )
 
 
+def _raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the orders as a raw file has them: money with two digits, times to the second."""
+    texts = {
+        "quantity": F.col("quantity").cast("string"),
+        "unit_price": F.col("unit_price").cast("decimal(18,2)").cast("string"),
+        "total_amount": F.col("total_amount").cast("decimal(18,2)").cast("string"),
+        "order_date": F.date_format("order_date", "yyyy-MM-dd HH:mm:ss"),
+    }
+    return views.dirty_orders(spark, sf_dir).select(*RAW_COLUMNS).withColumns(texts)
+
+
 @query
 def bronze_csv_scan(spark, sf_dir):
-    path = sinks.write_raw(
-        views.dirty_orders(spark, sf_dir).select(*RAW_COLUMNS), fresh_path(spark, "bronze")
-    )
+    path = sinks.write_raw(_raw_orders(spark, sf_dir), fresh_path(spark, "bronze"))
     return files.read_bronze(spark, path)
 
 
 @query
 def bronze_land(spark, sf_dir):
-    source = sinks.write_raw(
-        views.dirty_orders(spark, sf_dir).select(*TEXT_COLUMNS), fresh_path(spark, "incoming")
-    )
+    source = sinks.write_raw(_raw_orders(spark, sf_dir), fresh_path(spark, "incoming"))
     return files.read_raw(spark, sinks.land_bronze(spark, source, fresh_path(spark, "bronze")))
 
 
@@ -110,11 +119,6 @@ def silver_validate(spark, sf_dir):
     )
 
 
-@query
-def file_freshness(spark, sf_dir):
-    return files.file_times(spark, f"{sf_dir}/lineitem.parquet", "lineitem")
-
-
 def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A score history: each event type a pipeline, each of its days a scored run."""
     daily = measures.dimension_scores(
@@ -123,6 +127,11 @@ def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score.with_score(daily, settings.EVENT_CONFIG).withColumnRenamed("run_at", "scored_at")
 
 
+def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history as a written table, as a run that follows it would find it."""
+    return stored(event_history(spark, sf_dir), "history")
+
+
 EVENT_DIMENSIONS = tuple(settings.EVENT_CONFIG.dimensions)
 HISTORY_COLUMNS = (
     "pipeline_name", "scored_at", "total_score", "status", "hard_block_triggered",
@@ -137,11 +146,20 @@ def history_scan(spark, sf_dir):
     return _round_scores(files.history_of(history, "purchase"))
 
 
+@query
+def history_table_scan(spark, sf_dir):
+    """The long history under a name in the catalog, one pipeline of it in time order."""
+    path = fresh_path(spark, "history")
+    table = f"score_history_{path.rsplit('-', 1)[1]}"
+    sinks.append_scores(event_history(spark, sf_dir), path, table)
+    return rounded(files.history_of(files.history_table(spark, table), "purchase"), "score")
+
+
 @query
 def score_history_append(spark, sf_dir):
     path = fresh_path(spark, "history")
     early = F.col("scored_at") < F.lit("2024-01-16").cast("timestamp_ntz")
-    runs = event_history(spark, sf_dir)
+    runs = stored_history(spark, sf_dir)
     sinks.append_scores(runs.where(early), path)
     sinks.append_scores(runs.where(~early), path)
     return _round_scores(sinks.wide_scores(sinks.read_scores(spark, path), list(EVENT_DIMENSIONS)))
@@ -372,7 +390,7 @@ def quality_status(spark, sf_dir):
 
 def _weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs in long form against weights that name a dimension nobody measured."""
-    runs = event_history(spark, sf_dir).withColumnRenamed("scored_at", "run_id")
+    runs = stored_history(spark, sf_dir).withColumnRenamed("scored_at", "run_id")
     dimensions = {
         "completeness": score.Dimension(0.30, 0.80),
         "timeliness": score.Dimension(0.05),
@@ -538,22 +556,44 @@ def gate_results(spark, sf_dir):
     flagged = spark.read.parquet(written)
     clean, _ = anomaly.quarantine(flagged)
     bronze = views.contract_orders(spark, sf_dir)
-    rows = medallion.orders_gates(spark, bronze, flagged, medallion.orders_silver(clean), ORDERS_AS_OF)
+    silver = sinks.write_parquet(medallion.orders_silver(clean), fresh_path(spark, "silver"))
+    changed = replace(settings.ORDERS_CONTRACT, breaking_change=True, previous_version="0.9.0", version="1.0.0")
+    rows = medallion.orders_gates(
+        spark, bronze, flagged, files.read_silver(spark, silver), ORDERS_AS_OF, changed
+    )
+    loaded = sinks.load_gold(spark, silver, fresh_path(spark, "gold"))
+    rows = rows.unionByName(gates.load_gate(loaded)).unionByName(gates.history_gate(spark, "gate_5", 1))
     return rounded(rows, "observed")
 
 
+@query
+def scorecard_v1_trend(spark, sf_dir):
+    """The earlier entry point: a scorecard per month of orders, appended to a history, and its trend."""
+    clean, _ = anomaly.split_anomalies(views.shop_orders(spark, sf_dir), settings.SHOP_ANOMALY_COLUMNS)
+    orders = clean.withColumn("month", F.date_trunc("month", "ordered_at").cast("timestamp_ntz"))
+    measured = ("completeness", "validity", "accuracy", "consistency", "uniqueness")
+    spec = replace(settings.SHOP_SPEC, measured=measured)
+    monthly = score.scorecard(orders, spec, settings.SHOP_CONFIG, ORDERS_AS_OF, by=["month"])
+    runs = monthly.drop("scored_at").withColumnRenamed("month", "scored_at")
+    path = sinks.append_scores(runs, fresh_path(spark, "history"))
+    dims = [c.removeprefix("score_") for c in runs.columns if c.startswith("score_")]
+    history = sinks.wide_scores(sinks.read_scores(spark, path), dims)
+    summary = trend.trend_summary(history)
+    return rounded(summary, "first_rolling", "last_rolling", "trend_delta", "mean_baseline", "std_baseline")
+
+
 # --- trend ---------------------------------------------------------------------------
 
 
 @query
 def rolling_avg_score(spark, sf_dir):
-    averaged = trend.rolling_average(event_history(spark, sf_dir))
+    averaged = trend.rolling_average(stored_history(spark, sf_dir))
     return rounded(averaged.select("pipeline_name", "scored_at", "total_score", "rolling_avg"), "rolling_avg")
 
 
 @query
 def score_baseline_anomaly(spark, sf_dir):
-    flagged = trend.score_anomalies(event_history(spark, sf_dir))
+    flagged = trend.score_anomalies(stored_history(spark, sf_dir))
     kept = flagged.select(
         "pipeline_name", "scored_at", "total_score", "mean_baseline", "std_baseline", "z_score", "is_anomaly"
     )
@@ -562,7 +602,7 @@ def score_baseline_anomaly(spark, sf_dir):
 
 @query
 def trend_summary(spark, sf_dir):
-    summary = trend.trend_summary(event_history(spark, sf_dir))
+    summary = trend.trend_summary(stored_history(spark, sf_dir))
     return rounded(
         summary, "first_rolling", "last_rolling", "trend_delta", "mean_baseline", "std_baseline"
     )
@@ -570,12 +610,12 @@ def trend_summary(spark, sf_dir):
 
 @query
 def dimension_trend(spark, sf_dir):
-    return rounded(trend.dimension_trend(event_history(spark, sf_dir)), "avg_first", "avg_last", "delta")
+    return rounded(trend.dimension_trend(stored_history(spark, sf_dir)), "avg_first", "avg_last", "delta")
 
 
 @query
 def trend_alert(spark, sf_dir):
-    return trend.trend_alert(trend.trend_summary(event_history(spark, sf_dir)))
+    return trend.trend_alert(trend.trend_summary(stored_history(spark, sf_dir)))
 
 
 # --- freshness -----------------------------------------------------------------------

@@ -6,6 +6,7 @@ rows come back to the driver, to decide whether to go on.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -13,13 +14,20 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from truegrain.operators import anomaly, expect, gates, score, transform
 from truegrain.plans import settings
+from truegrain.session import remove_path
 from truegrain.sources import files, sinks
+from truegrain.sources.contract import Contract
 
 
 def orders_gates(
-    spark: SparkSession, bronze: DataFrame, flagged: DataFrame, silver: DataFrame, as_of: datetime
+    spark: SparkSession,
+    bronze: DataFrame,
+    flagged: DataFrame,
+    silver: DataFrame,
+    as_of: datetime,
+    contract: Contract = settings.ORDERS_CONTRACT,
 ) -> DataFrame:
-    """Gates 1 to 4 as one lazy frame.
+    """The contract's notice, gates 1 to 4 and the transform's counts as one lazy frame.
 
     ``flagged`` is bronze after outlier detection. It is read by several gates, so it
     should be a written table rather than a plan that would run once for each.
@@ -27,10 +35,11 @@ def orders_gates(
     clean, _ = anomaly.quarantine(flagged)
     card = score.scorecard(clean, settings.ORDERS_SPEC, settings.ORDERS_CONFIG, as_of)
     return (
-        gates.contract_gate(spark, settings.ORDERS_CONTRACT)
+        gates.contract_gate(spark, contract)
         .unionByName(gates.expectation_gate(_expectations(bronze), "gate_1"))
         .unionByName(_quarantine_gate(flagged))
         .unionByName(gates.score_gate(card, settings.ORDERS_CONFIG, "gate_3"))
+        .unionByName(_transform_gate(clean))
         .unionByName(gates.expectation_gate(_expectations(silver), "gate_4"))
     )
 
@@ -50,6 +59,11 @@ def _quarantine_gate(flagged: DataFrame) -> DataFrame:
     return gates.quarantine_gate(rate, "gate_2")
 
 
+def _transform_gate(clean: DataFrame) -> DataFrame:
+    keys = settings.ORDERS_CONTRACT.uniqueness_columns
+    return gates.transform_gate(transform.transform_counts(clean, keys, settings.ORDERS_DATES))
+
+
 def orders_silver(clean: DataFrame) -> DataFrame:
     """Clean rows as silver holds them: without the anomaly flag, one row per order."""
     keys = settings.ORDERS_CONTRACT.uniqueness_columns
@@ -68,6 +82,13 @@ class MedallionRun:
     gate_rows: DataFrame
     completed: bool
 
+    def clear_layers(self, spark: SparkSession, keep: Sequence[str] = ("silver", "gold", "history")) -> None:
+        """Remove the layers of this run that are not to be kept."""
+        for name in ("bronze", "flagged", "silver", "gold", "history"):
+            path = getattr(self, name)
+            if path and name not in keep:
+                remove_path(spark, path)
+
 
 def run_orders(
     spark: SparkSession,
@@ -76,15 +97,16 @@ def run_orders(
     as_of: datetime,
     history: str | None = None,
     gold_table: str | None = None,
+    multi_line: bool = False,
 ) -> MedallionRun:
     """Run the flow from a raw CSV at ``source`` into folders below ``target``.
 
-    Stops after the first gate with a STOP row. The flagged table keeps the quarantined
+    ``multi_line`` reads quoted line breaks as part of a cell. Stops after the first gate with a STOP row. The flagged table keeps the quarantined
     rows and why they were flagged.
     """
     contract = settings.ORDERS_CONTRACT
     config = settings.ORDERS_CONFIG
-    bronze = sinks.land_bronze(spark, source, f"{target}/bronze")
+    bronze = sinks.land_bronze(spark, source, f"{target}/bronze", multi_line)
     decided = gates.contract_gate(spark, contract)
 
     def settle(rows: DataFrame) -> bool:
@@ -98,7 +120,7 @@ def run_orders(
         return MedallionRun(bronze, staged, silver, None, None, decided, False)
 
     # Gate 1 counts the raw texts while they are turned into a typed table: the file is parsed once.
-    raw = files.null_tokens(files.read_raw(spark, bronze))
+    raw = files.null_tokens(files.read_raw(spark, bronze, multi_line))
     plan = expect.expectation_plan(raw, *_agreed(), raw_text=True)
     seen = Observation()
     typed_rows = files.typed(raw.observe(seen, *plan.counts), contract.struct_type())
@@ -120,12 +142,14 @@ def run_orders(
     if not settle(gates.score_gate(card, config, "gate_3")):
         return stopped(staged)
 
+    settle(_transform_gate(clean))
     silver = sinks.write_parquet(orders_silver(clean), f"{target}/silver")
     if not settle(gates.expectation_gate(_expectations(files.read_silver(spark, silver)), "gate_4")):
         return stopped(staged, silver)
 
     gold = f"{target}/gold"
-    sinks.load_gold(spark, silver, gold, gold_table)
+    if not settle(gates.load_gate(sinks.load_gold(spark, silver, gold, gold_table))):
+        return stopped(staged, silver)
     scores = sinks.append_scores(card, history or f"{target}/score_history")
     settle(gates.history_gate(spark, "gate_5", 1))
     return MedallionRun(bronze, staged, silver, gold, scores, decided, True)

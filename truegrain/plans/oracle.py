@@ -469,13 +469,22 @@ RAW_DIMENSIONS = ", ".join(f"{d} AS raw_{d}" for d in DIMENSIONS)
 ORACLE: dict[str, str] = {
     "bronze_csv_scan": f"""WITH {DIRTY}
       SELECT order_id, nullif(customer_id, 'N/A') AS customer_id, product_id, quantity::DOUBLE AS quantity,
-        unit_price, total_amount, order_date_text, status, customer_email, quantity_text FROM dirty""",
+        unit_price, total_amount, strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date, order_date_text, status,
+        customer_email, quantity_text FROM dirty""",
     "bronze_land": f"""WITH {DIRTY}
-      SELECT order_id, customer_id, product_id, quantity_text, order_date_text, status, customer_email FROM dirty""",
+      SELECT order_id, customer_id, product_id, CAST(quantity AS VARCHAR) AS quantity,
+        CAST(CAST(unit_price AS DECIMAL(18, 2)) AS VARCHAR) AS unit_price,
+        CAST(CAST(total_amount AS DECIMAL(18, 2)) AS VARCHAR) AS total_amount,
+        strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date, order_date_text, status, customer_email,
+        quantity_text FROM dirty""",
     "medallion_silver": MEDALLION,
     "medallion_gold": MEDALLION,
     "silver_validate": f"WITH {DIRTY}, {CLEAN}, {silver('clean', False)} {expectation_rows('silver')}",
     "history_scan": f"WITH {HISTORY} SELECT {HISTORY_OUT} FROM history WHERE pipeline_name = 'purchase'",
+    "history_table_scan": f"""WITH {HISTORY}, purchases AS (SELECT * FROM history WHERE pipeline_name = 'purchase')
+      {" UNION ALL ".join(
+        "SELECT pipeline_name, scored_at, total_score, status, hard_block_triggered, "
+        f"'{d}' AS dimension, round(score_{d}, 6) AS score FROM purchases" for d in EVENT_DIMENSIONS)}""",
     "score_history_append": f"WITH {HISTORY} SELECT {HISTORY_OUT} FROM history",
     "freshness_history_append": f"""WITH {SLAS}, {freshness(EVENTS_AS_OF, "a")},
       {freshness("TIMESTAMP '2024-02-01 00:00:00'", "b")}
@@ -572,6 +581,23 @@ ORACLE: dict[str, str] = {
         {"completeness": 0.9, "accuracy": 0.75, "uniqueness": 0.95},
         ORDERS_AS_OF,
     ),
+    "scorecard_v1_trend": f"""WITH {DIRTY}, {SHOP}, {iqr_flags("shop", ("quantity", "price"))},
+      monthly AS (
+        SELECT date_trunc('month', ordered_at)::TIMESTAMP AS scored_at,
+          {share(total(missing("order_id"), missing("customer_id"), missing("product_id"), "quantity IS NULL", "price IS NULL", missing("status")), "count(*) * 6")} AS completeness,
+          {share(total("quantity IS NULL", "price IS NULL", blank("status")), "count(*) * 3")} AS validity,
+          {share(total(outside("quantity", 1, 100), outside("price", 1, 10000000), not_in("status", "pending", "confirmed", "shipped", "delivered")), "count(*) * 3")} AS accuracy,
+          {share(total("(coalesce(quantity > 0, false) AND coalesce(price <= 0, false)) OR status NOT IN ('pending', 'confirmed', 'shipped', 'delivered')"), "count(*)")} AS consistency,
+          {share("count(*) - count(DISTINCT order_id)", "count(*)")} AS uniqueness
+        FROM flagged WHERE NOT is_anomaly GROUP BY 1),
+      history AS (
+        SELECT 'orders_pipeline' AS pipeline_name, scored_at, {half_up("(0.0::DOUBLE + completeness * 0.3::DOUBLE + validity * 0.1::DOUBLE + accuracy * 0.25::DOUBLE + consistency * 0.1::DOUBLE + uniqueness * 0.15::DOUBLE + 0.0::DOUBLE) * 100", 2)}::DOUBLE AS total_score
+        FROM monthly), {NUMBERED}
+      SELECT pipeline_name, first_scored_at, last_scored_at, total_records, round(first_rolling, 6) AS first_rolling,
+        round(last_rolling, 6) AS last_rolling, round(last_rolling - first_rolling, 6) AS trend_delta,
+        CASE WHEN last_rolling - first_rolling > 0 THEN 'improving' ELSE 'degrading' END AS trend_direction,
+        anomaly_count, round(mean_baseline, 6) AS mean_baseline, round(std_baseline, 6) AS std_baseline
+      FROM summary""",
     "scorecard_orders": f"WITH {DIRTY}, {CLEAN}, {orders_measured('clean')} {ORDERS_CARD}",
     "scorecard_by_group": f"""WITH {DIRTY}, grouped AS (SELECT *, status AS order_status FROM dirty),
       {orders_measured("grouped", "order_status")}
@@ -668,7 +694,14 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'gate_3', 'score', '', status <> 'FAIL',
         CASE status WHEN 'PASS' THEN 'OK' WHEN 'WARN' THEN 'WARN' ELSE 'STOP' END, total_score, 60.0::DOUBLE
         FROM ({ORDERS_CARD})
-      UNION ALL {gate("gate_4", expectation_rows("silver", False))}""",
+      UNION ALL {gate("gate_4", expectation_rows("silver", False))}
+      UNION ALL SELECT 'contract', 'breaking_change', '0.9.0 -> 1.0.0', false, 'WARN', NULL, NULL
+      UNION ALL SELECT 'transform', kind, '', true, 'OK', n::DOUBLE, NULL FROM (
+        SELECT unnest(['input_records', 'output_records', 'duplicates_removed']) AS kind,
+          unnest([(SELECT count(*) FROM clean), (SELECT count(*) FROM silver),
+            (SELECT count(*) FROM clean) - (SELECT count(*) FROM silver)]) AS n)
+      UNION ALL SELECT 'gold', 'records_loaded', '', true, 'OK', count(*)::DOUBLE, count(*)::DOUBLE FROM silver
+      UNION ALL SELECT 'gate_5', 'history', '', true, 'OK', 1.0::DOUBLE, NULL""",
     "rolling_avg_score": f"""WITH {HISTORY}, {NUMBERED}
       SELECT pipeline_name, scored_at, total_score, round(rolling_avg, 6) AS rolling_avg FROM numbered""",
     "score_baseline_anomaly": f"""WITH {HISTORY}, {NUMBERED}

@@ -107,6 +107,11 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def history_table(spark: SparkSession, table: str) -> DataFrame:
+    """A score history kept under a name in the catalog, one row per run and dimension."""
+    return spark.table(table)
+
+
 def history_of(history: DataFrame, pipeline_name: str) -> DataFrame:
     """One pipeline's score history in time order."""
     return history.where(F.col("pipeline_name") == pipeline_name).orderBy("scored_at")

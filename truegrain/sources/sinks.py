@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from truegrain.functions import cells
@@ -12,22 +12,27 @@ from truegrain.sources.files import read_raw
 RUN_COLUMNS = ("pipeline_name", "scored_at", "total_score", "status", "hard_block_triggered")
 
 
-def write_raw(df: DataFrame, path: str) -> str:
-    """Write texts as CSV with a header in every part, no value trimmed or altered."""
-    (
-        df.write.mode("overwrite")
-        .option("header", True)
+def _raw_options(writer: DataFrameWriter) -> DataFrameWriter:
+    return (
+        writer.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+
+
+def write_raw(df: DataFrame, path: str) -> str:
+    """Write texts as CSV with a header in every part, no value trimmed or altered."""
+    _raw_options(df.write.mode("overwrite")).csv(path)
     return path
 
 
 def land_bronze(spark: SparkSession, source: str, target: str, multi_line: bool = False) -> str:
-    """Copy a raw CSV into the bronze layer as it is; returns where it went."""
+    """Bring a raw CSV into the bronze layer, every cell as it is; returns where it went.
+
+    The file is parsed and written again, so that large files land in parts; quoting may differ.
+    """
     return write_raw(read_raw(spark, source, multi_line), target)
 
 
@@ -38,31 +43,39 @@ def write_parquet(df: DataFrame, path: str) -> str:
 
 
 def load_gold(spark: SparkSession, silver: str, path: str, table: str | None = None) -> DataFrame:
-    """Replace the gold table by what silver holds; one row: ``passed, records_loaded, table``.
+    """Replace the gold table by what silver holds; one row: ``passed, records_loaded, records_due, table``.
 
-    Gold is Parquet at ``path``, under the name ``table`` in the catalog if one is given.
+    Gold is Parquet at ``path``, under the name ``table`` in the catalog if one is given. It passed if
+    the table, read again, has as many rows as silver.
     """
     writer = spark.read.parquet(silver).write.mode("overwrite")
     if table:
         writer.option("path", path).saveAsTable(table)
     else:
         writer.parquet(path)
-    return (
-        spark.read.parquet(path)
-        .agg(F.count("*").alias("records_loaded"))
-        .select(F.lit(True).alias("passed"), "records_loaded", F.lit(table or path).alias("table"))
+    loaded = (spark.table(table) if table else spark.read.parquet(path)).agg(F.count("*").alias("records_loaded"))
+    due = spark.read.parquet(silver).agg(F.count("*").alias("records_due"))
+    return loaded.crossJoin(F.broadcast(due)).select(  # one row each
+        (F.col("records_loaded") == F.col("records_due")).alias("passed"),
+        "records_loaded",
+        "records_due",
+        F.lit(table or path).alias("table"),
     )
 
 
-def append_scores(card: DataFrame, path: str) -> str:
+def append_scores(card: DataFrame, path: str, table: str | None = None) -> str:
     """Add score runs to the history, one row per run and dimension.
 
     The long form takes any set of dimensions, so runs with different ones share a table.
-    Partitioned by pipeline for reading one at a time.
+    Partitioned by pipeline for reading one at a time; under the name ``table`` in the catalog if one is given.
     """
     run_at = cells.instant(F.col("scored_at"), card.schema["scored_at"].dataType)
     runs = card.withColumn("scored_at", run_at)
-    long_scores(runs, list(RUN_COLUMNS)).write.mode("append").partitionBy("pipeline_name").parquet(path)
+    writer = long_scores(runs, list(RUN_COLUMNS)).write.mode("append").partitionBy("pipeline_name")
+    if table:
+        writer.option("path", path).format("parquet").saveAsTable(table)
+    else:
+        writer.parquet(path)
     return path
 
 
@@ -88,7 +101,7 @@ def wide_scores(history: DataFrame, dimensions: list[str]) -> DataFrame:
 def append_scores_csv(card: DataFrame, path: str) -> str:
     """Add score runs to a wide CSV history; every run in it must have the same dimensions."""
     dims = [c for c in card.columns if c.startswith("score_")]
-    card.select(*RUN_COLUMNS, *dims).write.mode("append").option("header", True).csv(path)
+    _raw_options(card.select(*RUN_COLUMNS, *dims).write.mode("append")).csv(path)
     return path
 
 
