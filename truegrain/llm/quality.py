@@ -27,8 +27,9 @@ TRAIN_ROWS = 20_000  # labelled documents the network is fitted on, at most
 KEEP_AT = 0.7
 HIDDEN = 32
 SEED = 5
-ROW = "__row"
+ROW = "__truegrain_row"
 TEXT_AT_ONCE = 1 << 20
+TOKENS_AT_ONCE = 1 << 14
 PRIME = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 #: Bytes by kind: 0 white space, 1 letters (all bytes beyond ASCII too), 2 digits, 3 signs.
@@ -137,7 +138,9 @@ def pooled(table: np.ndarray, data: np.ndarray, starts: np.ndarray) -> np.ndarra
     if len(slot):
         first = np.flatnonzero(np.diff(doc, prepend=-1))
         there = doc[first]
-        out[there, :WIDTH] = np.add.reduceat(table[slot], first, axis=0)
+        for place, start, end in zip(there.tolist(), first.tolist(), [*first[1:].tolist(), len(slot)]):
+            for at in range(start, end, TOKENS_AT_ONCE):
+                out[place, :WIDTH] += table.take(slot[at : min(end, at + TOKENS_AT_ONCE)], axis=0).sum(0)
         counts = np.bincount(doc * FORMS + form, minlength=len(starts) * FORMS).reshape(-1, FORMS)
         out[:, WIDTH : 2 * WIDTH] = counts.astype(np.float32) @ table[SLOTS:]
         again = np.flatnonzero((slot[1:] == slot[:-1]) & (doc[1:] == doc[:-1])) + 1
