@@ -130,6 +130,13 @@ def test_targets_and_takes(messy, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_the_mix_does_not_depend_on_the_order_of_rows(messy, tmp_path):
+    messy.repartition(7).write.parquet(str(tmp_path / "documents.parquet"))
+    moved = messy.sparkSession.read.parquet(str(tmp_path / "documents.parquet"))
+    taken = [Counter((f["doc_id"], f["size"], f["taken"]) for f in mixing.mix(d, chunk_docs=8).collect()) for d in (messy, moved)]
+    assert taken[0] == taken[1]
+
+
 def test_small_chunks_keep_the_totals(messy):
     found = mixing.mix(messy.where("source = 'hot' or doc_id < 60"), chunk_docs=8).collect()
     for source in {f["source"] for f in found}:

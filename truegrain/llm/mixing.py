@@ -17,13 +17,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import Scratch, ranked, text_or_empty, with_row_id
+from truegrain.llm.common import Scratch, growing, ranked, text_or_empty, with_row_id
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 CHUNK_DOCS = 2048
 SEED = 11
-ROW = "__truegrain_row"
+ROW, MARK = "__truegrain_row", "__truegrain_mark"
 WORD = r"[^\x20\x09-\x0D]+"
 SETTLED = 1e-9
 LANDING_TURNS = 8
@@ -108,33 +108,41 @@ def land(p: np.ndarray, size: np.ndarray, expected: np.ndarray) -> np.ndarray:
 
 def _flight(seed: int, turn: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def fly(chunk: pd.DataFrame) -> pd.DataFrame:
-        chunk = chunk.sort_values(ROW)
-        key = [seed, turn, int(chunk["rank"].iloc[0]), int(chunk["__chunk"].iloc[0])]
+        chunk = chunk.sort_values([MARK, ROW])
+        key = [seed, turn, *(int(chunk[c].iloc[0]) for c in ("rank", "__chunk", "__sub"))]
         size = chunk["size"].to_numpy(float)
         expected = chunk["p"].to_numpy()
         p = move(expected, size, np.random.default_rng(key))
-        p = land(p, size, expected) if chunk["__chunks"].iloc[0] == 1 else p
+        p = land(p, size, expected) if chunk["__chunks"].iloc[0] == 1 and chunk["__subs"].iloc[0] == 1 else p
         landed = (p <= 0) | (p >= 1)
-        return pd.DataFrame({ROW: chunk[ROW], "rank": chunk["rank"], "size": chunk["size"], "p": p, "landed": landed})
+        return pd.DataFrame({**{c: chunk[c] for c in (ROW, MARK, "rank", "size")}, "p": p, "landed": landed})
 
     return fly
 
 
 def balanced(scratch: Scratch, docs: DataFrame, chunk_docs: int, seed: int) -> DataFrame:
-    """(row, p) with p 0 or 1, for rows (row, rank, size, p, docs): ``docs`` is the number of rows of their source."""
-    ddl = f"{ROW} long, rank long, size long, p double, landed boolean"
+    """(row, p) with p 0 or 1, for rows (row, mark, rank, size, p, docs): ``docs`` is the number of rows of their source.
+
+    Rows are dealt to chunks, and ordered in them, by their mark, which comes from id and text: the draws don't depend on
+    where a row lies. A chunk that grows too large, which takes many rows alike, is cut by row number.
+    """
+    ddl = f"{ROW} long, {MARK} long, rank long, size long, p double, landed boolean"
     settled, turn = [], 0
     while True:
         chunks = F.greatest(F.ceil(F.col("docs") / chunk_docs), F.lit(1))
-        chunk = F.pmod(F.xxhash64(F.lit(turn), ROW), F.col("__chunks"))
+        chunk = F.pmod(F.xxhash64(F.lit(turn), MARK), F.col("__chunks"))
         dealt = docs.withColumn("__chunks", chunks).withColumn("__chunk", chunk)
-        flown = scratch.store(dealt.groupBy("rank", "__chunk").applyInPandas(_flight(seed, turn), ddl))
+        counts = dealt.groupBy("rank", "__chunk").agg(F.count("*").alias("__n")).where(F.col("__n") > 4 * chunk_docs)
+        subs = F.coalesce(F.ceil(F.col("__n") / chunk_docs), F.lit(1))
+        dealt = dealt.join(growing(scratch.store(counts)), ["rank", "__chunk"], "left").withColumn("__subs", subs)
+        dealt = dealt.withColumn("__sub", F.pmod(F.xxhash64(F.lit(turn), ROW), F.col("__subs")))
+        flown = scratch.store(dealt.groupBy("rank", "__chunk", "__sub").applyInPandas(_flight(seed, turn), ddl))
         settled.append(flown.where("landed").select(ROW, "p"))
         open_ = flown.where("not landed")
         left = scratch.store(open_.groupBy("rank").agg(F.count("*").alias("docs")))
         if left.isEmpty():
             break
-        docs, turn = open_.join(left, "rank").select(ROW, "rank", "size", "p", "docs"), turn + 1
+        docs, turn = open_.join(growing(left), "rank").select(ROW, MARK, "rank", "size", "p", "docs"), turn + 1
     out = settled[0]
     for more in settled[1:]:
         out = out.unionByName(more)
@@ -152,23 +160,24 @@ def mix(
     """Per document: row number, doc_id, source, size, source_size, target, times and taken (times * size).
 
     A document without words (or null text) has size 0 and is taken no time. Rows with the same doc_id are separate.
-    A null source is a source of its own. The same table and seed give the same mix.
+    A null source is a source of its own. The same rows and seed give the same mix, in whatever order they are stored.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     size = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long") if size is None else size
-    rows = with_row_id(docs, ROW).select(ROW, "doc_id", "source", size.alias("size"))
+    mark = F.xxhash64(F.lit(seed), "doc_id", text_or_empty())
+    rows = with_row_id(docs, ROW).select(ROW, mark.alias(MARK), "doc_id", "source", size.alias("size"))
     sizes = scratch.store(rows)
     sources = scratch.store(targets(scratch, sizes, weights, most))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     ratio = F.when(F.abs(ratio - F.round(ratio)) < SETTLED, F.round(ratio)).otherwise(ratio)
-    known = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).select(
-        ROW, "doc_id", sizes["source"], "size", "source_size", "target", "rank", "docs",
+    known = sizes.join(growing(sources), sizes["source"].eqNullSafe(sources["source"])).select(
+        ROW, MARK, "doc_id", sizes["source"], "size", "source_size", "target", "rank", "docs",
         F.floor(ratio).alias("whole"), (ratio - F.floor(ratio)).alias("p"),
     )
     known = scratch.store(known)
-    picked = balanced(scratch, known.where("size > 0 and p > 0").select(ROW, "rank", "size", "p", "docs"), chunk_docs, seed)
+    picked = balanced(scratch, known.where("size > 0 and p > 0").select(ROW, MARK, "rank", "size", "p", "docs"), chunk_docs, seed)
     times = F.when(F.col("size") > 0, F.col("whole") + F.coalesce(F.col("pick"), F.lit(0.0))).otherwise(0).cast("long")
-    return known.join(picked.withColumnRenamed("p", "pick"), ROW, "left").select(
+    return known.join(growing(picked.withColumnRenamed("p", "pick")), ROW, "left").select(
         ROW, "doc_id", "source", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken")
     )
 
@@ -176,5 +185,5 @@ def mix(
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: every document as often as it is taken, with all its columns."""
     times = mix(docs).where("times > 0").select(ROW, F.col("times").cast("int").alias("__times"))
-    copies = with_row_id(docs, ROW).join(times, ROW)
+    copies = with_row_id(docs, ROW).join(growing(times), ROW)
     return copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(docs.columns)
