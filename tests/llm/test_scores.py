@@ -42,7 +42,7 @@ def corpus(spark, tmp_path_factory):
 def test_quality_on_documents_held_out(spark, corpus):
     docs, labels = corpus
     found = quality.scored(docs, labels)
-    assert found.columns == [quality.ROW, "doc_id", "held_out", "score", "predicted"]
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"]
     rows = found.collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(r["doc_id"] for r in docs.collect())
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import Scratch, arrow_schema, ranked, with_row_id
+from truegrain.llm.common import Scratch, arrow_schema, growing, ranked, with_row_id
 
 ROLES = ("system", "user", "assistant")
 OPEN, DONE = "open", "done"  # before a conversation's first turn, after its end
@@ -183,10 +183,10 @@ def repair(turns: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
         listed = listed.unionByName(borders.withColumn("item", F.lit(item)).withColumn("role", F.lit(name)))
     chain = scratch.store(ranked(scratch, listed, F.col("conv_id"), F.col("item"), F.col("turn"), F.col(ROW), name="place"))
     states = scratch.store(solve(scratch, chain.select("place", "role"), block_items))
-    told = scratch.store(chain.join(states, "place").where("item > 0"))
+    told = scratch.store(chain.join(growing(states), "place").where("item > 0"))
     texts = rows.select(F.col(ROW).alias("__of"), F.col("text").cast("string").alias("text"))
     # Ends have no row; they get numbers of their own, so that they don't meet as one null key.
-    keyed = told.withColumn("__of", F.coalesce(ROW, -1 - F.col("place"))).join(texts, "__of", "left")
+    keyed = told.withColumn("__of", F.coalesce(ROW, -1 - F.col("place"))).join(growing(texts), "__of", "left")
     kept = ["conv_id", "turn", "place"]
     types = ", ".join(f"{c} {told.schema[c].dataType.simpleString()}" for c in kept)
     ddl = f"{types}, role string, action string, inserted array<string>, cost long, rendered string"

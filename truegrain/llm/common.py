@@ -39,6 +39,14 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def growing(df: DataFrame) -> DataFrame:
+    """The side of a join that grows with the data: it is never broadcast.
+
+    Spark judges stored tables by their compressed size, which can be many times less than what a broadcast holds.
+    """
+    return df.hint("merge")
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -78,7 +86,8 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``limit`` bytes of text; one row is never cut."""
-    sizes = pa.compute.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)
+    lengths = pa.compute.binary_length(batch.column(text).cast(pa.string()))
+    sizes = pa.compute.fill_null(lengths, 0).to_numpy(zero_copy_only=False).astype(np.int64)
     group = (np.cumsum(sizes) - sizes) // limit
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
     for start, end in zip(edges, edges[1:]):

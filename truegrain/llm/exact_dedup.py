@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import SPACES, Scratch, text_or_empty, with_row_id
+from truegrain.llm.common import SPACES, Scratch, growing, text_or_empty, with_row_id
 
 BLOCK_CHARS = 4096
 ABSENT = -(1 << 63)  # stands to the right of an odd last name
@@ -64,7 +64,7 @@ def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int =
     places = digests.select(ROW, F.size("hashes").cast("long").alias("n"), F.posexplode("hashes").alias("pos", "hash"))
     shared = scratch.store(names.groupBy("hash").count().where("count > 1").select("hash"))
     if shared.isEmpty():
-        level = places.join(names, "hash").select(ROW, "n", F.col("pos").cast("long").alias("pos"), "name")
+        level = places.join(growing(names), "hash").select(ROW, "n", F.col("pos").cast("long").alias("pos"), "name")
     else:
         level = _named_by_characters(scratch, cut, places, names, shared, hash_bits)
     longest = digests.agg(F.max(F.size("hashes"))).first()[0] or 1
@@ -80,12 +80,12 @@ def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int =
             )
         )
         names = _named(scratch, pairs.select("left", "right"), "left", "right")
-        level = pairs.join(names, ["left", "right"]).select(ROW, "n", "pos", "name")
+        level = pairs.join(growing(names), ["left", "right"]).select(ROW, "n", "pos", "name")
         done.append(level.where("n = 1").select(ROW, F.lit(depth).alias("level"), "name"))
     ids = done[0]
     for more in done[1:]:
         ids = ids.unionByName(more)
-    return scratch.store(digests.select(ROW, "doc_id", "text_sha256").join(ids, ROW))
+    return scratch.store(digests.select(ROW, "doc_id", "text_sha256").join(growing(ids), ROW))
 
 
 def _named_by_characters(
@@ -95,14 +95,14 @@ def _named_by_characters(
     texts = scratch.store(
         cut.select(ROW, F.posexplode("blocks").alias("pos", "block"))
         .withColumn("hash", _hashed(F.col("block"), hash_bits))
-        .join(shared, "hash", "left_semi")
+        .join(growing(shared), "hash", "left_semi")
     )
     exact = _named(scratch, texts.select("block"), "block").select("block", (-1 - F.col("name")).alias("name"))
-    told = texts.join(exact, "block").select(ROW, F.col("pos").cast("long").alias("pos"), "name")
-    plain = places.join(shared, "hash", "left_anti").join(names, "hash")
-    widths = places.join(shared, "hash", "left_semi").select(ROW, "n", F.col("pos").cast("long").alias("pos"))
+    told = texts.join(growing(exact), "block").select(ROW, F.col("pos").cast("long").alias("pos"), "name")
+    plain = places.join(growing(shared), "hash", "left_anti").join(growing(names), "hash")
+    widths = places.join(growing(shared), "hash", "left_semi").select(ROW, "n", F.col("pos").cast("long").alias("pos"))
     return plain.select(ROW, "n", F.col("pos").cast("long").alias("pos"), "name").unionByName(
-        widths.join(told, [ROW, "pos"]).select(ROW, "n", "pos", "name")
+        widths.join(growing(told), [ROW, "pos"]).select(ROW, "n", "pos", "name")
     )
 
 
@@ -118,7 +118,7 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int
     groups = scratch.store(
         members.groupBy("level", "name").agg(first.alias("first"), F.count("*").alias("group_size"))
     )
-    return members.join(groups, ["level", "name"]).select(
+    return members.join(growing(groups), ["level", "name"]).select(
         ROW,
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),
@@ -131,4 +131,4 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
     kept = exact_groups(docs).where("kept").select(ROW)
-    return with_row_id(docs, ROW).join(kept, ROW, "left_semi").drop(ROW)
+    return with_row_id(docs, ROW).join(growing(kept), ROW, "left_semi").drop(ROW)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import Scratch, arrow_schema, slices, text_or_empty, with_row_id
+from truegrain.llm.common import Scratch, arrow_schema, growing, slices, text_or_empty, with_row_id
 
 SLOTS = 1 << 14  # hashed letter triples
 TEXT_WEIGHT = 0.25  # triples overlap and repeat, so a text's likelihood counts less than its length says
@@ -147,7 +147,7 @@ def identify(pages: DataFrame, docs: DataFrame, strength: float = STRENGTH) -> D
         """Join a group's sums of text posteriors to its pages, less the page's own."""
         stored = scratch.store(told.groupBy(*keys).agg(F.array(*sums).alias(name)))
         less = F.zip_with(name, "likely", lambda s, p: F.greatest(s - p, F.lit(0.0)))
-        return df.join(stored, keys).withColumn(name, less)
+        return df.join(growing(stored), keys).withColumn(name, less)
 
     fused = told
     for level in LEVELS:

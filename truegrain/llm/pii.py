@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import SPACES, Scratch, text_or_empty, with_row_id
+from truegrain.llm.common import SPACES, Scratch, growing, text_or_empty, with_row_id
 
 KINDS = ("email", "ip", "card", "phone")
 TURNS = 3
@@ -144,27 +144,27 @@ def discovered(scratch: Scratch, occurrences: DataFrame, turns: int = TURNS) ->
     seeds = scratch.store(edges.where("kind <> 'token'").select("instance", "kind").distinct())
     hopeful = edges.where("kind <> 'token'").groupBy("pattern").agg(F.count_distinct("instance").alias("n"))
     hopeful = scratch.store(hopeful.where(F.col("n") >= LEAST_SEEDS).select("pattern"))  # others never score
-    graph = scratch.store(edges.join(hopeful, "pattern", "left_semi").select("pattern", "instance").distinct())
+    graph = scratch.store(edges.join(growing(hopeful), "pattern", "left_semi").select("pattern", "instance").distinct())
     totals = scratch.store(graph.groupBy("pattern").agg(F.count("*").alias("instances")))
     known = seeds.withColumn("score", F.lit(1.0)).withColumn("seed", F.lit(True))
     scores = None
     for _ in range(turns):
-        told = graph.join(known, "instance").groupBy("pattern", "kind")
+        told = graph.join(growing(known), "instance").groupBy("pattern", "kind")
         masses = scratch.store(told.agg(F.sum("score").alias("mass"), F.count_if("seed").alias("seeds")))
         share = (F.col("mass") / (F.col("instances") + 1)).alias("score")
         scores = scratch.store(
-            masses.where(F.col("seeds") >= LEAST_SEEDS).join(totals, "pattern").select("pattern", "kind", share)
+            masses.where(F.col("seeds") >= LEAST_SEEDS).join(growing(totals), "pattern").select("pattern", "kind", share)
         )
         missed = F.exp(F.sum(F.log(F.lit(1.0) - F.col("score"))))
-        found = graph.join(scores, "pattern").groupBy("instance", "kind").agg((1 - missed).alias("score"))
-        found = found.where(_suits(F.col("kind"), F.col("instance"))).join(seeds, ["instance", "kind"], "left_anti")
+        found = graph.join(growing(scores), "pattern").groupBy("instance", "kind").agg((1 - missed).alias("score"))
+        found = found.where(_suits(F.col("kind"), F.col("instance"))).join(growing(seeds), ["instance", "kind"], "left_anti")
         known = scratch.store(
             found.withColumn("seed", F.lit(False)).unionByName(seeds.withColumn("score", F.lit(1.0)).withColumn("seed", F.lit(True)))
         )
     sure = scores.where(F.col("score") >= PATTERN_SCORE)
     likely = known.where(F.col("score") >= INSTANCE_SCORE).select("instance", "kind", "score")
     open_ = occurrences.where("kind = 'token'").select(ROW, "start", "end", "instance", F.explode("patterns").alias("pattern"))
-    met = open_.join(sure.select("pattern", "kind"), "pattern").join(likely, ["instance", "kind"])
+    met = open_.join(growing(sure.select("pattern", "kind")), "pattern").join(growing(likely), ["instance", "kind"])
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     best = F.min_by("kind", F.struct(-F.col("score"), order))
     suits = met.where(_suits(F.col("kind"), F.col("instance")))
@@ -192,7 +192,7 @@ def personal_data(docs: DataFrame, turns: int = TURNS) -> DataFrame:
         F.sort_array(F.collect_list(span)).alias("spans"),
     )
     none = F.array().cast(told.schema["spans"].dataType)
-    rows = with_row_id(docs, ROW).select(ROW, "doc_id").join(scratch.store(told), ROW, "left")
+    rows = with_row_id(docs, ROW).select(ROW, "doc_id").join(growing(scratch.store(told)), ROW, "left")
     return rows.select(
         ROW,
         "doc_id",

@@ -10,14 +10,14 @@ temperature fitted on labelled documents kept apart makes it a probability.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import Scratch, arrow_schema, mixed, slices, text_or_empty, with_row_id
+from truegrain.llm.common import arrow_schema, mixed, slices, text_or_empty
 
 SLOTS = 1 << 15  # hashed words
 FORMS = 256  # written forms of tokens
@@ -27,7 +27,6 @@ TRAIN_ROWS = 20_000  # labelled documents the network is fitted on, at most
 KEEP_AT = 0.7
 HIDDEN = 32
 SEED = 5
-ROW = "__truegrain_row"
 TEXT_AT_ONCE = 1 << 20
 TOKENS_AT_ONCE = 1 << 14
 PRIME = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -81,8 +80,9 @@ def tokens(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of a batch with the bytes of their texts and where each begins."""
     for some in slices(batch, "text", TEXT_AT_ONCE):
-        sizes = pa.compute.binary_length(some.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)
-        data = np.frombuffer(b"".join(t.as_buffer() for t in some.column("text")), np.uint8)
+        texts = some.column("text").cast(pa.string()).fill_null("")
+        sizes = pa.compute.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+        data = np.frombuffer(b"".join(t.as_buffer() for t in texts), np.uint8)
         yield some, data, np.cumsum(sizes) - sizes
 
 
@@ -227,34 +227,47 @@ def train(docs: DataFrame, labels: DataFrame, table: np.ndarray, rows: int = TRA
     return Network().fit(np.stack(rows_["x"].to_numpy()).astype(float), rows_["quality"].to_numpy(float))
 
 
+def _scoring(docs: DataFrame, labels: DataFrame) -> Callable[[pa.RecordBatch], Iterator[tuple[pa.RecordBatch, np.ndarray]]]:
+    """Fit on the documents; what comes back gives, in a task, slices of a batch with their scores."""
+    table = context_vectors(docs)
+    shared = docs.sparkSession.sparkContext.broadcast((table, train(docs, labels, table)))  # of fixed size
+
+    def scores(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        table, network = shared.value
+        for some, data, starts in _texts(batch):
+            yield some, network.score(pooled(table, data, starts).astype(float))
+
+    return scores
+
+
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: row number, doc_id, held_out, score and predicted (1 from KEEP_AT on).
+    """Per document: doc_id, held_out, score and predicted (1 from KEEP_AT on).
 
     Only the text makes the score; null counts as empty, and an empty text gets the score of a document without words.
     Without labels of both kinds all scores are the share of label 1. A null doc_id is not held out.
     """
-    docs = docs.select(*docs.columns)
-    table = context_vectors(docs)
-    network = train(docs, labels, table)
-    shared = docs.sparkSession.sparkContext.broadcast((table, network))  # of fixed size
-    rows = with_row_id(docs, ROW).select(ROW, "doc_id", held_out(F.col("doc_id")).alias("held_out"), text_or_empty().alias("text"))
+    scores = _scoring(docs, labels)
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), text_or_empty().alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ddl = f"{ROW} long, doc_id {kind}, held_out boolean, score double"
+    ddl = f"doc_id {kind}, held_out boolean, score double, predicted int"
     schema = arrow_schema(ddl)
 
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, network = shared.value
+    def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some, data, starts in _texts(batch):
-                score = network.score(pooled(table, data, starts).astype(float))
-                arrays = [some.column(ROW), some.column("doc_id"), some.column("held_out"), pa.array(score)]
+            for some, score in scores(batch):
+                arrays = [some.column("doc_id"), some.column("held_out"), pa.array(score), pa.array((score >= KEEP_AT).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return rows.mapInArrow(scores, ddl).withColumn("predicted", (F.col("score") >= KEEP_AT).cast("int"))
+    return rows.mapInArrow(rated, ddl)
 
 
 def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier doesn't reject, with all their columns."""
-    scratch = Scratch(docs.sparkSession, "quality")
-    good = scratch.store(scored(docs, labels).where("predicted = 1").select(ROW))
-    return with_row_id(docs, ROW).join(good, ROW, "left_semi").drop(ROW)
+    """The documents that the classifier doesn't reject, with all their columns; rows stay where they are."""
+    scores = _scoring(docs, labels)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some, score in scores(batch):
+                yield some.filter(pa.array(score >= KEEP_AT))
+
+    return docs.mapInArrow(good, docs.schema)

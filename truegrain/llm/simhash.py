@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import Scratch, arrow_schema, text_or_empty, with_row_id
+from truegrain.llm.common import Scratch, arrow_schema, growing, text_or_empty, with_row_id
 
 SHINGLE = 3
 LINK_BITS = 2
@@ -215,9 +215,9 @@ def components(scratch: Scratch, pairs: DataFrame) -> DataFrame:
     while seen[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = scratch.store(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
-        large = scratch.store(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        large = scratch.store(both.where("b > a").join(growing(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         least = scratch.store(large.groupBy("a").agg(F.min("b").alias("m")))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        small = large.join(growing(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         edges = scratch.store(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         now = signature(edges)
         if now == seen:
@@ -238,13 +238,13 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, link_bits: int = LINK_B
     points = scratch.store(prints.groupBy("print").agg(first.alias("first")))
     roots = components(scratch, links(scratch, points, link_bits, shard_points))
     rooted = scratch.store(
-        points.join(roots, F.col("print") == F.col("node"), "left").select(
+        points.join(growing(roots), F.col("print") == F.col("node"), "left").select(
             "print", "first", F.coalesce("root", "print").alias("root")
         )
     )
     firsts = scratch.store(rooted.groupBy("root").agg(F.min("first").alias("stays")))
-    groups = scratch.store(rooted.join(firsts, "root").select("print", "stays"))
-    return prints.join(groups, "print").select(
+    groups = scratch.store(rooted.join(growing(firsts), "root").select("print", "stays"))
+    return prints.join(growing(groups), "print").select(
         ROW,
         "doc_id",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
@@ -256,4 +256,4 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, link_bits: int = LINK_B
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One document of each group of near duplicates, with all its columns."""
     kept = near_groups(docs).where("stays").select(ROW)
-    return with_row_id(docs, ROW).join(kept, ROW, "left_semi").drop(ROW)
+    return with_row_id(docs, ROW).join(growing(kept), ROW, "left_semi").drop(ROW)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import Scratch, ranked, with_row_id
+from truegrain.llm.common import Scratch, growing, ranked, with_row_id
 
 K = 20
 QUERY_EVERY = 20
@@ -168,15 +168,15 @@ def top_k(
         """Meet query blocks with the buckets that ``pairs`` names."""
         reach = scratch.spark.createDataFrame([(b, p.start, p.stop) for b, p in pairs.items()], "block int, start int, stop int")
         spans = reach.where("start < stop").select("block", F.explode(F.expr("sequence(start, stop - 1)")).alias("bucket"))
-        left = queries.join(spans, "block")
-        right = table.select(ROW, "vec_id", "v", "length", "bucket").join(spans, "bucket")
+        left = queries.join(growing(spans), "block")
+        right = table.select(ROW, "vec_id", "v", "length", "bucket").join(growing(spans), "bucket")
         keys = ["block", "bucket"]
         return scratch.store(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_searching(k), FOUND))
 
     first = search(queries.withColumn("floor", F.lit(NONE)), {b: range(0, min(1, len(lengths))) for b in blocks})
     floors = first.groupBy("query_row").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(NONE)).alias("floor"))
     known = scratch.store(
-        queries.join(floors, queries[ROW] == floors["query_row"], "left")
+        queries.join(growing(floors), queries[ROW] == floors["query_row"], "left")
         .drop("query_row")
         .withColumn("floor", F.coalesce("floor", F.lit(NONE)))
     )
