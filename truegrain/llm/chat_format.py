@@ -169,24 +169,24 @@ def repair(turns: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     ``place`` orders all rows; the ``rendered`` pieces of a conversation in that order are its text, "<|role|>", a line
     break, the words, a line break for each turn. ``role`` is the repaired one, ``action`` keep, merge or relabel, and
     ``inserted`` names the roles of empty turns put before. Empty turns at the end come as a row of action "end" with
-    null turn and role. Turns are ordered by turn, nulls first, then as read, so repeated rows are separate turns. Turns of null conv_id are
+    null turn and role. Turns are ordered by turn, nulls first, then by file and place in it; repeated rows are separate turns. Turns of null conv_id are
     one conversation. A role is trimmed and lower-cased; null or unknown ones are given a legal role at the cost
     of a relabel. Null text is empty. "<|" inside a text becomes "< |", so that texts can't open turns.
     """
     scratch = Scratch(turns.sparkSession, "chat-format")
-    rows = with_row_id(turns.select("conv_id", "turn", "role", "text"), ROW)
+    rows = with_row_id(turns, ROW).select(ROW, "conv_id", "turn", "role", "text")
     role = F.coalesce(F.lower(F.trim(F.col("role").cast("string"))), F.lit(""))
     listed = rows.select("conv_id", F.lit(1).alias("item"), "turn", ROW, F.regexp_replace(role, "\0", "").alias("role"))
     borders = listed.select("conv_id").distinct().withColumn("turn", F.lit(None).cast(turns.schema["turn"].dataType))
-    borders = borders.withColumn(ROW, F.lit(None).cast("long"))
+    borders = borders.withColumn(ROW, F.lit(None).cast("string"))
     for item, name in ((0, BEGIN_ITEM), (2, END_ITEM)):
         listed = listed.unionByName(borders.withColumn("item", F.lit(item)).withColumn("role", F.lit(name)))
     chain = scratch.store(ranked(scratch, listed, F.col("conv_id"), F.col("item"), F.col("turn"), F.col(ROW), name="place"))
     states = scratch.store(solve(scratch, chain.select("place", "role"), block_items))
     told = scratch.store(chain.join(growing(states), "place").where("item > 0"))
     texts = rows.select(F.col(ROW).alias("__of"), F.col("text").cast("string").alias("text"))
-    # Ends have no row; they get numbers of their own, so that they don't meet as one null key.
-    keyed = told.withColumn("__of", F.coalesce(ROW, -1 - F.col("place"))).join(growing(texts), "__of", "left")
+    # Ends have no row; they get names of their own, so that they don't meet as one null key.
+    keyed = told.withColumn("__of", F.coalesce(ROW, F.concat(F.lit("end "), F.col("place")))).join(growing(texts), "__of", "left")
     kept = ["conv_id", "turn", "place"]
     types = ", ".join(f"{c} {told.schema[c].dataType.simpleString()}" for c in kept)
     ddl = f"{types}, role string, action string, inserted array<string>, cost long, rendered string"

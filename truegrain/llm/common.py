@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,8 +53,16 @@ def text_or_empty(column: str = "text") -> Column:
 
 
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
-    """Number rows by file split and place, so that a table read again gets the same numbers."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Name rows by their file and their place in it: a table of files read again, even split otherwise, as when
+    executors have come or gone, gets the same names. Call it on the table itself, before columns are chosen.
+
+    Rows that come from elsewhere are numbered as they come; then the rows must come alike on each reading.
+    """
+    file, place = F.hex(F.xxhash64("_metadata.file_path")), F.lpad(F.hex("_metadata.row_index"), 12, "0")
+    try:
+        return df.withColumn(name, F.concat(file, F.lit(":"), place))
+    except AnalysisException:
+        return df.withColumn(name, F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0"))
 
 
 def ranked(scratch: Scratch, df: DataFrame, *order: Column, name: str) -> DataFrame:

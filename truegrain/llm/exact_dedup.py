@@ -45,7 +45,7 @@ def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int =
     A null text is an empty one. ``docs`` has to be a stored table, as it is read more than once.
     """
     scratch = Scratch(docs.sparkSession, "exact-dedup")
-    rows = with_row_id(docs.select("doc_id", text_or_empty().alias("text")), ROW)
+    rows = with_row_id(docs, ROW).select(ROW, "doc_id", text_or_empty().alias("text"))
     cut = rows.select(
         ROW, "doc_id", F.regexp_replace("text", SPACES, " ").alias("text")
     ).select(ROW, "doc_id", "text", _blocks(F.col("text"), block_chars).alias("blocks"))
@@ -110,7 +110,7 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int
     """Per document: row number, doc_id, keep_id, group_size, kept and text_sha256.
 
     Of equal texts the row with the smallest doc_id stays; a null doc_id comes last, and of rows
-    with the same doc_id and text the first one read stays. Other columns are not looked at.
+    with the same doc_id and text one stays, the same on each run. Other columns are not looked at.
     """
     members = identities(docs, block_chars, hash_bits)
     scratch = Scratch(docs.sparkSession, "exact-dedup")

@@ -126,7 +126,7 @@ def balanced(scratch: Scratch, docs: DataFrame, chunk_docs: int, seed: int) -> D
     Rows are dealt to chunks, and ordered in them, by their mark, which comes from id and text: the draws don't depend on
     where a row lies. A chunk that grows too large, which takes many rows alike, is cut by row number.
     """
-    ddl = f"{ROW} long, {MARK} long, rank long, size long, p double, landed boolean"
+    ddl = f"{ROW} string, {MARK} long, rank long, size long, p double, landed boolean"
     settled, turn = [], 0
     while True:
         chunks = F.greatest(F.ceil(F.col("docs") / chunk_docs), F.lit(1))

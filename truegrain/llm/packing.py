@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import Scratch, arrow_schema, text_or_empty, with_row_id
+from truegrain.llm.common import Scratch, arrow_schema, text_or_empty
 
 SEQUENCE = 2048
 END_ID = 0
@@ -163,10 +163,11 @@ def pack(
 
     def packing(pool: DataFrame, turn: int) -> DataFrame:
         parts = max(1, -(-pool.count() // partition_pieces))
-        dealt = with_row_id(pool, "__truegrain_row").withColumn("__part", F.pmod(F.xxhash64(F.lit(turn), "__truegrain_row"), F.lit(parts)))
+        part = F.pmod(F.xxhash64(F.lit(turn), F.monotonically_increasing_id()), F.lit(parts))
+        dealt = pool.withColumn("__part", part)
         first_id = turn << 56
         return scratch.store(
-            dealt.drop("__truegrain_row").groupBy("__part").applyInArrow(lambda p: packed_partition(p, sequence, first_id), ddl)
+            dealt.groupBy("__part").applyInArrow(lambda p: packed_partition(p, sequence, first_id), ddl)
         )
 
     placed = packing(pool, 0)

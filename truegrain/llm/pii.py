@@ -24,6 +24,7 @@ PATTERN_SCORE = 0.8
 INSTANCE_SCORE = 0.8
 CONTEXT_CHARS = 64
 ROW = "__truegrain_row"
+PIECES = "array<struct<kind:string,nth:int,gap:int,value:string,before:string,after:string>>"
 MARK = "\ufffe"  # stands for a separator inside a match; a noncharacter, replaced where a text has it
 LABEL, LOCAL = "A-Za-z0-9-", f"A-Za-z0-9._%+{MARK}-"
 
@@ -66,16 +67,17 @@ def _holds(kind: Column, value: Column) -> Column:
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """All base matches that pass, and all tokens: row, kind, start, end, value, and the text before and after.
+    """All base matches that pass, and all tokens: row, doc_id, kind, start, end, value, and the text before and after.
 
-    Places are code points, ``end`` exclusive. Every kind is matched from left to right, without overlap.
+    Places are code points, ``end`` exclusive. Every kind is matched from left to right, without overlap. Each document also
+    has one row of kind "document", so that the table is read once for all that follows.
     """
-    text = F.translate(F.col("text"), MARK, "\ufffd")
-    steps = with_row_id(docs.select(text_or_empty().alias("text")), ROW).withColumn("text", text)
+    text = F.translate(text_or_empty(), MARK, "\ufffd")
+    steps = with_row_id(docs, ROW).select(ROW, "doc_id", text.alias("text"))
     for kind in FIND:
         on = F.regexp_replace("text", MARKED[kind], MARK) if kind in MARKED else F.col("text")
         steps = steps.withColumn(f"{kind}_on", F.when(F.col("text").rlike(NEEDS[kind]), on))
-    parts = [ROW]
+    parts = [ROW, "doc_id"]
     for kind, pattern in FIND.items():
         parts.append(F.split(f"{kind}_on", pattern, -1).alias(f"{kind}_gaps"))
         parts.append(F.regexp_extract_all(f"{kind}_on", F.lit(pattern), F.lit(0)).alias(f"{kind}_hits"))
@@ -97,14 +99,16 @@ def matches(docs: DataFrame) -> DataFrame:
                 F.substring(z[f"{kind}_next"], 1, CONTEXT_CHARS).alias("after"),
             ),
         )
-        return F.coalesce(cut, F.array().cast("array<struct<kind:string,nth:int,gap:int,value:string,before:string,after:string>>"))
+        return F.coalesce(cut, F.array().cast(PIECES))
 
-    rows = steps.select(ROW, F.explode(F.concat(*(pieces(k) for k in FIND))).alias("m")).select(ROW, "m.*")
+    whole = F.array(F.struct(F.lit("document"), F.lit(0), F.lit(0), F.lit(""), F.lit(""), F.lit(""))).cast(PIECES)
+    every = F.explode(F.concat(whole, *(pieces(k) for k in FIND))).alias("m")
+    rows = steps.select(ROW, "doc_id", every).select(ROW, "doc_id", "m.*")
     sofar = Window.partitionBy(ROW, "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum((F.col("gap") + F.length("value")).cast("long")).over(sofar)
     placed = rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("value"))
-    passing = placed.where((F.col("kind") == "token") | _holds(F.col("kind"), F.col("value")))
-    return passing.select(ROW, "kind", "start", "end", "value", "before", "after")
+    passing = placed.where(F.col("kind").isin("token", "document") | _holds(F.col("kind"), F.col("value")))
+    return passing.select(ROW, "doc_id", "kind", "start", "end", "value", "before", "after")
 
 
 def _occurrences(found: DataFrame) -> DataFrame:
@@ -180,26 +184,20 @@ def personal_data(docs: DataFrame, turns: int = TURNS) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "pii")
     found = scratch.store(matches(docs))
-    occurrences = scratch.store(_occurrences(found))
+    occurrences = scratch.store(_occurrences(found.where("kind <> 'document'")))
     base = occurrences.where("kind <> 'token'").select(ROW, "kind", "start", "end", F.lit(True).alias("base"))
     more = discovered(scratch, occurrences, turns).withColumn("base", F.lit(False))
+    whole = found.where("kind = 'document'").select(ROW, "doc_id", F.lit(True).alias("whole"))
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
-    span = F.struct("start", order.alias("nth"), "end", "kind")
+    span = F.when(F.col("whole").isNull(), F.struct("start", order.alias("nth"), "end", "kind"))
     counts = [F.count_if(F.col("base") & (F.col("kind") == k)).alias(f"n_{k}") for k in KINDS]
-    told = base.unionByName(more).groupBy(ROW).agg(
+    rows = whole.unionByName(base.unionByName(more), allowMissingColumns=True)
+    return rows.groupBy(ROW).agg(
+        F.max("doc_id").alias("doc_id"),  # the others of the group are null
         *counts,
         F.sort_array(F.collect_list(F.when(F.col("base"), span))).alias("base"),
         F.sort_array(F.collect_list(span)).alias("spans"),
     )
-    none = F.array().cast(told.schema["spans"].dataType)
-    rows = with_row_id(docs, ROW).select(ROW, "doc_id").join(growing(scratch.store(told)), ROW, "left")
-    return rows.select(
-        ROW,
-        "doc_id",
-        *(F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS),
-        F.coalesce("base", none).alias("base"),
-        F.coalesce("spans", none).alias("spans"),
-    )
 
 
 def joined(spans: str) -> Column:

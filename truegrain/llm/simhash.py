@@ -26,7 +26,7 @@ SHINGLE = 3
 LINK_BITS = 2
 SAMPLE = 20_000  # fingerprints the tree is fitted on
 SHARD_POINTS = 16_384  # aimed at per shard
-SHARD_LIMIT = 8 * SHARD_POINTS  # a larger shard is compared block by block
+SHARD_LIMIT = 8  # a shard of more times what is aimed at is compared block by block
 LEAF_POINTS = 512  # compared all with all inside a task
 ROW = "__truegrain_row"
 HASHES_AT_ONCE = 1 << 16
@@ -53,8 +53,8 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> bytes:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Row number, doc_id and fingerprint (a signed long of the same bits). Null text: no words."""
-    rows = with_row_id(docs.select("doc_id", text_or_empty().alias("text")), ROW)
-    ddl = f"{ROW} long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, print long"
+    rows = with_row_id(docs, ROW).select(ROW, "doc_id", text_or_empty().alias("text"))
+    ddl = f"{ROW} string, doc_id {docs.schema['doc_id'].dataType.simpleString()}, print long"
     schema = arrow_schema(ddl)
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +189,7 @@ def links(scratch: Scratch, points: DataFrame, link_bits: int = LINK_BITS, shard
                 yield pd.DataFrame({"leaf": leaf, "print": some.view(np.int64)})
 
     dealt = scratch.store(points.select("print").mapInPandas(deal, "leaf int, print long"))
-    sizes = dealt.groupBy("leaf").count().where(F.col("count") > 8 * shard_points).collect()  # of at most SAMPLE leaves
+    sizes = dealt.groupBy("leaf").count().where(F.col("count") > SHARD_LIMIT * shard_points).collect()  # of at most SAMPLE leaves
     large = {r["leaf"]: -(-r["count"] // (4 * shard_points)) for r in sizes}
     blocks = F.lit(1)
     for leaf, n in large.items():

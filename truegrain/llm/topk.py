@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import Scratch, growing, ranked, with_row_id
+from truegrain.llm.common import Scratch, growing, ranked
 
 K = 20
 QUERY_EVERY = 20
@@ -151,7 +151,7 @@ def top_k(
     vec_id are rows of their own; only the query's own row is left out. Products have to fit into 64 bits.
     """
     scratch = Scratch(vectors.sparkSession, "top-k")
-    whole = usable(with_row_id(vectors, ROW)).select(
+    whole = usable(vectors.withColumn(ROW, F.monotonically_increasing_id())).select(
         ROW, F.col("vec_id").cast("long"), integers(F.col("embedding"), scale).alias("v"), is_query.alias("asks")
     )
     squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
