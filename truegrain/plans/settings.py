@@ -6,7 +6,7 @@ from truegrain.operators.measures import MeasureSpec
 from truegrain.operators.score import Dimension, ScorerConfig
 from truegrain.sources.contract import Contract, contract_from_dict
 
-# Weights, hard blocks, bounds and sets of the three scorecards.
+# Weights, hard blocks, bounds and measured columns of the transaction scorecard.
 TRANSACTION_CONFIG = ScorerConfig(
     "transaction_pipeline",
     {
@@ -28,6 +28,7 @@ TRANSACTION_SPEC = MeasureSpec(
     sla_hours=6.0,
 )
 
+# Statuses, weights, hard blocks, bounds and measured columns of the first orders scorecard.
 SHOP_STATUSES = ("pending", "confirmed", "shipped", "delivered")
 SHOP_CONFIG = ScorerConfig(
     "orders_pipeline",
@@ -55,6 +56,7 @@ SHOP_SPEC = MeasureSpec(
 )
 SHOP_ANOMALY_COLUMNS = ("quantity", "price")
 
+# The orders contract as agreed.
 ORDERS_CONTRACT: Contract = contract_from_dict(
     {
         "name": "orders_pipeline",
@@ -79,6 +81,7 @@ ORDERS_CONTRACT: Contract = contract_from_dict(
         },
     }
 )
+# Types, statuses, bounds, weights and hard blocks of the second orders scorecard, its limits and columns.
 ORDERS_TYPES = {
     "quantity": "numeric",
     "unit_price": "numeric",
