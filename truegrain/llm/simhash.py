@@ -26,7 +26,7 @@ SHINGLE = 3
 LINK_BITS = 2
 SAMPLE = 20_000  # fingerprints the tree is fitted on
 SHARD_POINTS = 16_384  # aimed at per shard
-SHARD_LIMIT = 8  # a shard of more times what is aimed at is compared block by block
+SHARD_LIMIT = 1 << 22  # points one task splits on; a larger shard is compared block by block
 LEAF_POINTS = 512  # compared all with all inside a task
 ROW = "__truegrain_row"
 HASHES_AT_ONCE = 1 << 16
@@ -176,7 +176,13 @@ def _folded(points: np.ndarray, root: np.ndarray, links: list[tuple[np.ndarray,
     return least_roots(points, a, b)
 
 
-def links(scratch: Scratch, points: DataFrame, link_bits: int = LINK_BITS, shard_points: int = SHARD_POINTS) -> DataFrame:
+def links(
+    scratch: Scratch,
+    points: DataFrame,
+    link_bits: int = LINK_BITS,
+    shard_points: int = SHARD_POINTS,
+    shard_limit: int = SHARD_LIMIT,
+) -> DataFrame:
     """(a, b): links between distinct fingerprints that connect all that differ in few bits."""
     total = points.count()
     fitted = points.select("print").orderBy(F.xxhash64("print"), "print").limit(SAMPLE)
@@ -189,13 +195,10 @@ def links(scratch: Scratch, points: DataFrame, link_bits: int = LINK_BITS, shard
                 yield pd.DataFrame({"leaf": leaf, "print": some.view(np.int64)})
 
     dealt = scratch.store(points.select("print").mapInPandas(deal, "leaf int, print long"))
-    sizes = dealt.groupBy("leaf").count().where(F.col("count") > SHARD_LIMIT * shard_points).collect()  # of at most SAMPLE leaves
-    large = {r["leaf"]: -(-r["count"] // (4 * shard_points)) for r in sizes}
-    blocks = F.lit(1)
-    for leaf, n in large.items():
-        blocks = F.when(F.col("leaf") == leaf, n).otherwise(blocks)
-    # A shard above the limit becomes blocks that meet pair by pair; any other is one block.
-    placed = dealt.withColumn("n", blocks).withColumn("own", F.expr("pmod(xxhash64(print), n)"))
+    # A shard above the limit becomes blocks that meet pair by pair; any other is one block. The tree has few leaves.
+    sizes = dealt.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(shard_limit)).alias("n"))
+    parts = sizes.withColumn("n", F.when(F.col("n") > 1, 2 * F.col("n")).otherwise(1))
+    placed = dealt.join(F.broadcast(scratch.store(parts)), "leaf").withColumn("own", F.expr("pmod(xxhash64(print), n)"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1)))
     keyed = met.select("leaf", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "print")
     return keyed.groupBy("leaf", "i", "j").applyInPandas(lambda shard: shard_links(shard, link_bits), "a long, b long")
