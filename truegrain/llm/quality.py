@@ -27,7 +27,7 @@ TRAIN_ROWS = 20_000  # labelled documents the network is fitted on, at most
 KEEP_AT = 0.7
 HIDDEN = 32
 SEED = 5
-TEXT_AT_ONCE = 1 << 20
+TEXT_AT_ONCE = 1 << 19
 TOKENS_AT_ONCE = 1 << 14
 PRIME = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -105,12 +105,9 @@ def context_vectors(docs: DataFrame) -> np.ndarray:
                 for a, b in ((left, right), (right, left)):
                     of += [slot[a], slot[a], form[a], form[a]]
                     by += [slot[b], form[b], slot[b], form[b]]
-                of.append(slot)
-                by.append(form)
-                for owner, neighbour in zip(of, by):
-                    for k in range(ONES):
-                        at = owner * WIDTH + place[neighbour, k]
-                        total += np.bincount(at, sign[neighbour, k], len(total))
+                owner, neighbour = np.concatenate([*of, slot]), np.concatenate([*by, form])
+                at = place[neighbour] + (owner * WIDTH)[:, None]
+                total += np.bincount(at.ravel(), sign[neighbour].ravel(), len(total))
         table = np.rint(total).astype(np.int64).reshape(-1, WIDTH)
         while len(table):  # more than an int holds goes out in several rows
             some = np.clip(table, -(1 << 31) + 1, (1 << 31) - 1)
@@ -220,11 +217,12 @@ def train(docs: DataFrame, labels: DataFrame, table: np.ndarray, rows: int = TRA
     shared = docs.sparkSession.sparkContext.broadcast(table)
     # Rows that repeat an id are one document of the sample, so that the bound holds.
     got = texts.mapInArrow(vectors, ddl).groupBy("doc_id").agg(F.min(F.struct("x", "quality")).alias("one"))
-    rows_ = got.select("doc_id", "one.*").toPandas().sort_values("doc_id")
+    fitted = got.select("doc_id", "one.*").toArrow().sort_by("doc_id").combine_chunks()
     shared.unpersist()
-    if not len(rows_):
+    if not fitted.num_rows:
         return Network()
-    return Network().fit(np.stack(rows_["x"].to_numpy()).astype(float), rows_["quality"].to_numpy(float))
+    x = fitted["x"].combine_chunks().flatten().to_numpy().reshape(fitted.num_rows, -1)
+    return Network().fit(x.astype(float), fitted["quality"].to_numpy().astype(float))
 
 
 def _scoring(docs: DataFrame, labels: DataFrame) -> Callable[[pa.RecordBatch], Iterator[tuple[pa.RecordBatch, np.ndarray]]]:
