@@ -1,6 +1,7 @@
 """Exact, near and passage duplicates against brute force."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -9,7 +10,7 @@ import numpy as np
 import xxhash
 
 from truegrain.llm import exact_dedup, simhash, substring_dedup
-from truegrain.llm.common import Scratch
+from truegrain.llm.common import Scratch, lowest, with_row_id
 
 SPACE = re.compile(r"[\x20\x09-\x0d]+")
 
@@ -170,3 +171,35 @@ def test_short_texts_have_no_windows(messy):
     few = messy.where("doc_id in (240, 241, 242, 300)")
     found = substring_dedup.remove_repeats(few).collect()
     assert sum(f["n_removed"] for f in found) == 0 and len(found) == few.count()
+
+
+def test_steps_are_stored_and_cleared(spark):
+    scratch = Scratch(spark, "t")
+    rows = scratch.store(spark.range(5))
+    assert rows.count() == 5 and os.path.exists(scratch.path)
+    scratch.clear()
+    assert not os.path.exists(scratch.path)
+
+
+def test_rows_are_named_by_file_and_place(spark, tmp_path):
+    """Another split of the same files gives the same names; no two rows share one."""
+    path = str(tmp_path / "t.parquet")
+    spark.range(20_000).selectExpr("id", "repeat(uuid(), 3) AS x").repartition(3).write.option("parquet.block.size", 65536).parquet(path)
+    named = [with_row_id(spark.read.parquet(path), "n").collect()]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        table = with_row_id(spark.read.parquet(path), "n")
+        assert table.rdd.getNumPartitions() > 3
+        named.append(table.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    names = [{r["n"]: r["id"] for r in rows} for rows in named]
+    assert names[0] == names[1] and len(names[0]) == 20_000
+
+
+def test_lowest_is_a_bounded_sample(spark):
+    rows = spark.range(5000)
+    found = lowest(rows, ["id"], 300, 5000).collect()
+    assert len(found) == 300 and found == lowest(rows.repartition(7), ["id"], 300, 5000).collect()
+    assert lowest(rows, ["id"], 9000, 5000).count() == 5000

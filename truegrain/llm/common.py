@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from truegrain.session import fresh_path
+from truegrain.session import fresh_path, remove_path
 
 #: The white space between words, as a Java regular expression; all other characters belong to words.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -36,8 +36,7 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_path(self.spark, self.path)
 
 
 def growing(df: DataFrame) -> DataFrame:
@@ -87,6 +86,17 @@ def ranked(scratch: Scratch, df: DataFrame, *order: Column, name: str) -> DataFr
     )
 
 
+def lowest(df: DataFrame, columns: list[str], n: int, total: int) -> DataFrame:
+    """At most ``n`` of ``total`` rows, those of the least hash: a sample that is the same on each run.
+
+    The rows are thinned by the hash first, so that little more than ``n`` of them meet in one task, whatever the number of tasks.
+    """
+    scale = 1 << 40
+    mark = F.pmod(F.xxhash64(*columns), F.lit(scale))
+    share = min(1.0, 1.2 * n / max(total, 1))
+    return df.where(mark < int(share * scale)).orderBy(mark, *columns).limit(n)
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import arrow_schema, mixed, slices, text_or_empty
+from truegrain.llm.common import arrow_schema, growing, lowest, mixed, slices, text_or_empty
 
 SLOTS = 1 << 15  # hashed words
 FORMS = 256  # written forms of tokens
@@ -202,7 +202,8 @@ def train(docs: DataFrame, labels: DataFrame, table: np.ndarray, rows: int = TRA
     """Fit the network on at most ``rows`` labelled documents, taken by a hash of their ids; held-out ids never."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     one = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    sample = one.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    there = one.join(growing(docs.select("doc_id").distinct()), "doc_id", "left_semi")
+    sample = lowest(there, ["doc_id"], rows, there.count())
     texts = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(sample), "doc_id")
     ddl = "doc_id long, quality int, x array<float>"
     schema = arrow_schema(ddl)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import Scratch, arrow_schema, growing, text_or_empty, with_row_id
+from truegrain.llm.common import Scratch, arrow_schema, growing, lowest, text_or_empty, with_row_id
 
 SHINGLE = 3
 LINK_BITS = 2
@@ -185,8 +185,8 @@ def links(
 ) -> DataFrame:
     """(a, b): links between distinct fingerprints that connect all that differ in few bits."""
     total = points.count()
-    fitted = points.select("print").orderBy(F.xxhash64("print"), "print").limit(SAMPLE)
-    sample = np.array([r[0] for r in fitted.collect()], np.int64).view(np.uint64)
+    fitted = lowest(points.select("print"), ["print"], SAMPLE, total).collect()
+    sample = np.array([r[0] for r in fitted], np.int64).view(np.uint64)
     tree = fit_tree(sample, -(-total // shard_points), link_bits)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
