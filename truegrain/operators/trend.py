@@ -8,8 +8,6 @@ map side, everything else from aggregates or windows over pieces of bounded size
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
