@@ -1,0 +1,79 @@
+"""Near copies of the pipeline's stage against brute force over five-word shingles."""
+
+import random
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from tests.llm.conftest import DOCS, NOUNS, write
+from tests.llm.test_copies import order, words_of
+from truegrain.llm import near_copies
+from truegrain.llm.simhash import fingerprint
+
+
+def slow_shingles(text):
+    words = words_of("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def slow_firsts(rows):
+    """The document of each group that stays, by all pairs."""
+    sets = [slow_shingles(r["text"]) for r in rows]
+    parent = list(range(len(rows)))
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if not (a or b) or len(a & b) >= 0.8 * len(a | b) > 0:
+                parent[find(i)] = find(j)
+    first = {}
+    for i, r in enumerate(rows):
+        first[find(i)] = min(first.get(find(i), order(r["doc_id"])), order(r["doc_id"]))
+    return Counter(first.values())
+
+
+def planted():
+    """Copies with few words changed, a group of copies of copies, and one passage that many different texts share."""
+    rng = random.Random(4)
+    text = lambda n: [rng.choice(NOUNS) + str(rng.randrange(50)) for _ in range(n)]
+    texts = []
+    for i in range(40):
+        base = text(rng.randint(60, 300))
+        copy = list(base)
+        for _ in range(max(1, len(base) // 70)):
+            copy[rng.randrange(len(copy))] = "CHANGED"
+        texts += [base, [w.upper() for w in copy]]
+    chain = text(200)
+    for i in range(60):
+        chain = list(chain)
+        chain[rng.randrange(200)] = f"step{i}"
+        texts.append(chain)
+    passage = text(60)
+    texts += [text(12) + passage + text(12) for _ in range(80)]
+    return [(i, " ".join(t), "en", "s", 1, *["x"] * 5) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("block", [near_copies.BLOCK, 8])
+def test_planted_copies(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    rows = planted()
+    docs = write(spark, tmp_path, "documents", rows, DOCS)
+    kept = corpus_pipeline.near(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    wanted = slow_firsts(docs.collect())
+    assert Counter(order(r["doc_id"]) for r in kept.collect()) == wanted
+    assert len(wanted) < len(rows) - 60
+    prints = [int.from_bytes(fingerprint(r[1], 3), "big") for r in rows[:80]]
+    assert sum((a ^ b).bit_count() <= 2 for a, b in zip(prints[::2], prints[1::2])) < 10  # what the fingerprints would find
+
+
+def test_odd_rows(messy, empty):
+    few = messy.where("doc_id is null or doc_id not in (230, 231)")
+    assert Counter(order(r["doc_id"]) for r in near_copies.deduplicated(few).collect()) == slow_firsts(few.collect())
+    assert near_copies.deduplicated(messy).where("doc_id in (230, 231)").count() == 1
+    assert near_copies.deduplicated(empty).count() == 0
