@@ -65,6 +65,14 @@ def test_quality_without_labels(spark, corpus, empty):
     assert quality.scored(empty, labels).count() == 0
 
 
+def test_kept_without_a_network(spark, corpus):
+    """No labels, few labels, labels of one kind: scores are one constant, and no document is dropped by it."""
+    docs, labels = corpus
+    for some in (labels.where("quality > 7"), labels.where("doc_id < 5"), labels.where("quality = 0")):
+        kept = quality.kept(docs, some)
+        assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
 def test_tokens_and_context_vectors(spark, corpus):
     """Context sums equal a plain count of neighbours; tokens end at a change of kind and at documents' ends."""
     texts = ["Ab,c 12x", "", "ab Ab", "q"]

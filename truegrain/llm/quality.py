@@ -226,17 +226,18 @@ def train(docs: DataFrame, labels: DataFrame, table: np.ndarray, rows: int = TRA
     return Network().fit(x.astype(float), fitted["quality"].to_numpy().astype(float))
 
 
-def _scoring(docs: DataFrame, labels: DataFrame) -> Callable[[pa.RecordBatch], Iterator[tuple[pa.RecordBatch, np.ndarray]]]:
-    """Fit on the documents; what comes back gives, in a task, slices of a batch with their scores."""
+def _scoring(docs: DataFrame, labels: DataFrame) -> tuple[bool, Callable[[pa.RecordBatch], Iterator[tuple[pa.RecordBatch, np.ndarray]]]]:
+    """Fit on the documents; whether a network was fitted, and what gives, in a task, slices of a batch with their scores."""
     table = context_vectors(docs)
-    shared = docs.sparkSession.sparkContext.broadcast((table, train(docs, labels, table)))  # of fixed size
+    network = train(docs, labels, table)
+    shared = docs.sparkSession.sparkContext.broadcast((table, network))  # of fixed size
 
     def scores(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
         table, network = shared.value
         for some, data, starts in _texts(batch):
             yield some, network.score(pooled(table, data, starts).astype(float))
 
-    return scores
+    return network.weights is not None, scores
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -245,7 +246,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Only the text makes the score; null counts as empty, and an empty text gets the score of a document without words.
     Without labels of both kinds all scores are the share of label 1. A null doc_id is not held out.
     """
-    scores = _scoring(docs, labels)
+    _, scores = _scoring(docs, labels)
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), text_or_empty().alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     ddl = f"doc_id {kind}, held_out boolean, score double, predicted int"
@@ -261,8 +262,14 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def kept(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier doesn't reject, with all their columns; rows stay where they are."""
-    scores = _scoring(docs, labels)
+    """The documents that the classifier doesn't reject, with all their columns; rows stay where they are.
+
+    Where no network is fitted, as with fewer than 10 labels that can be used or labels of one kind, nothing tells good
+    documents from bad, and all are kept.
+    """
+    fitted, scores = _scoring(docs, labels)
+    if not fitted:
+        return docs
 
     def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
