@@ -131,6 +131,27 @@ def test_contexts_find_unseen_numbers(spark, tmp_path):
         assert more == ({("phone", *hidden[f["doc_id"]])} if f["doc_id"] in hidden else set())
 
 
+def test_contexts_hold_words_with_digits(spark, tmp_path):
+    """Words with digits beside seeds and unseen numbers make patterns, for candidates as for seeds."""
+    rng = random.Random(5)
+    rows, hidden = [], {}
+    for i in range(60):
+        text = f"{prose(rng, 9)} ext {i % 10} "
+        if i % 6 == 0:
+            hidden[i] = (len(text), len(text) + 10)
+            text += f"0{rng.randint(10**8, 10**9 - 1)} thanks {prose(rng, 5)}"
+        else:
+            text += f"+49{rng.randint(10**8, 10**9 - 1)} thanks {prose(rng, 5)}"
+        rows.append((i, text, None, None, None, *["x"] * 5))
+    rows.append((99, "pin 7-8 9 me@a.b 1.2 x@c.d é 12 4111 1111-1111 1111 z", None, None, None, *["x"] * 5))
+    docs = write(spark, tmp_path, "documents", rows, DOCS)
+    for m in pii.matches(docs).where("doc_id = 99 and kind <> 'document'").collect():
+        assert m["before"] == rows[-1][1][: m["start"]][-64:] and m["after"] == rows[-1][1][m["end"] :][:64]
+    for f in pii.personal_data(docs.where("doc_id < 60")).collect():
+        more = {(s["kind"], s["start"], s["end"]) for s in f["spans"]} - {(s["kind"], s["start"], s["end"]) for s in f["base"]}
+        assert more == ({("phone", *hidden[f["doc_id"]])} if f["doc_id"] in hidden else set())
+
+
 def test_personal_data_runs_no_python(messy):
     plan = pii.matches(messy)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian", plan)

@@ -25,18 +25,22 @@ INSTANCE_SCORE = 0.8
 CONTEXT_CHARS = 64
 ROW = "__truegrain_row"
 PIECES = "array<struct<kind:string,nth:int,gap:int,value:string,before:string,after:string>>"
-MARK = "\ufffe"  # stands for a separator inside a match; a noncharacter, replaced where a text has it
+MARK, DASH = "\ufffe", "\uffff"  # stand for a separator inside a match; noncharacters, replaced where a text has them
+PIECES_BESIDE = 33  # a match and the gap after it have two characters or more, so that these fill a context
 LABEL, LOCAL = "A-Za-z0-9-", f"A-Za-z0-9._%+{MARK}-"
 
-#: Where separators that a match may run over are marked: [-_ ] between digits, dots between labels.
-MARKED = {"card": (r"(?<=[0-9])[\x20-](?=[0-9])"), "email": rf"(?<=[{LABEL}])\.(?=[{LABEL}])"}
+#: Where separators that a match may run over are marked: a space or a dash between digits, dots between labels.
+MARKED = {
+    "card": ((r"(?<=[0-9])\x20(?=[0-9])", MARK), (r"(?<=[0-9])-(?=[0-9])", DASH)),
+    "email": ((rf"(?<=[{LABEL}])\.(?=[{LABEL}])", MARK),),
+}
 FIND = {
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
     "email": rf"(?:(?<![{LOCAL}])|\G)[{LOCAL}]++@[{LABEL}]++{MARK}[{MARK}{LABEL}]++",
     # [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     # [0-9]([\x20-]?[0-9])+
-    "card": rf"[0-9][0-9{MARK}]++",
+    "card": rf"[0-9][0-9{MARK}{DASH}]++",
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     # a word with a digit or an @
@@ -67,39 +71,53 @@ def _holds(kind: Column, value: Column) -> Column:
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """All base matches that pass, and all tokens: row, doc_id, kind, start, end, value, and the text before and after.
+    """All base matches that pass, and all tokens: row, doc_id, kind, start, end, value, and the text before and after,
+    taken from the whole text, so that other matches beside it are part of it.
 
     Places are code points, ``end`` exclusive. Every kind is matched from left to right, without overlap. Each document also
     has one row of kind "document", so that the table is read once for all that follows.
     """
-    text = F.translate(text_or_empty(), MARK, "\ufffd")
+    text = F.translate(text_or_empty(), MARK + DASH, "\ufffd\ufffd")
     steps = with_row_id(docs, ROW).select(ROW, "doc_id", text.alias("text"))
     for kind in FIND:
-        on = F.regexp_replace("text", MARKED[kind], MARK) if kind in MARKED else F.col("text")
+        on = F.col("text")
+        for pattern, mark in MARKED.get(kind, ()):
+            on = F.regexp_replace(on, pattern, mark)
         steps = steps.withColumn(f"{kind}_on", F.when(F.col("text").rlike(NEEDS[kind]), on))
     parts = [ROW, "doc_id"]
     for kind, pattern in FIND.items():
         parts.append(F.split(f"{kind}_on", pattern, -1).alias(f"{kind}_gaps"))
         parts.append(F.regexp_extract_all(f"{kind}_on", F.lit(pattern), F.lit(0)).alias(f"{kind}_hits"))
     steps = steps.select(*parts)
-    for kind in FIND:
-        steps = steps.withColumn(f"{kind}_next", F.slice(f"{kind}_gaps", 2, 1 << 30))
 
     def pieces(kind: str) -> Column:
-        zipped = F.arrays_zip(f"{kind}_gaps", f"{kind}_hits", f"{kind}_next")
-        hits = F.filter(zipped, lambda z: z[f"{kind}_hits"].isNotNull())
-        cut = F.transform(
-            hits,
-            lambda z, i: F.struct(
-                F.lit(kind).alias("kind"),
-                i.alias("nth"),
-                F.length(z[f"{kind}_gaps"]).alias("gap"),
-                z[f"{kind}_hits"].alias("value"),
-                F.right(z[f"{kind}_gaps"], F.lit(CONTEXT_CHARS)).alias("before"),
-                F.substring(z[f"{kind}_next"], 1, CONTEXT_CHARS).alias("after"),
-            ),
-        )
-        return F.coalesce(cut, F.array().cast(PIECES))
+        """The text beside a match is put together from gaps and matches around it, each cut to what a context can hold."""
+        gaps, hits = F.col(f"{kind}_gaps"), F.col(f"{kind}_hits")
+        tail, head = lambda c: F.right(c, F.lit(CONTEXT_CHARS)), lambda c: F.substring(c, 1, CONTEXT_CHARS)
+        first = F.array(F.lit("")).cast("array<string>")
+        upto = F.zip_with(F.concat(first, hits), gaps, lambda h, g: tail(F.concat(tail(h), tail(g))))
+        onward = F.zip_with(gaps, F.concat(hits, first), lambda g, h: head(F.concat(head(g), head(h))))
+        # Bound once a row: a column that a lambda names could be worked out again for each element.
+        bound = F.array(F.struct(gaps.alias("gaps"), hits.alias("hits"), upto.alias("upto"), onward.alias("onward")))
+
+        def plain(context: Column) -> Column:
+            return F.translate(context, MARK + DASH, {"card": " -", "email": "."}.get(kind, ""))
+
+        def cut(row: Column) -> Column:
+            def one(hit: Column, i: Column) -> Column:
+                start = F.greatest(i + 2 - PIECES_BESIDE, F.lit(1))
+                return F.struct(
+                    F.lit(kind).alias("kind"),
+                    i.alias("nth"),
+                    F.length(F.get(row["gaps"], i)).alias("gap"),
+                    hit.alias("value"),
+                    plain(tail(F.array_join(F.slice(row["upto"], start, i + 2 - start), ""))).alias("before"),
+                    plain(head(F.array_join(F.slice(row["onward"], i + 2, PIECES_BESIDE), ""))).alias("after"),
+                )
+
+            return F.transform(row["hits"], one)
+
+        return F.when(hits.isNotNull(), F.flatten(F.transform(bound, cut))).otherwise(F.array().cast(PIECES))
 
     whole = F.array(F.struct(F.lit("document"), F.lit(0), F.lit(0), F.lit(""), F.lit(""), F.lit(""))).cast(PIECES)
     every = F.explode(F.concat(whole, *(pieces(k) for k in FIND))).alias("m")
