@@ -184,6 +184,14 @@ def test_language_fusion(web):
     assert by_id[500] == "de"  # by its host alone
 
 
+def test_language_declared_after_long_attributes(spark, web, tmp_path):
+    _, docs, _ = web
+    tags = ["<html data-x='" + "y" * 5000 + "' lang=de>", "<HTML\nLANG = 'es-ES'>", "<html><p lang=de>", "<html>" + "<html lang=en>"]
+    pages = write(spark, tmp_path, "pages", [(i, None, t, None) for i, t in enumerate(tags)], PAGES)
+    found = {f["page_id"]: f["declared"] for f in language_id.identify(pages, docs).collect()}
+    assert found == {0: "de", 1: "es", 2: "", 3: "en"}
+
+
 def test_language_without_models(spark, web, empty):
     pages, docs, _ = web
     assert {f["lang"] for f in language_id.identify(pages, docs.where("lang = 'none'")).collect()} == {None}

@@ -94,7 +94,8 @@ def _address(url: Column) -> dict[str, Column]:
 
 def _likelihoods(pages: DataFrame, names: list[str], table: np.ndarray) -> DataFrame:
     """Row, page_id, address parts, declared language and the text posterior (a double per language)."""
-    declared = F.lower(F.regexp_extract(text_or_empty("html"), r"(?i)<html\b[^>]{0,1000}?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b", 1))
+    tags = F.array_join(F.regexp_extract_all(text_or_empty("html"), F.lit(r"(?i)<html\b[^>]*+"), F.lit(0)), ">")
+    declared = F.lower(F.regexp_extract(tags, r"(?i)\blang\s*+=\s*+[\"']?\s*+([a-z]{2,3})\b", 1))
     rows = with_row_id(pages, ROW).select(
         ROW, "page_id", declared.alias("declared"), text_or_empty("html").alias("text"),
         *(c.alias(n) for n, c in _address(F.col("url")).items()),
