@@ -8,9 +8,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
-from truegrain.llm import exact_dedup, simhash, substring_dedup
-from truegrain.llm.common import Scratch, lowest, with_row_id
+from truegrain.llm import exact_dedup, mixing, simhash, substring_dedup
+from truegrain.llm.common import Scratch, cleared_after, lowest, with_row_id
 
 SPACE = re.compile(r"[\x20\x09-\x0d]+")
 
@@ -203,3 +204,23 @@ def test_lowest_is_a_bounded_sample(spark):
     found = lowest(rows, ["id"], 300, 5000).collect()
     assert len(found) == 300 and found == lowest(rows.repartition(7), ["id"], 300, 5000).collect()
     assert lowest(rows, ["id"], 9000, 5000).count() == 5000
+
+
+def test_names_that_operators_use_inside_are_free(spark, messy, tmp_path):
+    """Whatever a user's columns are called, they come back with their values."""
+    odd = ["__truegrain_row", "__TRUEGRAIN_COPY", "__times", "__truegrain_mark", "print"]
+    path = str(tmp_path / "odd.parquet")
+    messy.where("doc_id < 230").select("doc_id", "text", "source", *(F.lit(f"own {i}").alias(c) for i, c in enumerate(odd))).write.parquet(path)
+    docs = spark.read.parquet(path)
+    for operator in (exact_dedup.deduplicated, simhash.deduplicated, mixing.mixed_documents):
+        kept = operator(docs)
+        assert kept.columns == docs.columns
+        assert [tuple(r) for r in kept.select(odd).distinct().collect()] == [tuple(f"own {i}" for i in range(len(odd)))]
+
+
+def test_folders_made_inside_are_cleared(spark):
+    outer = Scratch(spark, "t")
+    with cleared_after():
+        inner = Scratch(spark, "t")
+        rows = outer.store(inner.store(spark.range(5)))
+    assert rows.count() == 5 and not os.path.exists(inner.path)

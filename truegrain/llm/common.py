@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +23,17 @@ class Scratch:
     """A run's own folder under the shared one; each stored step is written once and read back.
 
     A stored step cuts lineage and survives lost executors. ``clear`` removes the folder once
-    the caller has written its result.
+    the caller has written its result; ``cleared_after`` does so for all folders made inside it.
     """
 
+    _watching: list[list[Scratch]] = []
+
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.path = fresh_path(spark, label)
         self._steps = 0
+        for made in Scratch._watching:
+            made.append(self)
 
     def store(self, df: DataFrame) -> DataFrame:
         self._steps += 1
@@ -39,6 +45,19 @@ class Scratch:
         remove_path(self.spark, self.path)
 
 
+@contextmanager
+def cleared_after() -> Iterator[None]:
+    """Write a result inside; the folders that operators made meanwhile are removed at the end."""
+    made: list[Scratch] = []
+    Scratch._watching.append(made)
+    try:
+        yield
+    finally:
+        Scratch._watching[:] = [x for x in Scratch._watching if x is not made]
+        for scratch in made:
+            scratch.clear()
+
+
 def growing(df: DataFrame) -> DataFrame:
     """The side of a join that grows with the data: it is never broadcast.
 
@@ -51,6 +70,20 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with as many underscores after it as it takes to differ from all columns."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def only_rows(docs: DataFrame, rows: DataFrame, row: str) -> DataFrame:
+    """The documents whose row id is in column ``row`` of ``rows``, with all their columns, whatever their names."""
+    name = free_name(docs, row)
+    return with_row_id(docs, name).join(growing(rows.select(F.col(row).alias(name))), name, "left_semi").drop(name)
+
+
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
     """Name rows by their file and their place in it: a table of files read again, even split otherwise, as when
     executors have come or gone, gets the same names. Call it on the table itself, before columns are chosen.
@@ -114,6 +147,16 @@ def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, end - start)
 
 
+def blanking(letters: str) -> bytes:
+    """A table for ``bytes.translate`` that lowers A-Z and blanks ASCII characters but those of the character class ``letters``.
+
+    Bytes from 128 on stay, so what ``bytes.split`` then gives are the words of a text in UTF-8.
+    """
+    kept = re.compile(f"[{letters}]")
+    lowered = (chr(i).lower() if "A" <= chr(i) <= "Z" else chr(i) for i in range(128))
+    return bytes(ord(c) if kept.match(c) else 32 for c in lowered) + bytes(range(128, 256))
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of unsigned 64-bit numbers (a bijection)."""
     x = x.astype(np.uint64, copy=True)

@@ -1,7 +1,7 @@
 """Exact duplicates by deterministic block naming.
 
-Each normalised text is cut into blocks of fixed size. The distinct blocks of the whole corpus
-are sorted, and a block's place in that order is its integer name. Then adjacent names are
+Each normalised text is cut into blocks of fixed size. The distinct blocks of the whole corpus are dealt by
+hash and sorted in their partitions; partition and place there make a block's integer name. Then adjacent names are
 paired, the distinct pairs sorted and named again, and so on: each level halves the length of a
 document, until one name is left. Two documents of the same level have the same name exactly when
 their texts are the same, since equal names stand for equal blocks or equal pairs at each level.
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import SPACES, Scratch, growing, text_or_empty, with_row_id
+from truegrain.llm.common import SPACES, Scratch, growing, only_rows, text_or_empty, with_row_id
 
 BLOCK_CHARS = 4096
 ABSENT = -(1 << 63)  # stands to the right of an odd last name
@@ -129,6 +129,5 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    kept = exact_groups(docs).where("kept").select(ROW)
-    return with_row_id(docs, ROW).join(growing(kept), ROW, "left_semi").drop(ROW)
+    """The documents that stay, with all their columns, whatever their names."""
+    return only_rows(docs, exact_groups(docs).where("kept"), ROW)

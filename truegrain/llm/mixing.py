@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import Scratch, growing, ranked, text_or_empty, with_row_id
+from truegrain.llm.common import Scratch, free_name, growing, ranked, text_or_empty, with_row_id
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -183,7 +183,11 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with all its columns."""
-    times = mix(docs).where("times > 0").select(ROW, F.col("times").cast("int").alias("__times"))
-    copies = with_row_id(docs, ROW).join(growing(times), ROW)
-    return copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(docs.columns)
+    """The mix itself: every document as often as it is taken, with all its columns, whatever their names.
+
+    Nulls and ties are treated as in ``mix``; copies of a document are equal rows.
+    """
+    row, copy = free_name(docs, ROW), free_name(docs, "__truegrain_copy")
+    times = mix(docs).where("times > 0").select(F.col(ROW).alias(row), F.sequence(F.lit(1), F.col("times").cast("int")).alias(copy))
+    copies = with_row_id(docs, row).join(growing(times), row)
+    return copies.withColumn(copy, F.explode(copy)).select(docs.columns)

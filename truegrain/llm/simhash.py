@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import Scratch, arrow_schema, growing, lowest, text_or_empty, with_row_id
+from truegrain.llm.common import Scratch, arrow_schema, growing, lowest, only_rows, text_or_empty, with_row_id
 
 SHINGLE = 3
 LINK_BITS = 2
@@ -256,7 +256,10 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, link_bits: int = LINK_B
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each group of near duplicates, with all its columns."""
-    kept = near_groups(docs).where("stays").select(ROW)
-    return with_row_id(docs, ROW).join(growing(kept), ROW, "left_semi").drop(ROW)
+def deduplicated(docs: DataFrame, shingle: int = SHINGLE, link_bits: int = LINK_BITS) -> DataFrame:
+    """One document of each group of near duplicates, with all its columns, whatever their names.
+
+    It is the one with the smallest doc_id, nulls last; of rows that tie one stays, the same on each run. Null and empty
+    texts have fingerprint zero and form one group.
+    """
+    return only_rows(docs, near_groups(docs, shingle, link_bits).where("stays"), ROW)
