@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from truegrain.llm import exact_dedup, mixing, near_copies, packing, quality
-from truegrain.llm.common import Scratch
+from truegrain.llm import exact_dedup, mixing, packing, quality, simhash
+from truegrain.llm.common import Scratch, cleared_after
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +19,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more) the document with the smallest doc_id."""
-    return near_copies.deduplicated(docs)
+    """Of each group that fingerprints at two or fewer differing bits link, the document with the smallest doc_id."""
+    return simhash.deduplicated(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +46,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents; each stage's rows are stored and read again."""
-    scratch = Scratch(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = scratch.store(stage(spark, docs, sf_dir))
+    """Apply all stages to the documents; each stage's rows are stored and read again.
+
+    A stage's own steps are removed once its rows are stored, and its rows once those of the next stage are.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        kept = Scratch(spark, f"pipeline-{name}")
+        with cleared_after():
+            docs = kept.store(stage(spark, docs, sf_dir))
+        if before:
+            before.clear()
+        before = kept
     return docs
