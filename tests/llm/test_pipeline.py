@@ -37,7 +37,7 @@ def test_stages_and_columns(run):
         "quality_classifier", "exact_dedup", "simhash_near_dedup", "mixing", "best_fit_packing",
     ]
     assert all(s.columns == steps[0].columns for s in steps[:-1])
-    assert {"pipeline"} | {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in contract.queries() if k == "pipeline" or k.startswith("op")}
+    assert {"pipeline"} | {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in contract.queries() if k == "pipeline" or k.startswith("op")}
 
 
 def test_classifier_stage(spark, run):

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truegrain.llm import chat_format, exact_dedup, language_id, mixing, packing, pii, quality, simhash, substring_dedup, topk
+from truegrain.llm import (
+    chat_format, decontaminate, divergence, exact_dedup, language_id, mixing, packing, pii, quality, simhash, spelling,
+    substring_dedup, topk,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +67,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.report(found)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -75,6 +91,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_pii": op10_pii,
+    "op11_source_divergence_audit": op11_source_divergence_audit,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_benchmark_decontamination": op13_benchmark_decontamination,
 }
 
 #: Unlike Python's or Spark's, DuckDB's ``\s`` class is not used: the white space is named.
@@ -132,4 +151,78 @@ ORACLE = {
         FROM scores
         QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
     """,
+    "op11_source_divergence_audit": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ),
+        found AS (
+            SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+        ),
+        kept AS (SELECT lang, term, count(*) AS n FROM found GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+        used AS (
+            SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL
+        ),
+        langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+        grp AS (
+            SELECT lang, source, coalesce(sum(n), 0) AS total
+            FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN used USING (lang, source) GROUP BY ALL
+        ),
+        p AS (
+            SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n,
+                   1 + 1000000000 * (coalesce(u.n, 0) + 2)::HUGEINT // (g.total + 2 * v)::HUGEINT AS p,
+                   1 + 1000000000 * (k.n + 2)::HUGEINT // (l.total + 2 * v)::HUGEINT AS q
+            FROM grp AS g JOIN langs AS l USING (lang) JOIN kept AS k USING (lang)
+            LEFT JOIN used AS u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term
+        ),
+        sums AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+            FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ),
+        pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+            FROM grp AS a JOIN grp AS b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN sums AS s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        ),
+        terms AS (
+            SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+            FROM p WHERE n > 0 AND p > q
+        )
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+               CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+        QUALIFY part = 'pair' OR rank <= 10
+    """,
+    "op13_benchmark_decontamination": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ),
+        items AS (
+            SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ),
+        windows AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS k
+            FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0
+        ),
+        met AS (
+            SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS k
+            FROM docs, (SELECT DISTINCT n FROM windows), unnest(range(1, len(w) - n + 2)) AS t(i)
+        ),
+        hit AS (SELECT r, i, n, item_id FROM met JOIN windows USING (n, k)),
+        places AS (
+            SELECT r, count(DISTINCT i + j) AS n_hit FROM hit, unnest(range(0, n)) AS t(j) GROUP BY r
+        ),
+        of AS (SELECT r, string_agg(item_id, ',' ORDER BY item_id) AS ids, count(*) AS n FROM (SELECT DISTINCT r, item_id FROM hit) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(of.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN places USING (r) LEFT JOIN of USING (r)
+    """,
 }
