@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import types as T
 
@@ -135,9 +136,13 @@ def test_variants_in_blocks(spark, wordy, monkeypatch):
     """A threshold under the length of lists: long lists are cut into blocks that meet pair by pair."""
     scratch = Scratch(spark, "t")
     words = scratch.store(spelling.word_counts(wordy))
-    frequent, _ = spelling.frequent_grams(scratch, words)
-    monkeypatch.setattr(spelling, "frequent_grams", lambda *a, **b: ({g: 99 for w in slow_words(wordy.collect()) for g in (f"^{w}$"[i : i + k] for k in (2, 3, 4) for i in range(len(w) + 3 - k))}, 1))
+    monkeypatch.setattr(spelling, "LONG_LISTS", 1 << 40)
+    asked = []
+    plain = spelling.long_lists
+    monkeypatch.setattr(spelling, "long_lists", lambda *a: asked.append(plain(*a)) or asked[-1])
+    monkeypatch.setattr(spelling, "LEAST_FREQUENT", 1)
     pairs = {(r["word"], r["near"]) for r in spelling.near_words(scratch, words, list_words=3).collect()}
+    assert max(asked[0].values()) > 4
     every = list(slow_words(wordy.collect()))
     assert pairs == {(a, b) for a in every for b in every if one_edit(a, b)}
 
@@ -149,6 +154,26 @@ def test_variants_of_little(messy, empty):
         spelling.variants(messy, least_chars=6)
 
 
+def test_words_compared_as_numbers():
+    """The packed comparison and the one by bytes agree with plain Python on words of all lengths."""
+    rng = random.Random(6)
+    for _ in range(40):
+        width = rng.randint(7, 24)
+        longer = ["".join(rng.choice("abÿ") for _ in range(width)) for _ in range(60)]
+        other = []
+        for w in longer:
+            at, kind = rng.randrange(width), rng.randrange(3)
+            x = w[:at] + ("" if kind else rng.choice("abc")) + w[at + 1 :]
+            other.append(x if kind < 2 else rng.choice([x[:-1] + "b", "a" + x[1:], x[::-1]]))
+        short = np.array([len(x) < width for x in other])
+        room = max(16, width)
+        rows = lambda words: np.frombuffer(b"".join(w.encode("latin-1").ljust(room, b"\0") for w in words), np.uint8).reshape(-1, room)
+        wanted = [one_edit(a, b) for a, b in zip(longer, other)]
+        assert spelling.one_edit(rows(longer), rows(other), short).tolist() == wanted
+        if width <= 16:
+            assert spelling.one_edit_packed(rows(longer).view(np.uint64), rows(other).view(np.uint64), short).tolist() == wanted
+
+
 def test_grams_that_an_edit_leaves():
     """Every word keeps a merged list in common with each of its variants, whatever is frequent."""
     rng = random.Random(9)

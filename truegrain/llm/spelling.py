@@ -19,10 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.llm.common import Scratch, arrow_schema, growing, slices, text_or_empty
+from truegrain.llm.common import Scratch, arrow_schema, growing, mixed, slices, text_or_empty
 
 LEAST, MOST = 2, 4  # characters of a gram
 LEAST_CHARS = 7
@@ -32,6 +33,8 @@ SPOILT = 31  # a run is spoilt if this divides its mark
 DICTIONARY = 1 << 16  # frequent grams of a length: no more than this many can be
 LEAST_FREQUENT = 16
 LIST_WORDS = 8192  # words of a list that meet in one task; longer ones are cut into blocks that meet pair by pair
+LONG_LISTS = 1 << 18  # no more lists than this are that long
+PAIRS_AT_ONCE = 1 << 18
 COMPARED_BYTES = 1 << 24
 SLICE_BYTES = 1 << 23
 #: Latin-1: A-Z lowered; a-z and the characters from U+00C0 on stay; all else is blank.
@@ -63,9 +66,8 @@ def word_counts(docs: DataFrame, least_chars: int = LEAST_CHARS, least_count: in
                 found: Counter[bytes] = Counter()
                 for doc_id, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist()):
                     mark = zlib.crc32(f"{doc_id}:".encode())
-                    for run, n in Counter(runs(text)).items():
-                        if len(run) >= least_chars:
-                            found[spoilt(run, mark)] += n
+                    for run, n in Counter([r for r in runs(text) if len(r) >= least_chars]).items():
+                        found[spoilt(run, mark)] += n
                 words = [w.decode("latin-1") for w in found]
                 table = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(found.values(), pa.int64())], schema=schema)
                 yield table.filter(pa.compute.greater_equal(pa.compute.utf8_length(table.column("word")), least_chars))
@@ -75,9 +77,10 @@ def word_counts(docs: DataFrame, least_chars: int = LEAST_CHARS, least_count: in
 
 
 def frequent_grams(scratch: Scratch, words: DataFrame, dictionary: int = DICTIONARY, least: int = LEAST_FREQUENT) -> tuple[dict[str, int], int]:
-    """The gram dictionary and its threshold: grams of up to ``MOST`` characters that more words' places have than the threshold.
+    """The gram dictionary, and the number of places of all words.
 
-    It grows with the number of places, so that no length has more than ``dictionary`` grams here.
+    It has the grams of up to ``MOST`` characters that are more frequent than a threshold, which grows with the number of places, so
+    that no length has more than ``dictionary`` of them.
     """
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +95,7 @@ def frequent_grams(scratch: Scratch, words: DataFrame, dictionary: int = DICTION
     counts = scratch.store(words.select("word").mapInArrow(grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")))
     places = counts.where(F.length("gram") == LEAST).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     threshold = max(least, -(-places // dictionary))
-    return {r["gram"]: r["n"] for r in counts.where(F.col("n") > threshold).collect()}, threshold
+    return {r["gram"]: r["n"] for r in counts.where(F.col("n") > threshold).collect()}, places
 
 
 def decomposed(word: str, frequent: dict[str, int]) -> list[tuple[int, int]]:
@@ -109,47 +112,97 @@ def decomposed(word: str, frequent: dict[str, int]) -> list[tuple[int, int]]:
     return out
 
 
-def touched(grams: list[tuple[int, int]], chars: int) -> int:
-    """The most grams that one edit of a word of so many characters can touch."""
+def touched(grams: list[tuple[int, int]]) -> int:
+    """The most grams that one edit can touch: an edit at place i touches grams that end in (i, i + MOST]."""
     ends = [end for _, end in grams]
-    first = np.searchsorted(ends, np.arange(1, chars + 2), "right")  # an edit at i touches grams that end in (i, i + MOST]
-    last = np.searchsorted(ends, np.arange(1, chars + 2) + MOST, "right")
-    return int((last - first).max())
+    most = last = 0
+    for first, end in enumerate(ends):
+        while last < len(ends) and ends[last] < end + MOST:
+            last += 1
+        most = max(most, last - first)
+    return most
 
 
 def merged_lists(word: str, frequent: dict[str, int]) -> list[tuple[int, str]]:
     """(start, gram) of the lists to merge: rarest first, one more than an edit can touch."""
     grams = decomposed(word, frequent)
     marked = f"^{word}$"
-    named = sorted((frequent.get(marked[a:b], 0), marked[a:b], a) for a, b in grams)
-    return [(a, gram) for _, gram, a in named[: touched(grams, len(word)) + 1]]
+    named = [(frequent.get(gram, 0), gram, a) for a, gram in [(a, marked[a:b]) for a, b in grams]]
+    named.sort()
+    return [(a, gram) for _, gram, a in named[: touched(grams) + 1]]
 
 
-def entries(words: DataFrame, frequent: dict[str, int]) -> DataFrame:
-    """(list, chars, often, word, n): a word in each list it has to be met in; ``often`` tells that the list's gram is frequent.
+def listings(words: list[str], frequent: dict[str, int], above: int = -1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(list, chars, place of the word): four entries for each gram to merge, of those more frequent than ``above``.
 
     A list is named by gram, place from the start (even) or from the end (odd), and number of characters of its longer words.
     """
-    ddl = "list long, chars int, often boolean, word string, n long"
+    known: dict[str, int] = {}
+    hashes, starts, owner = [], [], []
+    for i, word in enumerate(words):
+        for start, gram in merged_lists(word, frequent):
+            if above >= 0 and frequent.get(gram, 0) <= above:
+                continue
+            hashed = known.get(gram)
+            if hashed is None:
+                hashed = known[gram] = xxhash.xxh64_intdigest(gram.encode())
+            hashes.append(hashed)
+            starts.append(start)
+            owner.append(i)
+    owner, starts = np.array(owner, np.int64), np.array(starts, np.int64)
+    size = np.array([len(w) for w in words], np.int64)[owner]
+    gram = np.array(hashes, np.uint64)
+    lists, chars = [], []
+    for side, place in ((0, starts), (1, size + 2 - starts)):
+        for longer in (size, size + 1):
+            named = mixed(gram ^ mixed((place * 2 + side).astype(np.uint64) + mixed(longer.astype(np.uint64))))
+            lists.append(named & ~np.uint64(1) | np.uint64(side))
+            chars.append(longer)
+    return np.concatenate(lists).view(np.int64), np.concatenate(chars), np.tile(owner, 4)
+
+
+def long_lists(words: DataFrame, frequent: Broadcast, limit: int) -> dict[int, int]:
+    """Lists of more than ``limit`` words, with the number of blocks to cut them into.
+
+    Only grams that are more frequent than that can have them, and the entries over the limit bound their number.
+    """
+    if not any(n > limit for n in frequent.value.values()):
+        return {}
+    schema = arrow_schema("list long")
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, _, _ = listings(batch.column("word").to_pylist(), frequent.value, limit)
+            yield pa.RecordBatch.from_arrays([pa.array(lists)], schema=schema)
+
+    counts = words.select("word").mapInArrow(listed, "list long").groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > limit)
+    return {r["list"]: 2 * -(-r["n"] // limit) for r in counts.collect()}
+
+
+def entries(words: DataFrame, frequent: Broadcast, blocks: dict[int, int]) -> DataFrame:
+    """(list, pair, own, chars, word, n): a word in each list it has to be met in.
+
+    A long list's words are dealt to blocks; a word is then there once for each pair of blocks its own takes part in.
+    """
+    ddl = "list long, pair long, own int, chars int, word string, n long"
     schema = arrow_schema(ddl)
-    shared = words.sparkSession.sparkContext.broadcast(frequent)
+    cut = words.sparkSession.sparkContext.broadcast(blocks)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest, grams = xxhash.xxh64_intdigest, shared.value
         for batch in batches:
-            lists, chars, often, owner = [], [], [], []
-            for i, word in enumerate(batch.column("word").to_pylist()):
-                size = len(word)
-                for start, gram in merged_lists(word, grams):
-                    for side, place in ((0, start), (1, size + 2 - start)):
-                        for longer in (size, size + 1):
-                            lists.append(digest(f"{gram}:{place}:{longer}".encode()) & ~1 | side)
-                            chars.append(longer)
-                            often.append(gram in grams)
-                            owner.append(i)
-            taken = batch.take(pa.array(owner, pa.int64()))
-            keys = pa.array(np.array(lists, np.uint64).view(np.int64))
-            arrays = [keys, pa.array(chars, pa.int32()), pa.array(often, pa.bool_()), taken.column("word"), taken.column("n")]
+            words = batch.column("word").to_pylist()
+            lists, chars, owner = listings(words, frequent.value)
+            own, pair = np.zeros((2, len(lists)), np.int64)
+            if cut.value:
+                number = np.array([cut.value.get(x, 1) for x in lists.tolist()])
+                hashed = np.array([xxhash.xxh64_intdigest(w.encode(), 1) for w in words], np.uint64)
+                own = (hashed[owner] % number.astype(np.uint64)).astype(np.int64)
+                times = np.repeat(np.arange(len(lists)), number)
+                other = np.arange(len(times)) - np.repeat(np.cumsum(number) - number, number)
+                lists, chars, owner, own = lists[times], chars[times], owner[times], own[times]
+                pair = np.minimum(own, other) << 32 | np.maximum(own, other)
+            taken = batch.take(pa.array(owner))
+            arrays = [pa.array(lists), pa.array(pair), pa.array(own.astype(np.int32)), pa.array(chars.astype(np.int32)), taken.column("word"), taken.column("n")]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return words.select("word", "n").mapInArrow(listed, ddl)
@@ -167,62 +220,105 @@ def one_edit(longer: np.ndarray, other: np.ndarray, short: np.ndarray) -> np.nda
     return good
 
 
-def near_in_lists(batch: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (longer or either, other) of near words in the lists of one batch, whose lists are whole and in order."""
-    columns = [batch[c].to_numpy() for c in ("chars", "list", "i", "j")]
-    own, chars = batch["own"].to_numpy(), columns[0]
-    size = pa.compute.utf8_length(batch["word"]).to_numpy()
-    words = [w.encode("latin-1") for w in batch["word"].to_pylist()]
-    change = np.zeros(batch.num_rows, bool)
-    for c in columns:
+def _differing(x: np.ndarray) -> np.ndarray:
+    """How many of the eight bytes aren't 0."""
+    x = x | x >> np.uint64(4)
+    x |= x >> np.uint64(2)
+    x |= x >> np.uint64(1)
+    return np.bitwise_count(x & np.uint64(0x0101010101010101))
+
+
+def _low_bits(x: np.ndarray) -> np.ndarray:
+    """Eight times the number of bytes that are 0 before the first that isn't, for numbers above 0."""
+    return np.bitwise_count((x & (~x + np.uint64(1))) - np.uint64(1)) & np.uint8(0xF8)
+
+
+def one_edit_packed(longer: np.ndarray, other: np.ndarray, short: np.ndarray) -> np.ndarray:
+    """The same for words of up to 16 characters, as two numbers of eight bytes each, the first character lowest."""
+    lo, hi = longer[:, 0] ^ other[:, 0], longer[:, 1] ^ other[:, 1]
+    good = (_differing(lo) + _differing(hi) == 1) & ~short
+    some = np.flatnonzero(short)
+    if len(some):
+        # Less one character at the first difference: from there on the rest has to fit, moved by one.
+        lo, hi, a, b = lo[some], hi[some], longer[some], other[some]
+        rest_lo = (a[:, 0] >> np.uint64(8) | a[:, 1] << np.uint64(56)) ^ b[:, 0]
+        rest_hi = a[:, 1] >> np.uint64(8) ^ b[:, 1]
+        early = lo != 0
+        first = rest_lo >> _low_bits(np.where(early, lo, 1)).astype(np.uint64)
+        later = rest_hi >> _low_bits(np.where(hi != 0, hi, 1)).astype(np.uint64)
+        good[some] = np.where(early, (first == 0) & (rest_hi == 0), later == 0)
+    return good
+
+
+def _asked(start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) with start[i] <= j < end[i], about ``PAIRS_AT_ONCE`` at a time."""
+    number = np.maximum(end - start, 0)
+    upto = np.cumsum(number)
+    at = 0
+    while at < len(number):
+        stop = max(at + 1, int(np.searchsorted(upto, upto[at] - number[at] + PAIRS_AT_ONCE, "right")))
+        some = number[at:stop]
+        first = np.repeat(np.arange(at, stop), some)
+        yield first, np.arange(len(first)) - np.repeat(np.cumsum(some) - some, some) + np.repeat(start[at:stop], some)
+        at = stop
+
+
+def near_in_lists(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (longer or either, other) of near words in lists that are whole, each in consecutive rows."""
+    names = [table[c].to_numpy() for c in ("chars", "list", "pair")]
+    own, size = table["own"].to_numpy(), pa.compute.utf8_length(table["word"]).to_numpy()
+    change = np.zeros(table.num_rows, bool)
+    for c in names:
         change[1:] |= c[1:] != c[:-1]
     run = np.cumsum(change)
-    edges = np.flatnonzero(np.r_[True, chars[1:] != chars[:-1], True])
+    order = np.lexsort((size != names[0], run))  # the longer words of a list first
+    words = [w.encode("latin-1") for w in table["word"].to_pylist()]
+    edges = np.flatnonzero(np.r_[True, names[0][1:] != names[0][:-1], True])
     for start, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        width = int(chars[start])
-        letters = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words[start:end]]), np.uint8).reshape(-1, width)
-        ids, full = run[start:end], size[start:end] == width
-        by_end = (columns[1][start:end] & 1).astype(bool)
-        part, own_part = columns[2][start:end] != columns[3][start:end], own[start:end]
-        first, step = np.arange(end - start), 0
-        while True:
-            step += 1
-            first = first[first + step < end - start]
-            first = first[ids[first + step] == ids[first]]
-            if not len(first):
-                break
-            for at in range(0, len(first), max(1, COMPARED_BYTES // width)):
-                a = first[at : at + max(1, COMPARED_BYTES // width)]
-                b = a + step
-                both, one = full[a] & full[b], full[a] ^ full[b]
-                ask = (one | both & ~by_end[a]) & (~part[a] | (own_part[a] != own_part[b]))
-                a, b, one = a[ask], b[ask], one[ask]
-                a, b = np.where(full[a], a, b), np.where(full[a], b, a)
-                good = one_edit(letters[a], letters[b], one)
+        rows = order[start:end]
+        width = int(names[0][start])
+        room = max(16, width)
+        letters = np.frombuffer(b"".join([words[i].ljust(room, b"\0") for i in rows.tolist()]), np.uint8).reshape(-1, room)
+        packed = letters.view(np.uint64) if width <= 16 else letters
+        test = one_edit_packed if width <= 16 else one_edit
+        ids, full = run[rows], size[rows] == width
+        number = np.arange(len(rows))
+        last = np.searchsorted(ids, ids, "right")
+        shorter = np.searchsorted(ids, ids, "left") + np.bincount(ids - ids[0], full)[ids - ids[0]].astype(np.int64)
+        # By the start, a longer word meets those after it; by the end, the shorter ones. Shorter words don't meet each other.
+        first = np.where(names[1][rows] & 1, shorter, number + 1)
+        several = names[2][rows] >> 32 != names[2][rows] & 0xFFFFFFFF
+        for a, b in _asked(np.where(full, first, last), last):
+            if several.any():
+                ask = ~several[a] | (own[rows[a]] != own[rows[b]])
+                a, b = a[ask], b[ask]
+            step = max(1, COMPARED_BYTES // room)
+            for at in range(0, len(a), step):
+                x, y = a[at : at + step], b[at : at + step]
+                good = test(packed[x], packed[y], ~full[y])
                 if good.any():
-                    yield start + a[good], start + b[good]
+                    yield rows[x[good]], rows[y[good]]
 
 
 def near_words(scratch: Scratch, words: DataFrame, dictionary: int = DICTIONARY, list_words: int = LIST_WORDS) -> DataFrame:
-    """(word, near, near_n): each ordered pair of words one edit apart, perhaps more than once."""
-    frequent, threshold = frequent_grams(scratch, words, dictionary)
-    listed = scratch.store(entries(words, frequent))
-    limit = max(list_words, threshold)  # the list of a gram outside the dictionary is no longer than the threshold
-    long = listed.where("often").groupBy("list").agg(F.count("*").alias("blocks")).where(F.col("blocks") > limit)
-    blocks = scratch.store(long.select("list", (2 * F.ceil(F.col("blocks") / limit)).alias("blocks")))
-    placed = listed.drop("often").join(growing(blocks), "list", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    placed = placed.withColumn("own", F.expr("pmod(xxhash64(word), blocks)"))
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    group = ["list", "i", "j"]
-    met = met.select("list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "chars", "word", "n", "own")
-    ddl = "word string, near string, near_n long"
+    """(word, near, near_n): each ordered pair of words one edit apart, once."""
+    grams, places = frequent_grams(scratch, words, dictionary)
+    frequent = words.sparkSession.sparkContext.broadcast(grams)
+    limit = max(list_words, -(-4 * places // LONG_LISTS))
+    blocks = long_lists(words, frequent, limit)
+    ddl = "word string, near string, n long, near_n long"
     schema = arrow_schema(ddl)
+    group = ["list", "pair"]
 
     def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
         word, n = table["word"].combine_chunks(), table["n"].combine_chunks()
         for a, b in near_in_lists(table):
-            left, right = pa.array(np.r_[a, b]), pa.array(np.r_[b, a])
-            yield pa.RecordBatch.from_arrays([word.take(left), word.take(right), n.take(right)], schema=schema)
+            a, b = pa.array(a), pa.array(b)
+            left, right = word.take(a), word.take(b)
+            turn = pa.compute.greater(left, right)  # each pair one way round
+            put = lambda x, y: pa.compute.if_else(turn, y, x)
+            x, y = n.take(a), n.take(b)
+            yield pa.RecordBatch.from_arrays([put(left, right), put(right, left), put(x, y), put(y, x)], schema=schema)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by list; the last list of a batch may go on in the next."""
@@ -244,7 +340,10 @@ def near_words(scratch: Scratch, words: DataFrame, dictionary: int = DICTIONARY,
         if left:
             yield from found(pa.Table.from_batches(left))
 
-    return met.repartition(*group).sortWithinPartitions("chars", *group).mapInArrow(meet, ddl)
+    met = entries(words, frequent, blocks).repartition(*group).sortWithinPartitions("chars", *group)
+    pairs = scratch.store(met.mapInArrow(meet, ddl).distinct())
+    turned = pairs.select(F.col("near").alias("word"), F.col("word").alias("near"), F.col("n").alias("near_n"))
+    return pairs.drop("n").unionByName(turned)
 
 
 def roots(scratch: Scratch, forms: DataFrame) -> DataFrame:
@@ -280,7 +379,7 @@ def variants(
         raise ValueError(f"words under {LEAST_CHARS} characters may share no gram with a variant")
     scratch = Scratch(docs.sparkSession, "spelling")
     words = scratch.store(word_counts(docs, least_chars, least_count))
-    near = near_words(scratch, words, dictionary, list_words).distinct()
+    near = near_words(scratch, words, dictionary, list_words)
     best = F.min(F.struct((-F.col("near_n")).alias("less"), "near"))
     about = near.groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
     told = words.join(growing(about), "word", "left").withColumn("best_n", -F.col("best.less"))
