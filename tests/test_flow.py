@@ -1,5 +1,7 @@
 """Contract, expectations, gates, files, histories, trend and freshness."""
 
+import gzip
+import hashlib
 import os
 from datetime import datetime, timedelta
 
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from truegrain.operators import expect, freshness, gates, score, trend
 from truegrain.plans import medallion, settings
 from truegrain.session import fresh_path, shared_dir
-from truegrain.sources import files, sinks
+from truegrain.sources import files, landing, sinks, storage
 from truegrain.sources.contract import contract_from_dict, load_contract
 
 NOW = datetime(2026, 8, 4, 14, 0)
@@ -126,14 +128,65 @@ NASTY = [
 
 def test_bronze_round_trip(spark):
     df = spark.createDataFrame(NASTY, "n string, a string, b string, c string")
-    source = sinks.write_raw(df.repartition(3), fresh_path(spark, "t"))
-    landed = files.read_raw(spark, sinks.land_bronze(spark, source, fresh_path(spark, "t")))
-    assert sorted(map(repr, landed.collect())) == sorted(map(repr, df.collect()))
+    source, target = sinks.write_raw(df.repartition(3), fresh_path(spark, "t")), fresh_path(spark, "t")
+    landing.land(spark, source, target)
+    assert sorted(map(repr, landing.read_landed(spark, target).collect())) == sorted(map(repr, df.collect()))
     read = {r["a"]: r for r in files.read_bronze(spark, source).collect()}
     assert read["  padded  "]["n"] == 1.0 and read[None]["n"] == 3.0
     assert {r["c"] for r in read.values()} == {None}
 
 
+RAW_FILES = {
+    "a 1.csv": b"x,y\n1,\"quoted, \"\"twice\"\"\"\n2,  bare  \r\n\n3,\xff\xfe not utf-8\n",
+    "b.csv": b"x,y\n4,no break at the end",
+    "c.csv": "x,y\n5,\u00e9nds in \u00e9".encode(),
+    "d.csv": b"\xef\xbb\xbfx,y\n6,marked\n",
+    "e.csv": b"",
+    "f.csv": b"x,y\n" + b"".join(b"%d,%s\n" % (i, b"z" * (i % 40)) for i in range(10, 3000)),
+    "g.csv": b"\xef\xbb\xbfx,y\n7,marked, no break",
+}
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_landed_bytes_are_the_source_bytes(spark, tmp_path, multi_line):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for name, content in RAW_FILES.items():
+        (source / name).write_bytes(content)
+    (source / "_SUCCESS").write_bytes(b"")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        for _ in range(2):  # a second run replaces the first
+            manifest = landing.land(spark, str(source), target, multi_line)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [(r["bytes"], r["source_file"].endswith(n)) for r, n in zip(manifest.collect(), RAW_FILES)] == [(len(c), True) for c in RAW_FILES.values()]
+    parts = landing.parts_of(spark, target)
+    for number, content in enumerate(RAW_FILES.values()):
+        landed = b"".join(open(p.removeprefix("file:"), "rb").read() for p in parts.get(number, []))
+        assert hashlib.sha256(landed).digest() == hashlib.sha256(content).digest()
+    assert multi_line or len(parts[5]) > 3
+    checked = landing.landing_check(spark, manifest, target).collect()
+    assert all(r["same_lines"] for r in checked) and sum(r["lines"] for r in checked) == sum(len(c.split(b"\n")) - c.endswith(b"\n") for c in RAW_FILES.values() if c)
+    rows = {r["x"]: r["y"] for r in landing.read_landed(spark, target, multi_line).collect()}
+    assert len(rows) == 2997 and (rows["1"], rows["4"], rows["6"], rows["2"].rstrip("\r")) == ('quoted, "twice"', "no break at the end", "marked", "  bare  ")
+
+
+def test_landing_refuses_what_it_cannot_keep(spark, tmp_path):
+    (tmp_path / "z.csv.gz").write_bytes(gzip.compress(b"x,y\n1,2\n", mtime=0) + b"")
+    with pytest.raises((RuntimeError, ValueError)):
+        landing.land(spark, str(tmp_path / "z.csv.gz"), str(tmp_path / "out"))
+    (tmp_path / "one.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "two.csv").write_text("y,x\n1,2\n")
+    (tmp_path / "z.csv.gz").rename(tmp_path / "_z")
+    landing.land(spark, str(tmp_path), str(tmp_path / "_out"))
+    with pytest.raises(Exception, match="header"):
+        landing.read_landed(spark, str(tmp_path / "_out")).collect()
+    with pytest.raises(FileNotFoundError):
+        landing.read_landed(spark, str(tmp_path / "none"))
+
+
 def test_bronze_with_schema(spark):
     df = spark.createDataFrame([("3.0", "2.5", "x"), ("7", "1e2", "y"), ("2.5", "z", "NA")], "q string, p string, s string")
     path = sinks.write_raw(df, fresh_path(spark, "t"))
@@ -166,7 +219,7 @@ def test_medallion_runs_to_the_end(spark):
     rows += [rows[0]]
     run = medallion.run_orders(spark, land(spark, rows), fresh_path(spark, "run"), datetime(2024, 1, 30, 12))
     assert run.completed
-    gold = spark.read.parquet(run.gold)
+    gold = sinks.read_gold(spark, run.gold)
     assert (gold.count(), dict(gold.dtypes)["order_date"]) == (201, "date")
     assert "is_anomaly" not in gold.columns
     assert spark.read.parquet(run.flagged).where("is_anomaly").count() == 1
@@ -188,7 +241,7 @@ def test_medallion_with_line_breaks_in_cells(spark):
     source = land(spark, rows)
     run = medallion.run_orders(spark, source, fresh_path(spark, "run"), datetime(2024, 1, 30, 12), multi_line=True)
     assert run.completed
-    assert spark.read.parquet(run.gold).where(F.col("customer_id").contains("\n")).count() == 1
+    assert sinks.read_gold(spark, run.gold).where(F.col("customer_id").contains("\n")).count() == 1
 
 
 def test_medallion_stops_on_types_and_on_score(spark):
@@ -202,12 +255,57 @@ def test_medallion_stops_on_types_and_on_score(spark):
     assert not run.completed and [r["gate"] for r in stop] == ["gate_3"]
 
 
-def test_gold_is_replaced(spark):
-    silver = sinks.write_parquet(spark.range(5), fresh_path(spark, "silver"))
+def test_gold_is_replaced(spark, monkeypatch):
+    """A load that fails, or loses rows, leaves the gold before it in place; old versions go."""
     gold = fresh_path(spark, "gold")
-    assert sinks.load_gold(spark, silver, gold).first()["records_loaded"] == 5
-    silver = sinks.write_parquet(spark.range(3), fresh_path(spark, "silver"))
-    assert sinks.load_gold(spark, silver, gold).first()["records_loaded"] == 3
+    with pytest.raises(FileNotFoundError):
+        sinks.read_gold(spark, gold)
+    load = lambda n: sinks.load_gold(spark, sinks.write_parquet(spark.range(n), fresh_path(spark, "silver")), gold).first()
+    for n in (5, 3, 4, 7):
+        assert load(n)["records_loaded"] == n and sinks.read_gold(spark, gold).count() == n
+    assert len(sinks.gold_versions(spark, gold)) == 2 and len([f for f in os.listdir(gold) if f[0] == "r"]) == 2
+    broken = sinks.write_parquet(spark.range(9), fresh_path(spark, "silver"))
+    for part in [f for f in os.listdir(broken) if f.endswith(".parquet")][:1]:
+        with open(os.path.join(broken, part), "r+b") as f:
+            f.truncate(20)
+    with pytest.raises(Exception):
+        sinks.load_gold(spark, broken, gold)
+    assert sinks.read_gold(spark, gold).count() == 7
+    monkeypatch.setattr(storage, "publish_text", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load(2)
+    assert sinks.read_gold(spark, gold).count() == 7
+
+
+def test_publishing_twice_is_an_error(spark, tmp_path):
+    storage.publish_text(spark, str(tmp_path / "v" / "1"), "a")
+    with pytest.raises(FileExistsError):
+        storage.publish_text(spark, str(tmp_path / "v" / "1"), "b")
+    assert (tmp_path / "v" / "1").read_text() == "a" and storage.child_names(spark, str(tmp_path / "none")) == []
+
+
+def test_runs_written_again_are_there_once(spark):
+    columns = "pipeline_name string, scored_at timestamp, total_score double, status string, hard_block_triggered string, score_a double, score_b double"
+    first = [("p", NOW, 90.0, "PASS", None, 0.9, 0.8), ("q/r s", NOW, 70.0, "WARN", None, 0.7, 0.7), ("p", NOW + timedelta(microseconds=1), 1.0, "FAIL", "x", 0.1, 0.1)]
+    again = [("p", NOW, 91.0, "PASS", None, 0.91, 0.8)]
+    path, csv, name = fresh_path(spark, "history"), fresh_path(spark, "csv"), "again_" + fresh_path(spark, "x").rsplit("-", 1)[1]
+    for rows in (first, again, first, again):
+        card = spark.createDataFrame(rows, columns)
+        sinks.append_scores(card, path, name)
+        sinks.append_scores_csv(card, csv)
+    wanted = {("p", 91.0), ("q/r s", 70.0), ("p", 1.0)}
+    assert {(r["pipeline_name"], r["total_score"]) for r in sinks.read_scores(spark, path).collect()} == wanted
+    assert sinks.read_scores(spark, path).count() == 6 == spark.table(name).count()
+    assert sinks.history_runs(spark, path, spark.createDataFrame(first, columns)) == 3
+    assert sinks.history_runs(spark, path, spark.createDataFrame([("p", NOW - timedelta(1), 1.0, "FAIL", None, 0.1, 0.1)], columns)) == 0
+    read = files.read_history_csv(spark, csv, ["a", "b"])
+    assert "run" not in read.columns and {(r["pipeline_name"], r["total_score"]) for r in read.collect()} == wanted and read.count() == 3
+
+
+def test_history_gate(spark):
+    assert gates.history_gate(spark, "gate_5", 1).first()["severity"] == "OK"
+    row = gates.history_gate(spark, "gate_5", 0).first()
+    assert (row["passed"], row["severity"], row["observed"], row["threshold"]) == (False, "WARN", 0.0, 1.0)
 
 
 def test_gold_by_name(spark):

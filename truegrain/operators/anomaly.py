@@ -161,10 +161,16 @@ def split_anomalies(
 
 def quarantine_rate(flagged: DataFrame, limit: float = 0.2) -> DataFrame:
     """Share of flagged rows against a limit, in one row."""
-    counted = flagged.agg(
-        F.count("*").alias("total_input"),
-        F.count_if(F.col("is_anomaly")).alias("quarantine_records"),
-    )
+    return rate_of(flagged.agg(*rate_counts()), limit)
+
+
+def rate_counts() -> list[Column]:
+    """What :func:`rate_of` needs counted, for counting along with another pass over flagged rows."""
+    return [F.count("*").alias("total_input"), F.count_if(F.col("is_anomaly")).alias("quarantine_records")]
+
+
+def rate_of(counted: DataFrame, limit: float = 0.2) -> DataFrame:
+    """The quarantine rate of a one-row frame of counts."""
     rate = F.coalesce(
         F.round(F.try_divide(F.col("quarantine_records"), F.col("total_input")), 4), F.lit(0.0)
     )

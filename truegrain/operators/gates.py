@@ -6,6 +6,8 @@ severity is OK, WARN (go on) or STOP. Acting on a STOP is up to the caller.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,11 @@ GATE_SCHEMA = (
 )
 
 
+def facts_row(spark: SparkSession, facts: Mapping[str, int]) -> DataFrame:
+    """Counts that are already known, as a one-row frame of literals."""
+    return spark.sql("SELECT 1 AS one").select(*(F.lit(value).cast("long").alias(name) for name, value in facts.items()))
+
+
 def _rows(source: DataFrame, gate: str, severity: Column) -> DataFrame:
     return source.select(
         F.lit(gate).alias("gate"),
@@ -62,9 +69,10 @@ def score_gate(card: DataFrame, config: ScorerConfig, gate: str) -> DataFrame:
     return _rows(line, gate, words.otherwise("STOP"))
 
 
-def history_gate(spark: SparkSession, gate: str, appended: int) -> DataFrame:
-    """The score was added to the history; never stops."""
-    row = (gate, "history", "", True, "OK", float(appended), None)
+def history_gate(spark: SparkSession, gate: str, appended: int, due: int = 1) -> DataFrame:
+    """How many of the runs that were added the history holds, read back; fewer than were due warn, as the data itself is loaded."""
+    passed = appended == due
+    row = (gate, "history", "", passed, "OK" if passed else "WARN", float(appended), float(due))
     return spark.createDataFrame([row], GATE_SCHEMA)
 
 

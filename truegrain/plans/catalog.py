@@ -27,7 +27,7 @@ from truegrain.operators import (
 )
 from truegrain.plans import medallion, settings
 from truegrain.session import fresh_path, stored
-from truegrain.sources import files, sinks, views
+from truegrain.sources import files, landing, sinks, views
 
 ORDERS_AS_OF = datetime(2001, 8, 1, 3, 0)
 EVENTS_AS_OF = datetime(2024, 1, 31)
@@ -81,7 +81,19 @@ def bronze_csv_scan(spark, sf_dir):
 @query
 def bronze_land(spark, sf_dir):
     source = sinks.write_raw(_raw_orders(spark, sf_dir), fresh_path(spark, "incoming"))
-    return files.read_raw(spark, sinks.land_bronze(spark, source, fresh_path(spark, "bronze")))
+    target = fresh_path(spark, "bronze")
+    landing.land(spark, source, target)
+    return landing.read_landed(spark, target)
+
+
+@query
+def bronze_land_check(spark, sf_dir):
+    """The landed files against their sources: records, and whether all lines are the same by digest."""
+    source = sinks.write_raw(_raw_orders(spark, sf_dir), fresh_path(spark, "incoming"))
+    target = fresh_path(spark, "bronze")
+    checked = landing.landing_check(spark, landing.land(spark, source, target), target)
+    records = F.sum(F.col("lines") - 1)  # each file has a header
+    return checked.agg(records.alias("records"), F.every("same_lines").alias("same_lines"), (F.sum("bytes") > 0).alias("has_bytes"))
 
 
 def _orders_run(spark: SparkSession, sf_dir: str) -> medallion.MedallionRun:
@@ -103,7 +115,17 @@ def medallion_silver(spark, sf_dir):
 
 @query
 def medallion_gold(spark, sf_dir):
-    return rounded(spark.read.parquet(_orders_run(spark, sf_dir).gold), "total_amount")
+    return rounded(sinks.read_gold(spark, _orders_run(spark, sf_dir).gold), "total_amount")
+
+
+@query
+def gold_replaced(spark, sf_dir):
+    """Gold loaded from pending orders and then from all: readers see the last published version alone."""
+    gold = fresh_path(spark, "gold")
+    orders = files.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    for part in (orders.where("o_orderstatus = 'P'"), orders):
+        sinks.load_gold(spark, sinks.write_parquet(part, fresh_path(spark, "silver")), gold)
+    return sinks.read_gold(spark, gold)
 
 
 @query
@@ -165,12 +187,24 @@ def score_history_append(spark, sf_dir):
     return _round_scores(sinks.wide_scores(sinks.read_scores(spark, path), list(EVENT_DIMENSIONS)))
 
 
+@query
+def score_history_rerun(spark, sf_dir):
+    """A history whose later half was first written with other scores and then again: each run is there once, as last written."""
+    path = fresh_path(spark, "history")
+    early = F.col("scored_at") < F.lit("2024-01-16").cast("timestamp_ntz")
+    runs = stored_history(spark, sf_dir)
+    sinks.append_scores(runs, path)
+    sinks.append_scores(runs.where(~early).withColumn("score_accuracy", F.lit(0.0)), path)
+    sinks.append_scores(runs.where(~early), path)
+    return _round_scores(sinks.wide_scores(sinks.read_scores(spark, path), list(EVENT_DIMENSIONS)))
+
+
 @query
 def freshness_history_append(spark, sf_dir):
     path = fresh_path(spark, "freshness")
-    for as_of in (EVENTS_AS_OF, datetime(2024, 2, 1)):
+    for as_of in (EVENTS_AS_OF, datetime(2024, 2, 1), EVENTS_AS_OF):  # the first check is written twice
         sinks.append_freshness(_freshness(spark, sf_dir, as_of), path)
-    return spark.read.parquet(path)
+    return sinks.read_freshness(spark, path)
 
 
 # --- the six dimensions --------------------------------------------------------------
@@ -556,13 +590,14 @@ def gate_results(spark, sf_dir):
     flagged = spark.read.parquet(written)
     clean, _ = anomaly.quarantine(flagged)
     bronze = views.contract_orders(spark, sf_dir)
-    silver = sinks.write_parquet(medallion.orders_silver(clean), fresh_path(spark, "silver"))
+    silver = medallion.write_silver(clean, fresh_path(spark, "silver"))
     changed = replace(settings.ORDERS_CONTRACT, breaking_change=True, previous_version="0.9.0", version="1.0.0")
-    rows = medallion.orders_gates(
-        spark, bronze, flagged, files.read_silver(spark, silver), ORDERS_AS_OF, changed
-    )
-    loaded = sinks.load_gold(spark, silver, fresh_path(spark, "gold"))
-    rows = rows.unionByName(gates.load_gate(loaded)).unionByName(gates.history_gate(spark, "gate_5", 1))
+    card = stored(score.scorecard(clean, settings.ORDERS_SPEC, settings.ORDERS_CONFIG, ORDERS_AS_OF), "card")
+    history = sinks.append_scores(card, fresh_path(spark, "history"))
+    rows = medallion.orders_gates(spark, bronze, flagged, card, silver, changed)
+    loaded = sinks.load_gold(spark, silver.path, fresh_path(spark, "gold"))
+    held = sinks.history_runs(spark, history, card)
+    rows = rows.unionByName(gates.load_gate(loaded)).unionByName(gates.history_gate(spark, "gate_5", held))
     return rounded(rows, "observed")
 
 

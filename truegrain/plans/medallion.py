@@ -11,11 +11,12 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
 from truegrain.operators import anomaly, expect, gates, score, transform
 from truegrain.plans import settings
 from truegrain.session import remove_path
-from truegrain.sources import files, sinks
+from truegrain.sources import files, landing, sinks
 from truegrain.sources.contract import Contract
 
 
@@ -23,24 +24,21 @@ def orders_gates(
     spark: SparkSession,
     bronze: DataFrame,
     flagged: DataFrame,
-    silver: DataFrame,
-    as_of: datetime,
+    card: DataFrame,
+    silver: SilverWrite,
     contract: Contract = settings.ORDERS_CONTRACT,
 ) -> DataFrame:
     """The contract's notice, gates 1 to 4 and the transform's counts as one lazy frame.
 
-    ``flagged`` is bronze after outlier detection. It is read by several gates, so it
-    should be a written table rather than a plan that would run once for each.
+    ``flagged`` is bronze after outlier detection and ``card`` the clean rows' scorecard, both written tables.
     """
-    clean, _ = anomaly.quarantine(flagged)
-    card = score.scorecard(clean, settings.ORDERS_SPEC, settings.ORDERS_CONFIG, as_of)
     return (
         gates.contract_gate(spark, contract)
         .unionByName(gates.expectation_gate(_expectations(bronze), "gate_1"))
         .unionByName(_quarantine_gate(flagged))
         .unionByName(gates.score_gate(card, settings.ORDERS_CONFIG, "gate_3"))
-        .unionByName(_transform_gate(clean))
-        .unionByName(gates.expectation_gate(_expectations(silver), "gate_4"))
+        .unionByName(silver.transform_rows)
+        .unionByName(silver.gate_rows)
     )
 
 
@@ -59,9 +57,26 @@ def _quarantine_gate(flagged: DataFrame) -> DataFrame:
     return gates.quarantine_gate(rate, "gate_2")
 
 
-def _transform_gate(clean: DataFrame) -> DataFrame:
-    keys = settings.ORDERS_CONTRACT.uniqueness_columns
-    return gates.transform_gate(transform.transform_counts(clean, keys, settings.ORDERS_DATES))
+@dataclass(frozen=True)
+class SilverWrite:
+    """Where silver went, and the rows of the transform's gate and of gate 4, counted while it was written."""
+
+    path: str
+    transform_rows: DataFrame
+    gate_rows: DataFrame
+
+
+def write_silver(clean: DataFrame, path: str) -> SilverWrite:
+    """Clean, normalize, deduplicate and write; rows in, rows out and their expectations are counted on the way."""
+    spark = clean.sparkSession
+    going_in, coming_out = Observation(), Observation()
+    silver = orders_silver(clean.observe(going_in, F.count("*").alias("input_records")))
+    plan = expect.expectation_plan(silver, *_agreed())
+    sinks.write_parquet(silver.observe(coming_out, *plan.counts), path)
+    before, after = going_in.get["input_records"], coming_out.get["total_records"]
+    counts = gates.facts_row(spark, {"input_records": before, "output_records": after, "duplicates_removed": before - after})
+    facts = gates.facts_row(spark, coming_out.get)
+    return SilverWrite(path, gates.transform_gate(counts), gates.expectation_gate(plan.rows(facts), "gate_4"))
 
 
 def orders_silver(clean: DataFrame) -> DataFrame:
@@ -106,50 +121,54 @@ def run_orders(
     """
     contract = settings.ORDERS_CONTRACT
     config = settings.ORDERS_CONFIG
-    bronze = sinks.land_bronze(spark, source, f"{target}/bronze", multi_line)
-    decided = gates.contract_gate(spark, contract)
+    bronze = f"{target}/bronze"
+    landing.land(spark, source, bronze, multi_line)
+    decided: list[Row] = []
 
     def settle(rows: DataFrame) -> bool:
         """Keep a gate's few rows and say whether the run may go on."""
-        nonlocal decided
         kept = rows.collect()
-        decided = decided.unionByName(spark.createDataFrame(kept, gates.GATE_SCHEMA))
+        decided.extend(kept)
         return all(row["severity"] != "STOP" for row in kept)
 
-    def stopped(staged: str | None = None, silver: str | None = None) -> MedallionRun:
-        return MedallionRun(bronze, staged, silver, None, None, decided, False)
+    def ended(**layers: str | None) -> MedallionRun:
+        paths = {"flagged": None, "silver": None, "gold": None, "history": None, **layers}
+        rows = spark.createDataFrame(decided, gates.GATE_SCHEMA)
+        return MedallionRun(bronze=bronze, gate_rows=rows, completed=paths["history"] is not None, **paths)
+
+    settle(gates.contract_gate(spark, contract))
 
     # Gate 1 counts the raw texts while they are turned into a typed table: the file is parsed once.
-    raw = files.null_tokens(files.read_raw(spark, bronze, multi_line))
+    raw = files.null_tokens(landing.read_landed(spark, bronze, multi_line))
     plan = expect.expectation_plan(raw, *_agreed(), raw_text=True)
     seen = Observation()
     typed_rows = files.typed(raw.observe(seen, *plan.counts), contract.struct_type())
     typed = spark.read.parquet(sinks.write_parquet(typed_rows, f"{target}/typed"))
-    facts = spark.createDataFrame([Row(**seen.get)])
+    facts = gates.facts_row(spark, seen.get)
     if not settle(gates.expectation_gate(plan.rows(facts), "gate_1")):
-        return stopped()
+        return ended()
 
-    staged = sinks.write_parquet(
-        anomaly.detect(typed, settings.ORDERS_ANOMALY_COLUMNS), f"{target}/flagged"
-    )
-    flagged = spark.read.parquet(staged)
-    clean, _ = anomaly.quarantine(flagged)
-    if not settle(_quarantine_gate(flagged)):
-        return stopped(staged)
+    seen = Observation()
+    found = anomaly.detect(typed, settings.ORDERS_ANOMALY_COLUMNS).observe(seen, *anomaly.rate_counts())
+    staged = sinks.write_parquet(found, f"{target}/flagged")
+    clean, _ = anomaly.quarantine(spark.read.parquet(staged))
+    rate = anomaly.rate_of(gates.facts_row(spark, seen.get), settings.ORDERS_QUARANTINE_LIMIT)
+    if not settle(gates.quarantine_gate(rate, "gate_2")):
+        return ended(flagged=staged)
 
     card = score.scorecard(clean, settings.ORDERS_SPEC, config, as_of)
     card = spark.createDataFrame(card.collect(), card.schema)  # one row, used for gate and history
     if not settle(gates.score_gate(card, config, "gate_3")):
-        return stopped(staged)
+        return ended(flagged=staged)
 
-    settle(_transform_gate(clean))
-    silver = sinks.write_parquet(orders_silver(clean), f"{target}/silver")
-    if not settle(gates.expectation_gate(_expectations(files.read_silver(spark, silver)), "gate_4")):
-        return stopped(staged, silver)
+    silver = write_silver(clean, f"{target}/silver")
+    settle(silver.transform_rows)
+    if not settle(silver.gate_rows):
+        return ended(flagged=staged, silver=silver.path)
 
     gold = f"{target}/gold"
-    if not settle(gates.load_gate(sinks.load_gold(spark, silver, gold, gold_table))):
-        return stopped(staged, silver)
+    if not settle(gates.load_gate(sinks.load_gold(spark, silver.path, gold, gold_table))):
+        return ended(flagged=staged, silver=silver.path)
     scores = sinks.append_scores(card, history or f"{target}/score_history")
-    settle(gates.history_gate(spark, "gate_5", 1))
-    return MedallionRun(bronze, staged, silver, gold, scores, decided, True)
+    settle(gates.history_gate(spark, "gate_5", sinks.history_runs(spark, scores, card)))
+    return ended(flagged=staged, silver=silver.path, gold=gold, history=scores)

@@ -477,6 +477,8 @@ ORACLE: dict[str, str] = {
         CAST(CAST(total_amount AS DECIMAL(18, 2)) AS VARCHAR) AS total_amount,
         strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date, order_date_text, status, customer_email,
         quantity_text FROM dirty""",
+    "bronze_land_check": "SELECT count(*) AS records, true AS same_lines, true AS has_bytes FROM orders",
+    "gold_replaced": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
     "medallion_silver": MEDALLION,
     "medallion_gold": MEDALLION,
     "silver_validate": f"WITH {DIRTY}, {CLEAN}, {silver('clean', False)} {expectation_rows('silver')}",
@@ -486,6 +488,7 @@ ORACLE: dict[str, str] = {
         "SELECT pipeline_name, scored_at, total_score, status, hard_block_triggered, "
         f"'{d}' AS dimension, round(score_{d}, 6) AS score FROM purchases" for d in EVENT_DIMENSIONS)}""",
     "score_history_append": f"WITH {HISTORY} SELECT {HISTORY_OUT} FROM history",
+    "score_history_rerun": f"WITH {HISTORY} SELECT {HISTORY_OUT} FROM history",
     "freshness_history_append": f"""WITH {SLAS}, {freshness(EVENTS_AS_OF, "a")},
       {freshness("TIMESTAMP '2024-02-01 00:00:00'", "b")}
       SELECT * EXCLUDE (latest_timestamp) FROM a UNION ALL SELECT * EXCLUDE (latest_timestamp) FROM b""",
@@ -701,7 +704,7 @@ ORACLE: dict[str, str] = {
           unnest([(SELECT count(*) FROM clean), (SELECT count(*) FROM silver),
             (SELECT count(*) FROM clean) - (SELECT count(*) FROM silver)]) AS n)
       UNION ALL SELECT 'gold', 'records_loaded', '', true, 'OK', count(*)::DOUBLE, count(*)::DOUBLE FROM silver
-      UNION ALL SELECT 'gate_5', 'history', '', true, 'OK', 1.0::DOUBLE, NULL""",
+      UNION ALL SELECT 'gate_5', 'history', '', true, 'OK', 1.0::DOUBLE, 1.0::DOUBLE""",
     "rolling_avg_score": f"""WITH {HISTORY}, {NUMBERED}
       SELECT pipeline_name, scored_at, total_score, round(rolling_avg, 6) AS rolling_avg FROM numbered""",
     "score_baseline_anomaly": f"""WITH {HISTORY}, {NUMBERED}

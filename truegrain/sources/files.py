@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _csv(spark: SparkSession, multi_line: bool):
+def csv_reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    """How raw files are read: nothing trimmed, an empty cell null and a quoted one empty."""
     return (
         spark.read.option("header", True)
         .option("multiLine", multi_line)
@@ -41,7 +42,7 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
 
     Files are split between tasks unless ``multi_line`` is set, which quoted line breaks need.
     """
-    return _csv(spark, multi_line).option("inferSchema", False).csv(path)
+    return csv_reader(spark, multi_line).option("inferSchema", False).csv(path)
 
 
 def null_tokens(df: DataFrame) -> DataFrame:
@@ -109,7 +110,7 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 
 def history_table(spark: SparkSession, table: str) -> DataFrame:
     """A score history kept under a name in the catalog, one row per run and dimension."""
-    return spark.table(table)
+    return spark.table(table).drop("run")
 
 
 def history_of(history: DataFrame, pipeline_name: str) -> DataFrame:
@@ -124,7 +125,7 @@ def read_history_csv(spark: SparkSession, path: str, dimensions: Sequence[str])
         "pipeline_name string, scored_at timestamp, total_score double, status string, "
         f"hard_block_triggered string, {scores}"
     )
-    read = _csv(spark, False).schema(schema).csv(path)
+    read = csv_reader(spark, False).schema(schema).csv(path).drop("run_of", "run")
     return read.withColumn("hard_block_triggered", F.nullif("hard_block_triggered", F.lit("")))
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from truegrain.functions import cells
 from truegrain.operators.score import long_scores
-from truegrain.sources.files import read_raw
+from truegrain.session import remove_path
+from truegrain.sources import storage
 
 RUN_COLUMNS = ("pipeline_name", "scored_at", "total_score", "status", "hard_block_triggered")
 
@@ -28,66 +31,108 @@ def write_raw(df: DataFrame, path: str) -> str:
     return path
 
 
-def land_bronze(spark: SparkSession, source: str, target: str, multi_line: bool = False) -> str:
-    """Bring a raw CSV into the bronze layer, every cell as it is; returns where it went.
-
-    The file is parsed and written again, so that large files land in parts; quoting may differ.
-    """
-    return write_raw(read_raw(spark, source, multi_line), target)
-
-
 def write_parquet(df: DataFrame, path: str) -> str:
     """Write or replace a layer."""
     df.write.mode("overwrite").parquet(path)
     return path
 
 
-def load_gold(spark: SparkSession, silver: str, path: str, table: str | None = None) -> DataFrame:
+VERSIONS = "_versions"
+
+
+def gold_versions(spark: SparkSession, path: str) -> list[str]:
+    """The gold versions that were published, oldest first: a number and the folder that has the rows."""
+    return [name for name in storage.child_names(spark, f"{path}/{VERSIONS}") if name[0] != "."]
+
+
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """The gold table as last published."""
+    published = gold_versions(spark, path)
+    if not published:
+        raise FileNotFoundError(f"no gold was published at {path}")
+    return spark.read.parquet(f"{path}/{published[-1].partition('-')[2]}")
+
+
+def load_gold(spark: SparkSession, silver: str, path: str, table: str | None = None, keep: int = 2) -> DataFrame:
     """Replace the gold table by what silver holds; one row: ``passed, records_loaded, records_due, table``.
 
-    Gold is Parquet at ``path``, under the name ``table`` in the catalog if one is given. It passed if
-    the table, read again, has as many rows as silver.
+    Rows go to a folder of their own. It is published, by a small file that is there at once, only if it has as many rows
+    as silver gave; until then, and if the load fails at any point, readers have the version before. ``table`` is a view
+    of the catalog, moved to the new version afterwards. The last ``keep`` versions stay for readers that have begun.
     """
-    writer = spark.read.parquet(silver).write.mode("overwrite")
-    if table:
-        writer.option("path", path).saveAsTable(table)
+    before = gold_versions(spark, path)
+    number = int(before[-1].partition("-")[0]) + 1 if before else 1
+    folder = f"rows-{uuid.uuid4().hex}"
+    due = Observation()
+    rows = spark.read.parquet(silver)
+    rows.observe(due, F.count("*").alias("records_due")).write.parquet(f"{path}/{folder}")
+    loaded = spark.read.schema(rows.schema).parquet(f"{path}/{folder}").count()
+    passed = loaded == due.get["records_due"]
+    if passed:
+        storage.publish_text(spark, f"{path}/{VERSIONS}/{number:09d}-{folder}", folder)
+        if table:
+            spark.sql(f"CREATE OR REPLACE VIEW `{table}` AS SELECT * FROM parquet.`{path}/{folder}`")
+        for old in before[: max(0, len(before) + 1 - keep)]:
+            remove_path(spark, f"{path}/{VERSIONS}/{old}")
+            remove_path(spark, f"{path}/{old.partition('-')[2]}")
     else:
-        writer.parquet(path)
-    loaded = (spark.table(table) if table else spark.read.parquet(path)).agg(F.count("*").alias("records_loaded"))
-    due = spark.read.parquet(silver).agg(F.count("*").alias("records_due"))
-    return loaded.crossJoin(F.broadcast(due)).select(  # one row each
-        (F.col("records_loaded") == F.col("records_due")).alias("passed"),
-        "records_loaded",
-        "records_due",
-        F.lit(table or path).alias("table"),
-    )
+        remove_path(spark, f"{path}/{folder}")
+    line = [(passed, loaded, due.get["records_due"], table or path)]
+    return spark.createDataFrame(line, "passed boolean, records_loaded long, records_due long, table string")
+
+
+def _replacing(rows: DataFrame, *by: str) -> DataFrameWriter:
+    """A writer that replaces the partitions that the rows belong to and leaves all others: a run written again is there once."""
+    tidy = rows.repartition(*by).write.mode("overwrite")
+    return tidy.option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+
+
+def _run_of(moment: Column) -> Column:
+    """An instant as the name of a run, to the microsecond."""
+    return F.date_format(moment, "yyyyMMdd'T'HHmmssSSSSSS")
+
+
+def _long_runs(card: DataFrame) -> DataFrame:
+    run_at = cells.instant(F.col("scored_at"), card.schema["scored_at"].dataType)
+    return long_scores(card.withColumn("scored_at", run_at), list(RUN_COLUMNS)).withColumn("run", _run_of(F.col("scored_at")))
 
 
 def append_scores(card: DataFrame, path: str, table: str | None = None) -> str:
     """Add score runs to the history, one row per run and dimension.
 
-    The long form takes any set of dimensions, so runs with different ones share a table.
-    Partitioned by pipeline for reading one at a time; under the name ``table`` in the catalog if one is given.
+    The long form takes any set of dimensions, so runs with different ones share a table. A run is known by
+    pipeline and instant and has a partition of its own: one that is written again, as by a job that is tried again,
+    takes the place of what it wrote before. Under the name ``table`` in the catalog if one is given.
     """
-    run_at = cells.instant(F.col("scored_at"), card.schema["scored_at"].dataType)
-    runs = card.withColumn("scored_at", run_at)
-    writer = long_scores(runs, list(RUN_COLUMNS)).write.mode("append").partitionBy("pipeline_name")
+    runs = _long_runs(card)
+    _replacing(runs, "pipeline_name", "run").parquet(path)
     if table:
-        writer.option("path", path).format("parquet").saveAsTable(table)
-    else:
-        writer.parquet(path)
+        spark = card.sparkSession
+        if not spark.catalog.tableExists(table):
+            columns = f"{HISTORY_SCHEMA}, run string"
+            spark.sql(f"CREATE TABLE `{table}` ({columns}) USING parquet PARTITIONED BY (pipeline_name, run) LOCATION '{path}'")
+        spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
     return path
 
 
+def history_runs(spark: SparkSession, path: str, card: DataFrame) -> int:
+    """How many of a scorecard's runs the history holds, read back from it with all their dimensions."""
+    due = _long_runs(card).groupBy("pipeline_name", "run").agg(F.count("*").alias("__due"))
+    held = read_scores(spark, path, with_run=True).groupBy("pipeline_name", "run").agg(F.count("*").alias("__held"))
+    return held.join(due, ["pipeline_name", "run"]).where("__held = __due").count()
+
+
 HISTORY_SCHEMA = (
     "scored_at timestamp, total_score double, status string, hard_block_triggered string, "
     "dimension string, score double, pipeline_name string"
 )
 
 
-def read_scores(spark: SparkSession, path: str) -> DataFrame:
+def read_scores(spark: SparkSession, path: str, with_run: bool = False) -> DataFrame:
     """The history in long form. The schema is given, so a pipeline named ``2024`` stays text."""
-    return spark.read.schema(HISTORY_SCHEMA).parquet(path)
+    history = spark.read.schema(f"{HISTORY_SCHEMA}, run string").parquet(path)
+    return history if with_run else history.drop("run")
 
 
 def wide_scores(history: DataFrame, dimensions: list[str]) -> DataFrame:
@@ -99,9 +144,11 @@ def wide_scores(history: DataFrame, dimensions: list[str]) -> DataFrame:
 
 
 def append_scores_csv(card: DataFrame, path: str) -> str:
-    """Add score runs to a wide CSV history; every run in it must have the same dimensions."""
+    """Add score runs to a wide CSV history; every run in it must have the same dimensions, and one written again is there once."""
     dims = [c for c in card.columns if c.startswith("score_")]
-    _raw_options(card.select(*RUN_COLUMNS, *dims).write.mode("append")).csv(path)
+    run_at = cells.instant(F.col("scored_at"), card.schema["scored_at"].dataType)
+    keys = (F.col("pipeline_name").alias("run_of"), _run_of(run_at).alias("run"))
+    _raw_options(_replacing(card.select(*RUN_COLUMNS, *dims, *keys), "run_of", "run")).csv(path)
     return path
 
 
@@ -111,6 +158,13 @@ FRESHNESS_COLUMNS = (
 
 
 def append_freshness(results: DataFrame, path: str) -> str:
-    """Add freshness checks to their history; the latest timestamp itself is not kept."""
-    results.select(*FRESHNESS_COLUMNS).write.mode("append").parquet(path)
+    """Add freshness checks to their history, once per table and instant; the latest timestamp itself is not kept."""
+    checked_at = cells.instant(F.col("checked_at"), results.schema["checked_at"].dataType)
+    rows = results.select(*FRESHNESS_COLUMNS, F.col("table_name").alias("checked_table"), _run_of(checked_at).alias("run"))
+    _replacing(rows, "run", "checked_table").parquet(path)
     return path
+
+
+def read_freshness(spark: SparkSession, path: str) -> DataFrame:
+    """The history of freshness checks."""
+    return spark.read.parquet(path).select(*FRESHNESS_COLUMNS)
