@@ -244,6 +244,21 @@ def test_medallion_with_line_breaks_in_cells(spark):
     assert sinks.read_gold(spark, run.gold).where(F.col("customer_id").contains("\n")).count() == 1
 
 
+def test_medallion_with_malformed_lines(spark, tmp_path):
+    """Lines of too few or too many cells are kept apart; too many of them stop the run."""
+    rows = [",".join(r) for r in order_rows(200)]
+    for broken, completed in ((["ORD-1,short", rows[0] + ",more"], True), (["x"] * 30, False)):
+        source = tmp_path / f"{len(broken)}.csv"
+        source.write_text("\n".join([",".join(settings.ORDERS_CONTRACT.required_columns()), *rows, *broken]) + "\n")
+        run = medallion.run_orders(spark, str(source), fresh_path(spark, "run"), datetime(2024, 1, 30, 12))
+        assert run.completed == completed
+        kept = spark.read.parquet(run.malformed).collect()
+        assert sorted(r["line"] for r in kept) == sorted(broken) and {r["cells_due"] for r in kept} == {9}
+        row = run.gate_rows.where("check_kind = 'malformed_lines'").first()
+        assert (row["severity"], row["observed"]) == ("WARN" if completed else "STOP", len(broken))
+    assert spark.read.parquet(run.bronze.replace("/bronze", "/typed")).count() == 200
+
+
 def test_medallion_stops_on_types_and_on_score(spark):
     rows = list(order_rows(50))
     wrong = [*rows[:-1], (*rows[-1][:3], "many", *rows[-1][4:])]

@@ -43,6 +43,20 @@ def expectation_gate(results: DataFrame, gate: str) -> DataFrame:
     return _rows(results, gate, F.when(F.col("passed"), "OK").otherwise(failed))
 
 
+def malformed_gate(counted: DataFrame, limit: float, gate: str) -> DataFrame:
+    """Lines of a raw file that don't have one cell per column (``total_lines, malformed_lines``): any warn, too large a share stops."""
+    share = F.coalesce(F.try_divide(F.col("malformed_lines"), F.col("total_lines")), F.lit(0.0))
+    line = counted.select(
+        F.lit("malformed_lines").alias("check_kind"),
+        F.lit("").alias("column_name"),
+        (F.col("malformed_lines") == 0).alias("passed"),
+        F.col("malformed_lines").cast("double").alias("observed"),
+        F.lit(float(limit)).alias("threshold"),
+        share.alias("share"),
+    )
+    return _rows(line, gate, F.when(F.col("passed"), "OK").when(F.col("share") <= F.lit(float(limit)), "WARN").otherwise("STOP"))
+
+
 def quarantine_gate(rate: DataFrame, gate: str) -> DataFrame:
     """Too large a share of quarantined rows stops."""
     line = rate.select(

@@ -8,6 +8,7 @@ shipping keys alone is far cheaper than carrying all sums through that shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -183,8 +184,23 @@ def dimension_scores(
 
     Without ``by`` there is exactly one row, also for an empty table.
     """
-    checks = row_checks(df, spec)
     wanted = [d for d in DIMENSIONS if d in spec.measured]
+    facts = df.groupBy(*by).agg(*fact_aggregates(df, spec))
+    if "uniqueness" in wanted:
+        facts = attach(facts, key_counts(df, unique_columns(df, spec), by), by)
+    return scores_of(facts, spec, as_of, by)
+
+
+def unique_columns(df: DataFrame, spec: MeasureSpec) -> Sequence[str]:
+    absent = [name for name in spec.unique if name not in df.columns]
+    if absent or not spec.unique:
+        raise ValueError(f"uniqueness columns not in the table: {absent or 'none given'}")
+    return spec.unique
+
+
+def fact_aggregates(df: DataFrame, spec: MeasureSpec) -> list[Column]:
+    """What a table's rows say of all dimensions but uniqueness: counts that add up over parts, and the latest instant."""
+    checks = row_checks(df, spec)
     aggregates = [F.count("*").alias("row_count")]
     for dimension in ("completeness", "validity", "accuracy"):
         own = [check for check in checks if check.dimension == dimension]
@@ -192,28 +208,25 @@ def dimension_scores(
             aggregates.append(count_where(check.failed).alias(f"{dimension}_{i}"))
     broken = [check.failed for check in checks if check.dimension == "consistency"]
     aggregates.append(count_where(any_of(broken)).alias("rows_broken"))
-    if "timeliness" in wanted:
+    if "timeliness" in spec.measured:
         if spec.timestamp is None or spec.sla_hours is None:
             raise ValueError("timeliness needs a timestamp column and sla_hours")
         dtype = cells.dtype_of(df, spec.timestamp)
         if dtype is None:
             raise ValueError(f"timeliness column {spec.timestamp!r} is not in the table")
         aggregates.append(cells.latest(spec.timestamp, dtype).alias("latest"))
-    facts = df.groupBy(*by).agg(*aggregates)
+    return aggregates
 
-    if "uniqueness" in wanted:
-        absent = [name for name in spec.unique if name not in df.columns]
-        if absent or not spec.unique:
-            raise ValueError(f"uniqueness columns not in the table: {absent or 'none given'}")
-        keys = key_counts(df, spec.unique, by)
-        facts = _attach(facts, keys, by)
 
+def scores_of(facts: DataFrame, spec: MeasureSpec, as_of: datetime, by: Sequence[str] = ()) -> DataFrame:
+    """The dimension scores of counted facts, with ``excess`` and ``key_rows`` beside them if uniqueness is measured."""
+    wanted = [d for d in DIMENSIONS if d in spec.measured]
     scores = {}
     for dimension in ("completeness", "validity", "accuracy"):
-        own = [check for check in checks if check.dimension == dimension]
+        own = [c for c in facts.columns if re.fullmatch(rf"{dimension}_\d+", c) and c not in by]
         failed = F.lit(0)
-        for i in range(len(own)):
-            failed = failed + F.col(f"{dimension}_{i}")
+        for name in own:
+            failed = failed + F.col(name)
         scores[dimension] = share_passed(failed, F.col("row_count") * F.lit(len(own)))
     scores["consistency"] = (
         share_passed(F.col("rows_broken"), F.col("row_count")) if spec.rules else F.lit(1.0)
@@ -221,14 +234,14 @@ def dimension_scores(
     if "uniqueness" in wanted:
         scores["uniqueness"] = share_passed(F.col("excess"), F.col("key_rows"))
     if "timeliness" in wanted:
-        newest = cells.latest_instant("latest", cells.dtype_of(df, spec.timestamp))
+        newest = cells.latest_instant("latest", cells.dtype_of(facts, "latest"))
         scores["timeliness"] = timeliness_score(newest, spec.sla_hours, as_of)
     return facts.select(
         *by, "row_count", *(scores[d].alias(f"score_{d}") for d in wanted)
     )
 
 
-def _attach(facts: DataFrame, keys: DataFrame, by: Sequence[str]) -> DataFrame:
+def attach(facts: DataFrame, keys: DataFrame, by: Sequence[str]) -> DataFrame:
     """Join two results of the same grouping."""
     if not by:
         return facts.crossJoin(F.broadcast(keys))  # both are global aggregates: one row each
@@ -274,10 +287,7 @@ def consistency(df: DataFrame, rules: Mapping[str, Rule], by: Sequence[str] = ()
 
 def uniqueness(df: DataFrame, subset: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Share of rows that are not a second or later copy of their key."""
-    absent = [name for name in subset if name not in df.columns]
-    if absent or not subset:
-        raise ValueError(f"uniqueness columns not in the table: {absent or 'none given'}")
-    counted = key_counts(df, subset, by)
+    counted = key_counts(df, unique_columns(df, MeasureSpec(unique=subset)), by)
     score = share_passed(F.col("excess"), F.col("key_rows"))
     return counted.select(*by, score.alias("uniqueness"))
 

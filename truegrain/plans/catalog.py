@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from truegrain.operators import (
@@ -21,6 +21,7 @@ from truegrain.operators import (
     freshness,
     gates,
     measures,
+    partials,
     score,
     transform,
     trend,
@@ -118,6 +119,33 @@ def medallion_gold(spark, sf_dir):
     return rounded(sinks.read_gold(spark, _orders_run(spark, sf_dir).gold), "total_amount")
 
 
+def _broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed from a raw file in which every 13th key lacks its last cell and every 17th has one too many."""
+    key = F.col("o_orderkey")
+    cells = F.concat_ws(",", key, "o_custkey", "o_orderstatus")
+    line = F.when(key % 13 == 0, F.concat_ws(",", key, "o_custkey")).when(key % 17 == 0, F.concat_ws(",", cells, F.lit("more")))
+    lines = files.table(spark, sf_dir, "orders").select(F.coalesce(line, cells).alias("order_key,customer_key,status"))
+    source, target = fresh_path(spark, "incoming"), fresh_path(spark, "bronze")
+    lines.write.option("header", True).option("sep", "\x01").csv(source)  # one cell a line, its commas as they are
+    landing.land(spark, source, target)
+    return landing.read_landed(spark, target, malformed=medallion.MALFORMED)
+
+
+@query
+def malformed_lines(spark, sf_dir):
+    return stored(medallion.malformed_lines(_broken_lines(spark, sf_dir)), "malformed")
+
+
+@query
+def malformed_gate(spark, sf_dir):
+    """The lines that have their cells are written; the gate's row comes from counts taken on the way."""
+    read, lines = _broken_lines(spark, sf_dir), Observation()
+    fit = read.observe(lines, *medallion.malformed_counts()).where(F.col(medallion.MALFORMED).isNull())
+    kept = spark.read.parquet(sinks.write_parquet(fit.drop(medallion.MALFORMED), fresh_path(spark, "typed")))
+    row = gates.malformed_gate(gates.facts_row(spark, lines.get), 0.2, "gate_1")
+    return rounded(row.crossJoin(F.broadcast(kept.agg(F.count("*").alias("kept_lines")))), "observed")  # one row each
+
+
 @query
 def gold_replaced(spark, sf_dir):
     """Gold loaded from pending orders and then from all: readers see the last published version alone."""
@@ -407,6 +435,39 @@ def scorecard_by_group(spark, sf_dir):
     return _round_scores(card)
 
 
+PARTS_SPEC = replace(
+    settings.EVENT_SPEC, timestamp="ts", sla_hours=48.0, measured=(*settings.EVENT_SPEC.measured, "timeliness")
+)
+
+
+def _event_states(spark: SparkSession, sf_dir: str) -> str:
+    """States of the events' days: half of them, then those that came since, then one day again."""
+    path = fresh_path(spark, "states")
+    events = views.event_days(spark, sf_dir)
+    early = F.col("run_at") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for arrived, again in ((events.where(early), ()), (events, ()), (events, ("2024-01-20 00:00:00",))):
+        partials.measure_parts(arrived, PARTS_SPEC, "run_at", path, ["pipeline_name"], ["value"], again)
+    return path
+
+
+@query
+def scorecard_from_parts(spark, sf_dir):
+    """A scorecard put together from the states of daily partitions."""
+    scored = partials.merged_scores(spark, _event_states(spark, sf_dir), PARTS_SPEC, EVENTS_AS_OF, ["pipeline_name"])
+    return _round_scores(score.with_score(scored, settings.EVENT_CONFIG))
+
+
+QUANTILES = (0.01, 0.25, 0.5, 0.75, 0.99)
+
+
+@query
+def quantiles_from_parts(spark, sf_dir):
+    """Quantiles from merged sketches of daily partitions, held against the ranks of all values."""
+    marks = partials.merged_quantiles(spark, _event_states(spark, sf_dir), QUANTILES, ["pipeline_name"])
+    checked = partials.rank_check(views.event_days(spark, sf_dir), marks, ["value"], QUANTILES, ["pipeline_name"])
+    return checked.select("pipeline_name", "p", "rows", "within")
+
+
 @query
 def score_report(spark, sf_dir):
     return rounded(score.score_report(_orders_card(spark, sf_dir)), "score")

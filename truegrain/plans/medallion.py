@@ -10,9 +10,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from truegrain.functions import cells
 from truegrain.operators import anomaly, expect, gates, score, transform
 from truegrain.plans import settings
 from truegrain.session import remove_path
@@ -79,6 +80,21 @@ def write_silver(clean: DataFrame, path: str) -> SilverWrite:
     return SilverWrite(path, gates.transform_gate(counts), gates.expectation_gate(plan.rows(facts), "gate_4"))
 
 
+MALFORMED = "__malformed"
+
+
+def malformed_counts() -> list[Column]:
+    """All lines and malformed ones, for counting along with another pass over a read with :data:`MALFORMED`."""
+    return [F.count("*").alias("total_lines"), F.count(MALFORMED).alias("malformed_lines")]
+
+
+def malformed_lines(read: DataFrame) -> DataFrame:
+    """The quarantined lines as they stand, with their first cell and the number of cells that were due."""
+    first, due = cells.column(read.columns[0]), len(read.columns) - 1
+    line = F.col(MALFORMED)
+    return read.where(line.isNotNull()).select(line.alias("line"), first.alias("first_cell"), F.lit(due).alias("cells_due"))
+
+
 def orders_silver(clean: DataFrame) -> DataFrame:
     """Clean rows as silver holds them: without the anomaly flag, one row per order."""
     keys = settings.ORDERS_CONTRACT.uniqueness_columns
@@ -96,6 +112,7 @@ class MedallionRun:
     history: str | None
     gate_rows: DataFrame
     completed: bool
+    malformed: str | None = None
 
     def clear_layers(self, spark: SparkSession, keep: Sequence[str] = ("silver", "gold", "history")) -> None:
         """Remove the layers of this run that are not to be kept."""
@@ -117,7 +134,7 @@ def run_orders(
     """Run the flow from a raw CSV at ``source`` into folders below ``target``.
 
     ``multi_line`` reads quoted line breaks as part of a cell. Stops after the first gate with a STOP row. The flagged table keeps the quarantined
-    rows and why they were flagged.
+    rows and why they were flagged. Lines with too few or too many cells go to a table of their own, if there are any.
     """
     contract = settings.ORDERS_CONTRACT
     config = settings.ORDERS_CONFIG
@@ -132,21 +149,27 @@ def run_orders(
         return all(row["severity"] != "STOP" for row in kept)
 
     def ended(**layers: str | None) -> MedallionRun:
-        paths = {"flagged": None, "silver": None, "gold": None, "history": None, **layers}
+        paths = {"flagged": None, "silver": None, "gold": None, "history": None, "malformed": None, **layers}
         rows = spark.createDataFrame(decided, gates.GATE_SCHEMA)
         return MedallionRun(bronze=bronze, gate_rows=rows, completed=paths["history"] is not None, **paths)
 
     settle(gates.contract_gate(spark, contract))
 
     # Gate 1 counts the raw texts while they are turned into a typed table: the file is parsed once.
-    raw = files.null_tokens(landing.read_landed(spark, bronze, multi_line))
+    read = landing.read_landed(spark, bronze, multi_line, MALFORMED)
+    lines, seen = Observation(), Observation()
+    counted = read.observe(lines, *malformed_counts())
+    raw = files.null_tokens(counted.where(F.col(MALFORMED).isNull()).drop(MALFORMED))
     plan = expect.expectation_plan(raw, *_agreed(), raw_text=True)
-    seen = Observation()
     typed_rows = files.typed(raw.observe(seen, *plan.counts), contract.struct_type())
     typed = spark.read.parquet(sinks.write_parquet(typed_rows, f"{target}/typed"))
+    broken = None
+    if lines.get["malformed_lines"]:
+        broken = sinks.write_parquet(malformed_lines(read), f"{target}/malformed")
+    fit = settle(gates.malformed_gate(gates.facts_row(spark, lines.get), settings.ORDERS_MALFORMED_LIMIT, "gate_1"))
     facts = gates.facts_row(spark, seen.get)
-    if not settle(gates.expectation_gate(plan.rows(facts), "gate_1")):
-        return ended()
+    if not settle(gates.expectation_gate(plan.rows(facts), "gate_1")) or not fit:
+        return ended(malformed=broken)
 
     seen = Observation()
     found = anomaly.detect(typed, settings.ORDERS_ANOMALY_COLUMNS).observe(seen, *anomaly.rate_counts())
@@ -154,21 +177,21 @@ def run_orders(
     clean, _ = anomaly.quarantine(spark.read.parquet(staged))
     rate = anomaly.rate_of(gates.facts_row(spark, seen.get), settings.ORDERS_QUARANTINE_LIMIT)
     if not settle(gates.quarantine_gate(rate, "gate_2")):
-        return ended(flagged=staged)
+        return ended(malformed=broken, flagged=staged)
 
     card = score.scorecard(clean, settings.ORDERS_SPEC, config, as_of)
     card = spark.createDataFrame(card.collect(), card.schema)  # one row, used for gate and history
     if not settle(gates.score_gate(card, config, "gate_3")):
-        return ended(flagged=staged)
+        return ended(malformed=broken, flagged=staged)
 
     silver = write_silver(clean, f"{target}/silver")
     settle(silver.transform_rows)
     if not settle(silver.gate_rows):
-        return ended(flagged=staged, silver=silver.path)
+        return ended(malformed=broken, flagged=staged, silver=silver.path)
 
     gold = f"{target}/gold"
     if not settle(gates.load_gate(sinks.load_gold(spark, silver.path, gold, gold_table))):
-        return ended(flagged=staged, silver=silver.path)
+        return ended(malformed=broken, flagged=staged, silver=silver.path)
     scores = sinks.append_scores(card, history or f"{target}/score_history")
     settle(gates.history_gate(spark, "gate_5", sinks.history_runs(spark, scores, card)))
-    return ended(flagged=staged, silver=silver.path, gold=gold, history=scores)
+    return ended(malformed=broken, flagged=staged, silver=silver.path, gold=gold, history=scores)

@@ -478,6 +478,13 @@ ORACLE: dict[str, str] = {
         strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date, order_date_text, status, customer_email,
         quantity_text FROM dirty""",
     "bronze_land_check": "SELECT count(*) AS records, true AS same_lines, true AS has_bytes FROM orders",
+    "malformed_lines": """SELECT o_orderkey || ',' || o_custkey || CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE ',' || o_orderstatus || ',more' END AS line,
+        CAST(o_orderkey AS VARCHAR) AS first_cell, 3 AS cells_due
+      FROM orders WHERE o_orderkey % 13 = 0 OR o_orderkey % 17 = 0""",
+    "malformed_gate": """SELECT 'gate_1' AS gate, 'malformed_lines' AS check_kind, '' AS column_name, false AS passed,
+        CASE WHEN n / total <= 0.2 THEN 'WARN' ELSE 'STOP' END AS severity, n::DOUBLE AS observed, 0.2::DOUBLE AS threshold,
+        total - n AS kept_lines
+      FROM (SELECT count(*) AS total, count(*) FILTER (WHERE o_orderkey % 13 = 0 OR o_orderkey % 17 = 0) AS n FROM orders)""",
     "gold_replaced": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
     "medallion_silver": MEDALLION,
     "medallion_gold": MEDALLION,
@@ -607,6 +614,20 @@ ORACLE: dict[str, str] = {
       {card("orders_pipeline", ORDERS_WEIGHTS, ORDERS_FLOORS, ORDERS_AS_OF, "order_status")}""",
     "score_report": f"""WITH {DIRTY}, {CLEAN}, {orders_measured("clean")},
       report_card AS (SELECT * FROM ({ORDERS_CARD}), (SELECT {RAW_DIMENSIONS} FROM measured)) {REPORT}""",
+    "scorecard_from_parts": f"""WITH parts AS (
+        SELECT event_type AS pipeline_name, count(*) AS row_count,
+          {share(total("user_id IS NULL", "value IS NULL", missing("props")), "count(*) * 3")} AS completeness,
+          {share(total(outside("value", 5)), "count(*)")} AS accuracy,
+          {share(total("NOT (user_id > 10 OR value < 100)"), "count(*)")} AS consistency,
+          {share("count(*) - count(DISTINCT user_id)", "count(*)")} AS uniqueness,
+          greatest(0.0::DOUBLE, 1.0::DOUBLE - (epoch_us({EVENTS_AS_OF}) - epoch_us(max(ts)))::DOUBLE / 3.6e9 / 48.0) AS timeliness
+        FROM events GROUP BY 1)
+      SELECT pipeline_name, row_count, {", ".join(f"round({d}, 6) AS score_{d}" for d in (*EVENT_DIMENSIONS, "timeliness"))},
+        {half_up(f'{EVENT_TOTAL} * 100', 2)}::DOUBLE AS total_score,
+        CASE WHEN {EVENT_TOTAL} >= 0.8 THEN 'PASS' WHEN {EVENT_TOTAL} >= 0.6 THEN 'WARN' ELSE 'FAIL' END AS status,
+        CAST(NULL AS VARCHAR) AS hard_block_triggered FROM parts""",
+    "quantiles_from_parts": """SELECT event_type AS pipeline_name, p, count(value) AS rows, true AS within
+      FROM events, (SELECT unnest([0.01, 0.25, 0.5, 0.75, 0.99]::DOUBLE[]) AS p) GROUP BY ALL""",
     "weighted_score": f"""WITH {HISTORY}, {WEIGHTED}
       SELECT pipeline_name, run_id, {half_up('t * 100', 2)}::DOUBLE AS total_score FROM summed""",
     "quality_status": f"""WITH {HISTORY}, {WEIGHTED}

@@ -123,6 +123,7 @@ ORDERS_SPEC = MeasureSpec(
 )
 ORDERS_ANOMALY_COLUMNS = ("quantity", "unit_price", "total_amount")
 ORDERS_QUARANTINE_LIMIT = 0.2
+ORDERS_MALFORMED_LIMIT = 0.05  # share of lines that may have too few or too many cells
 ORDERS_DATES = ("order_date",)
 
 # Runs over the sample events: one scorecard per event type and day.

@@ -92,18 +92,23 @@ def parts_of(spark: SparkSession, target: str) -> dict[int, list[str]]:
     return {n: sorted(paths, key=lambda p: int(p.rsplit("/at=", 1)[1].split("/", 1)[0])) for n, paths in sorted(parts.items())}
 
 
-def read_landed(spark: SparkSession, target: str, multi_line: bool = False) -> DataFrame:
-    """The landed CSV with every column as the text it holds. All files must have the same header."""
+def read_landed(spark: SparkSession, target: str, multi_line: bool = False, malformed: str | None = None) -> DataFrame:
+    """The landed CSV with every column as the text it holds. All files must have the same header.
+
+    A line with too few or too many cells is filled up or cut. ``malformed`` names a column that is to hold such a line as
+    it stands, null for all others; every cell of a line is parsed then.
+    """
     below = {kind: f"{target}/kind={kind}" for kind in (FIRST, REST, WHOLE) if storage.exists(spark, f"{target}/kind={kind}")}
     if not below:
         raise FileNotFoundError(f"nothing was landed at {target}")
     reader = lambda: csv_reader(spark, multi_line).option("recursiveFileLookup", True).option("inferSchema", False)
     names = reader().csv(below[WHOLE] if WHOLE in below else below[FIRST]).columns
     texts = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    read = [
-        reader().schema(texts).option("enforceSchema", False).option("header", kind != REST).csv(path)
-        for kind, path in below.items()
-    ]
+    options = {"enforceSchema": False}
+    if malformed:
+        texts = texts.add(malformed, T.StringType())
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": malformed, "columnPruning": False}
+    read = [reader().schema(texts).options(**options).option("header", kind != REST).csv(path) for kind, path in below.items()]
     out = read[0]
     for more in read[1:]:
         out = out.unionByName(more)
