@@ -22,6 +22,7 @@ from truegrain.operators import (
     gates,
     measures,
     partials,
+    references,
     score,
     transform,
     trend,
@@ -296,6 +297,14 @@ def accuracy_reference_antijoin(spark, sf_dir):
     return rounded(measures.reference_violations(orders, "o_custkey", known, "c_custkey"), "accuracy")
 
 
+@query
+def accuracy_reference_prefiltered(spark, sf_dir):
+    """The same membership, with values that a bitmap of the reference rules out counted before any shuffle."""
+    known = files.table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "MACHINERY")
+    orders = files.table(spark, sf_dir, "orders")
+    return rounded(references.prefiltered_violations(orders, "o_custkey", known, "c_custkey"), "accuracy")
+
+
 CONSISTENCY_RULES = {
     **settings.ORDERS_RULES,
     "priced_if_ordered": lambda row: ~((row["quantity"] > 0) & (row["unit_price"] <= 300)),
@@ -348,6 +357,26 @@ def consistency_ship_order(spark, sf_dir):
     return measures.violations(paired, measures.consistency_checks(paired, rules), by=["l_returnflag"])
 
 
+@query
+def cross_table_rules(spark, sf_dir):
+    """The same two rules, declared with the tables they read."""
+    found = references.Reference
+    tables = {
+        "orders": found(files.table(spark, sf_dir, "orders"), {"l_orderkey": "o_orderkey"}, ["o_orderdate", "o_orderstatus"]),
+        "pairs": found(
+            spark.createDataFrame(STATUS_PAIRS, "pair_order string, pair_line string"),
+            {"orders_o_orderstatus": "pair_order", "l_linestatus": "pair_line"},
+            small=True,
+        ),
+        "parts": found(files.table(spark, sf_dir, "part"), {"l_partkey": "p_partkey"}, ["p_size"]),  # no rule reads it
+    }
+    rules = {
+        "shipped_after_order": references.CrossRule(lambda row: row["orders_o_orderdate"] <= row["l_shipdate"], ["orders"]),
+        "status_pair": references.CrossRule(lambda row: row["pairs_found"].is_present(), ["orders", "pairs"]),
+    }
+    return references.cross_violations(files.table(spark, sf_dir, "lineitem"), tables, rules, ["l_returnflag"])
+
+
 @query
 def uniqueness(spark, sf_dir):
     lines = files.table(spark, sf_dir, "lineitem")

@@ -760,3 +760,5 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT table_name, severity, 'chat', message FROM f WHERE severity <> 'OK'
       UNION ALL SELECT table_name, severity, 'page', message FROM f WHERE severity = 'CRITICAL'""",
 }
+ORACLE["accuracy_reference_prefiltered"] = ORACLE["accuracy_reference_antijoin"]
+ORACLE["cross_table_rules"] = ORACLE["consistency_ship_order"]
