@@ -184,6 +184,17 @@ def test_language_fusion(web):
     assert by_id[500] == "de"  # by its host alone
 
 
+def test_language_result_can_be_filtered(web):
+    """A filter on the result takes no longer than the result: the plan grows by a term, not by a power."""
+    pages, docs, _ = web
+    found = language_id.identify(pages, docs)
+    rows = found.collect()
+    sure, german = found.where("confidence > 0.9 and lang = 'de'"), found.where("lang = 'de'").groupBy("host").avg("confidence")
+    assert sure.count() == sum(r["confidence"] > 0.9 and r["lang"] == "de" for r in rows) > 30
+    assert german.count() == len({r["host"] for r in rows if r["lang"] == "de"})
+    assert len(sure._jdf.queryExecution().optimizedPlan().toString()) < 200_000
+
+
 def test_language_declared_after_long_attributes(spark, web, tmp_path):
     _, docs, _ = web
     tags = ["<html data-x='" + "y" * 5000 + "' lang=de>", "<HTML\nLANG = 'es-ES'>", "<html><p lang=de>", "<html>" + "<html lang=en>"]

@@ -131,6 +131,20 @@ def test_contexts_find_unseen_numbers(spark, tmp_path):
         assert more == ({("phone", *hidden[f["doc_id"]])} if f["doc_id"] in hidden else set())
 
 
+@pytest.mark.parametrize(("seeds", "unseen", "finds"), [(3, 1, True), (2, 1, False), (10, 30, True), (3, 0, False)])
+def test_contexts_settle(spark, tmp_path, seeds, unseen, finds):
+    """Three different seeds make a pattern, two don't; turns go on until scores settle, so many unseen numbers don't hide."""
+    rng = random.Random(seeds)
+    number = lambda: rng.randint(10**8, 10**9 - 1)
+    texts = [f"{prose(rng, 9)} telephone is +49{number()} thanks {prose(rng, 5)}" for _ in range(seeds)]
+    texts += [texts[0]] * 5  # the same seed again is no other
+    texts += [f"{prose(rng, 9)} telephone is 0{number()} thanks {prose(rng, 5)}" for _ in range(unseen)]
+    rows = [(i, t, None, None, None, *["x"] * 5) for i, t in enumerate(texts)]
+    found = pii.personal_data(write(spark, tmp_path, "documents", rows, DOCS)).collect()
+    more = {f["doc_id"]: len(f["spans"]) - len(f["base"]) for f in found}
+    assert more == {i: int(finds and i >= seeds + 5) for i in range(len(texts))}
+
+
 def test_contexts_hold_words_with_digits(spark, tmp_path):
     """Words with digits beside seeds and unseen numbers make patterns, for candidates as for seeds."""
     rng = random.Random(5)

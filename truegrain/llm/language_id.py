@@ -10,7 +10,7 @@ page's own share is taken out of each sum before the sum is used on it, so that
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +124,16 @@ def _likelihoods(pages: DataFrame, names: list[str], table: np.ndarray) -> DataF
     return rows.select(*kept, "text").mapInArrow(likely, ddl)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def normal(values: Column) -> Column:
+    """An array of numbers over their sum."""
+    return bound(values, lambda v: bound(F.aggregate(v, F.lit(0.0), lambda a, x: a + x), lambda whole: F.transform(v, lambda x: x / whole)))
+
+
 def identify(pages: DataFrame, docs: DataFrame, strength: float = STRENGTH) -> DataFrame:
     """Per page: page_id, lang, confidence (its posterior), text_lang, declared, suffix and host.
 
@@ -138,9 +148,7 @@ def identify(pages: DataFrame, docs: DataFrame, strength: float = STRENGTH) -> D
         return pages.select("page_id", *empty, F.lit(None).cast("string").alias("declared"), *(
             _address(F.col("url"))[c].alias(c) for c in ("suffix", "host")))
     told = scratch.store(_likelihoods(pages, names, table))
-    each = range(len(names))
-    own = [F.get("likely", F.lit(k)) for k in each]
-    sums = [F.sum(c).alias(f"s{k}") for k, c in enumerate(own)]
+    sums = [F.sum(F.get("likely", F.lit(k))).alias(f"s{k}") for k in range(len(names))]
     total = told.agg(*(F.coalesce(s, F.lit(0.0)) for s in sums)).first()
     grand = [float(t or 0.0) for t in total]
 
@@ -155,20 +163,23 @@ def identify(pages: DataFrame, docs: DataFrame, strength: float = STRENGTH) -> D
         fused = scratch.store(grouped(fused, [level], f"by_{level}"))
     fused = scratch.store(grouped(fused, ["declared"], "by_declared"))
 
-    def normal(values: list[Column], name: str) -> list[Column]:
-        nonlocal fused
-        fused = fused.withColumn(name, F.array(*values))
-        whole = F.aggregate(F.col(name), F.lit(0.0), lambda a, x: a + x)
-        fused = fused.withColumn(name, F.transform(F.col(name), lambda x: x / whole))
-        return [F.get(name, F.lit(k)) for k in each]
+    def prior(first: Column) -> Column:
+        """From all pages down to the host, each level smoothed by the one above."""
+        for level in LEVELS:
+            first = normal(F.zip_with(f"by_{level}", first, lambda s, p: s + strength * p))
+        return first
 
-    prior = normal([F.greatest(F.lit(grand[k]) - own[k], F.lit(0.0)) + 1.0 for k in each], "__all")
-    first = prior
-    for level in LEVELS:
-        prior = normal([F.get(f"by_{level}", F.lit(k)) + F.lit(strength) * prior[k] for k in each], f"__{level}")
-    # How many times likelier a declaration is under a language than over all: its posterior share over the global share.
-    share = normal([F.get("by_declared", F.lit(k)) + F.lit(strength) * first[k] for k in each], "__declared")
-    normal([own[k] * prior[k] * share[k] / first[k] for k in each], "__posterior")
+    def share(first: Column) -> Column:
+        """How many times likelier a declaration is under a language than over all: its posterior share over the global share."""
+        return normal(F.zip_with("by_declared", first, lambda s, p: s + strength * p))
+
+    def fuse(first: Column) -> Column:
+        by_address = F.zip_with("likely", prior(first), lambda x, p: x * p)
+        both = F.zip_with(by_address, share(first), lambda x, s: x * s)
+        return normal(F.zip_with(both, first, lambda x, p: x / p))
+
+    everywhere = F.zip_with(F.array(*map(F.lit, grand)), "likely", lambda t, p: F.greatest(t - p, F.lit(0.0)) + 1.0)
+    fused = fused.withColumn("__posterior", bound(normal(everywhere), fuse))
 
     def best(values: str) -> Column:
         return F.get(F.array(*map(F.lit, names)), (F.array_position(values, F.array_max(values)) - 1).cast("int"))

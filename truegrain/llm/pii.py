@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from truegrain.llm.common import SPACES, Scratch, growing, text_or_empty, with_row_id
 
 KINDS = ("email", "ip", "card", "phone")
-TURNS = 3
+TOLERANCE = 0.01  # turns end when no pattern's score moves further
 LEAST_SEEDS = 3  # different seeds of a kind in a pattern
+SMOOTHING = 0.5  # unknown instances added to each pattern's: three seeds alone make 3 / 3.5 = 0.86
 PATTERN_SCORE = 0.8
 INSTANCE_SCORE = 0.8
 CONTEXT_CHARS = 64
@@ -160,8 +161,12 @@ def _suits(kind: Column, instance: Column) -> Column:
     return F.when(kind == "email", mail).when(kind == "ip", ~mail & n.between(4, 12)).otherwise(~mail & n.between(7, 19))
 
 
-def discovered(scratch: Scratch, occurrences: DataFrame, turns: int = TURNS) -> DataFrame:
-    """(row, kind, start, end) of candidates that patterns of high confidence find."""
+def discovered(scratch: Scratch, occurrences: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """(row, kind, start, end) of candidates that patterns of high confidence find.
+
+    Scores only grow from turn to turn, as seeds are certain and candidates start at nothing, and none exceeds 1; turns go on until
+    no pattern gains more than ``tolerance``.
+    """
     edges = occurrences.select("instance", "kind", F.explode("patterns").alias("pattern"))
     seeds = scratch.store(edges.where("kind <> 'token'").select("instance", "kind").distinct())
     hopeful = edges.where("kind <> 'token'").groupBy("pattern").agg(F.count_distinct("instance").alias("n"))
@@ -169,14 +174,18 @@ def discovered(scratch: Scratch, occurrences: DataFrame, turns: int = TURNS) ->
     graph = scratch.store(edges.join(growing(hopeful), "pattern", "left_semi").select("pattern", "instance").distinct())
     totals = scratch.store(graph.groupBy("pattern").agg(F.count("*").alias("instances")))
     known = seeds.withColumn("score", F.lit(1.0)).withColumn("seed", F.lit(True))
-    scores = None
-    for _ in range(turns):
+    scores, moved = None, 1.0
+    while moved > tolerance:
         told = graph.join(growing(known), "instance").groupBy("pattern", "kind")
         masses = scratch.store(told.agg(F.sum("score").alias("mass"), F.count_if("seed").alias("seeds")))
-        share = (F.col("mass") / (F.col("instances") + 1)).alias("score")
-        scores = scratch.store(
+        share = (F.col("mass") / (F.col("instances") + SMOOTHING)).alias("score")
+        before, scores = scores, scratch.store(
             masses.where(F.col("seeds") >= LEAST_SEEDS).join(growing(totals), "pattern").select("pattern", "kind", share)
         )
+        gain = scores.select("pattern", "kind", "score", F.lit(0.0).alias("was"))
+        if before is not None:
+            gain = scores.join(growing(before.withColumnRenamed("score", "was")), ["pattern", "kind"], "left")
+        moved = gain.agg(F.max(F.col("score") - F.coalesce("was", F.lit(0.0)))).first()[0] or 0.0
         missed = F.exp(F.sum(F.log(F.lit(1.0) - F.col("score"))))
         found = graph.join(growing(scores), "pattern").groupBy("instance", "kind").agg((1 - missed).alias("score"))
         found = found.where(_suits(F.col("kind"), F.col("instance"))).join(growing(seeds), ["instance", "kind"], "left_anti")
@@ -193,18 +202,19 @@ def discovered(scratch: Scratch, occurrences: DataFrame, turns: int = TURNS) ->
     return suits.groupBy(ROW, "start", "end").agg(best.alias("kind")).select(ROW, "kind", "start", "end")
 
 
-def personal_data(docs: DataFrame, turns: int = TURNS) -> DataFrame:
+def personal_data(docs: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Per document: row number, doc_id, n_email, n_ip, n_card, n_phone, base and spans.
 
     ``base`` and ``spans`` are arrays of (start, kind, end), ordered by start, then by kind in the order of KINDS;
     ``base`` and the counts hold what the four patterns of characters find, ``spans`` also what contexts find. A null text
     is empty and has no spans. Rows are judged by themselves, repeated ones too. Other columns are not looked at.
+    A context is what stands within ``CONTEXT_CHARS`` characters of a match: of a longer word its nearest part is the word.
     """
     scratch = Scratch(docs.sparkSession, "pii")
     found = scratch.store(matches(docs))
     occurrences = scratch.store(_occurrences(found.where("kind <> 'document'")))
     base = occurrences.where("kind <> 'token'").select(ROW, "kind", "start", "end", F.lit(True).alias("base"))
-    more = discovered(scratch, occurrences, turns).withColumn("base", F.lit(False))
+    more = discovered(scratch, occurrences, tolerance).withColumn("base", F.lit(False))
     whole = found.where("kind = 'document'").select(ROW, "doc_id", F.lit(True).alias("whole"))
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     span = F.when(F.col("whole").isNull(), F.struct("start", order.alias("nth"), "end", "kind"))
