@@ -7,7 +7,9 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from truegrain.llm import exact_dedup, mixing, simhash, substring_dedup
@@ -162,12 +164,41 @@ def slow_repeats(rows, window):
 def test_repeated_passages(messy, empty):
     wanted = Counter(slow_repeats(messy.collect(), 13))
     assert sum(w[2] > 0 for w in wanted.elements()) > 80
-    for settings in ({}, {"depth": 2, "block_bytes": 2000, "range_windows": 500, "cells_per_window": 1}):
+    for settings in ({}, {"depth": 3, "block_bytes": 2000, "range_windows": 500, "cells_per_window": 1}, {"depth": 1}):
         found = substring_dedup.remove_repeats(messy, **settings).collect()
         assert Counter(map(tuple, found)) == wanted
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_sketch_counts_are_never_too_low(messy):
+    """Cells of all blocks added up: a window's least cell is at least its count, and most single windows have a cell of their own."""
+    texts = [" ".join(words_of(r["text"])).encode() for r in messy.collect()]
+    table = lambda some: pa.table({"doc_id": pa.array(range(len(some)), pa.int64()), "text": pa.array(some, pa.large_binary())})
+
+    def body(some):
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, table(some).schema) as writer:
+            writer.write_table(table(some))
+        return zstandard.compress(out.getvalue().to_pybytes())
+
+    held = [substring_dedup.Block(body(texts[i::3]), 13) for i in range(3)]
+    bits = (4 * sum(len(b.at) for b in held) - 1).bit_length()
+    sums, exact = Counter(), Counter()
+    for b in held:
+        rows = substring_dedup._sketch_rows(b, 2, bits, bits)
+        for part, cells, counts in zip(rows["part"], rows["cells"], rows["often"]):
+            places = np.cumsum(substring_dedup._values(cells, "u8"), dtype=np.uint64) + np.uint64(part << bits)
+            sums.update(dict(zip(places.tolist(), substring_dedup._values(counts, "u4").tolist())))
+        exact.update(map(bytes, b.keys(b.at)))
+    kept = Counter()
+    for b in held:
+        for key, own in zip(map(bytes, b.keys(b.at)), b.cells(2, bits).T.tolist()):
+            estimate = min(sums[c] for c in own)
+            assert estimate >= exact[key]
+            kept[estimate > 1] += exact[key] == 1
+    assert 0 < kept[True] < 0.1 * kept[False]
+
+
 def test_short_texts_have_no_windows(messy):
     few = messy.where("doc_id in (240, 241, 242, 300)")
     found = substring_dedup.remove_repeats(few).collect()

@@ -1,20 +1,21 @@
 """Repeated passages: words of windows that also start in an earlier document are removed.
 
-Documents are kept in compressed blocks. A first pass counts windows in a count-min sketch: each block sends the
-distinct cells its windows fall on, cut into ranges; per range the cells of all blocks are merged into counts, and each
-block gets back one bit per cell: counted more than once or not. Counts are never too low, so a window
+Documents are kept in compressed blocks. A first pass counts windows in a count-min sketch of several rows: each block sends the
+distinct cells its windows fall on with their counts, cut into ranges; per range the counts of all blocks are added up, and each
+block gets back one bit per cell: counted more than once or not. A window's count is estimated by its least cell, never too low, so a window
 with a cell counted once occurs once, and is dropped. A second pass groups the windows that are left exactly, by
 a 128-bit hash of their words: each block sends the smallest doc_id it has per window and gets back
 whether another block has a smaller one. A third pass marks the covered words.
 
 The sketch is sent sparse and is spread over its ranges, so no task holds it whole, and it grows with the corpus: its
-width is a multiple of the number of windows. One row goes from a block to a range, so for very large corpora raise
-``block_bytes`` and ``range_windows`` together, by the square root of the growth.
+width is a multiple of the number of windows. One row goes from a block to a range. Ranges grow with the square root of the
+number of windows, up to ``RANGE_MOST`` times; blocks are as large as ``block_bytes`` says, to be raised for very large corpora.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +28,12 @@ from pyspark.sql import functions as F
 from truegrain.llm.common import Scratch, arrow_schema, mixed, text_or_empty
 
 WINDOW = 13
-DEPTH = 1  # a second row of cells would cost more traffic than the windows it keeps out
-CELLS_PER_WINDOW = 16
+DEPTH = 2  # rows of the sketch
+CELLS_PER_WINDOW = 4  # in each row: two rows let about 5 % of the single windows through, as one of 20 would
 BLOCK_BYTES = 4 << 20
 RANGE_WINDOWS = 1 << 20
-LAST = np.iinfo(np.int64).max  # stands for a null doc_id: smaller than none
+RANGES_FROM, RANGE_MOST = 1 << 28, 16  # windows from which on ranges grow, and how much
+LAST = np.iinfo(np.int64).max  # compared in place of a null doc_id: smaller than none
 SPACE = 0x20
 PRIMES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
@@ -60,7 +62,7 @@ def blocks(docs: DataFrame, block_bytes: int, window: int) -> DataFrame:
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 words = text.as_py().encode().split()
-                ids.append(LAST if doc_id is None else doc_id)
+                ids.append(doc_id)
                 texts.append(b" ".join(words))
                 held += len(texts[-1]) + 16
                 windows += max(0, len(words) - window + 1)
@@ -79,7 +81,8 @@ class Block:
     def __init__(self, body: bytes, window: int):
         with pa.ipc.open_stream(zstandard.decompress(body)) as reader:
             table = reader.read_all()
-        self.ids = table["doc_id"].to_numpy()
+        self.given = table["doc_id"].combine_chunks()
+        self.ids = self.given.fill_null(LAST).to_numpy()
         self.texts = table["text"].to_pylist()
         self.window = window
         self.bytes = b" ".join([t for t in self.texts if t] + [b""])
@@ -164,14 +167,14 @@ def _sketch_rows(block: Block, depth: int, bits: int, shift: int) -> Row:
     for part, start, end in _runs(cells >> np.uint64(shift)):
         out["part"].append(part)
         out["cells"].append(_planes(np.diff(cells[start:end], prepend=np.uint64(part << shift))))
-        out["often"].append(_bits(counts[start:end] > 1))
+        out["often"].append(_planes(counts[start:end].astype(np.uint32)))
     return out
 
 
 def _merged_counts(table: pa.Table) -> pa.Table:
     """Add up one range of the sketch; each block gets a bit per cell it sent: counted more than once."""
     cells = [np.cumsum(_values(c, "u8"), dtype=np.uint64) for c in table["cells"].to_pylist()]
-    counts = [1 + _flags(o, len(c)) for o, c in zip(table["often"].to_pylist(), cells)]
+    counts = [_values(o, "u4") for o in table["often"].to_pylist()]
     order, place = np.unique(np.concatenate(cells), return_inverse=True)
     total = np.bincount(place, np.concatenate(counts), len(order)) > 1
     ends = np.cumsum([len(c) for c in cells])
@@ -241,7 +244,8 @@ def remove_repeats(
     scratch = Scratch(docs.sparkSession, "substring-dedup")
     held = scratch.store(blocks(docs, block_bytes, window))
     windows = held.agg(F.coalesce(F.sum("windows"), F.lit(0))).first()[0]
-    parts = max(1, -(-windows // range_windows))
+    range_windows *= min(RANGE_MOST, max(1.0, (windows / RANGES_FROM) ** 0.5))
+    parts = max(1, math.ceil(windows / range_windows))
     bits = max(10, (cells_per_window * windows - 1).bit_length())
     shift = max(1, bits - (parts - 1).bit_length())
     sent, back = "part long, block long, cells binary, often binary", "block long, part long, answer binary"
@@ -287,8 +291,7 @@ def remove_repeats(
             stay = np.flatnonzero(~gone[first[i] : first[i] + n_words[i]])
             texts[i] = b" ".join([words[j] for j in stay])
         digests = [hashlib.sha256(t).hexdigest() for t in texts]
-        ids = pa.array(block.ids, mask=block.ids == LAST)
-        return pa.table([ids, pa.array(n_words), pa.array(n_removed), [t.decode() for t in texts], digests], schema=kept_schema)
+        return pa.table([block.given, pa.array(n_words), pa.array(n_removed), [t.decode() for t in texts], digests], schema=kept_schema)
 
     cells = held.select("block", "body").mapInArrow(sketch, sent)
     repeated = scratch.store(cells.groupBy("part").applyInArrow(_merged_counts, back))
