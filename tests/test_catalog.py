@@ -40,7 +40,7 @@ def plan(df) -> str:
 WRITING = {
     "bronze_csv_scan", "bronze_land", "medallion_silver", "medallion_gold", "silver_validate", "gate_results",
     "history_scan", "history_table_scan", "score_history_append", "freshness_history_append", "scorecard_v1_trend",
-    "bronze_land_check", "malformed_lines", "malformed_gate", "gold_replaced", "score_history_rerun", "scorecard_from_parts", "quantiles_from_parts",
+    "bronze_land_check", "malformed_lines", "malformed_gate", "gold_replaced", "score_history_rerun", "scorecard_from_parts", "quantiles_from_parts", "freshness_from_parts",
 }
 
 

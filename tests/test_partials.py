@@ -8,7 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from truegrain.operators import measures, partials, score
+from truegrain.operators import freshness, measures, partials, score
 from truegrain.operators.measures import MeasureSpec
 from truegrain.session import fresh_path
 
@@ -75,6 +75,18 @@ def test_a_partition_measured_again_replaces_its_state(spark):
     same(partials.merged_scores(spark, states, SPEC, NOW), measures.dimension_scores(mended, SPEC, NOW))
 
 
+def test_latest_comes_from_states_alone(spark):
+    states = fresh_path(spark, "states")
+    table = spark.createDataFrame(list(rows(7, ["01", "02"])), SCHEMA)
+    partials.measure_parts(table, SPEC, "day", states, ["g"])
+    for found, wanted in (
+        (partials.latest_of_parts(spark, states, "g"), freshness.latest_by(table, "at", "g")),
+        (partials.latest_of_parts(spark, states, "g", "t"), freshness.latest_of(table, "at", "t")),
+    ):
+        same(found, wanted)
+        assert all(f"{states}/facts" in f for f in found.inputFiles())
+
+
 def test_a_broken_run_is_measured_again(spark):
     """Keys without facts, as a run that stopped between them leaves, count for nothing."""
     states = fresh_path(spark, "states")

@@ -136,6 +136,15 @@ def merged_scorecard(
     )
 
 
+def latest_of_parts(spark: SparkSession, path: str, by: str, table: str | None = None) -> DataFrame:
+    """``table_name, latest_timestamp`` for each group ``by``, or of one table as a whole, from the states alone: no data is read."""
+    facts = merged_facts(spark, path, [by])
+    latest = cells.latest_instant("latest", cells.dtype_of(facts, "latest"))
+    if table is None:
+        return facts.select(cells.column(by).alias("table_name"), latest.alias("latest_timestamp"))
+    return facts.agg(F.max(latest).alias("latest_timestamp")).select(F.lit(table).alias("table_name"), "latest_timestamp")
+
+
 def merged_quantiles(
     spark: SparkSession, path: str, probabilities: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:

@@ -762,3 +762,5 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["accuracy_reference_prefiltered"] = ORACLE["accuracy_reference_antijoin"]
 ORACLE["cross_table_rules"] = ORACLE["consistency_ship_order"]
+ORACLE["freshness_from_parts"] = f"""WITH {SLAS}, {freshness(EVENTS_AS_OF, 'f')}
+  SELECT * FROM f WHERE table_name IN ('click', 'error', 'purchase', 'signup')"""
