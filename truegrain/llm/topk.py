@@ -175,13 +175,13 @@ def top_k(
 
     first = search(queries.withColumn("floor", F.lit(NONE)), {b: range(0, min(1, len(lengths))) for b in blocks})
     floors = first.groupBy("query_row").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(NONE)).alias("floor"))
-    known = scratch.store(
-        queries.join(growing(floors), queries[ROW] == floors["query_row"], "left")
-        .drop("query_row")
-        .withColumn("floor", F.coalesce("floor", F.lit(NONE)))
-    )
-    ratio = F.when(F.col("floor") > 0, F.col("floor") / F.greatest("length", F.lit(1e-300))).otherwise(F.lit(0.0))
-    least = {r["block"]: r["need"] for r in known.groupBy("block").agg(F.min(ratio).alias("need")).collect()}
+    known = queries.drop("block").join(growing(floors), queries[ROW] == floors["query_row"], "left").drop("query_row")
+    known = known.withColumn("floor", F.coalesce("floor", F.lit(NONE)))
+    # Blocks anew, of queries that need vectors of like length: the least of a block decides which buckets it meets.
+    need = F.when(F.col("floor") > 0, F.col("floor") / F.greatest("length", F.lit(1e-300))).otherwise(F.lit(0.0))
+    known = ranked(scratch, known.withColumn("need", need), F.desc("need"), F.col(ROW), name="place")
+    known = scratch.store(known.withColumn("block", F.floor(F.col("place") / block_queries).cast("int")).drop("place"))
+    least = {r["block"]: r["need"] for r in known.groupBy("block").agg(F.min("need").alias("need")).collect()}
     longest = np.array([-r["longest"] for r in lengths])
     reach = {b: int(np.searchsorted(longest, -need * (1 - SLACK), "right")) for b, need in least.items()}
     rest = search(known, {b: range(1, max(1, n)) for b, n in reach.items()})
