@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +20,7 @@ from truegrain.functions import cells
 from truegrain.operators import measures, quantiles
 from truegrain.operators.measures import MeasureSpec
 from truegrain.operators.score import ScorerConfig, with_score
+from truegrain.sources import storage
 
 NO_PART = "(none)"
 SKETCH_K = 2000
@@ -45,12 +45,9 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 
 def measured_parts(spark: SparkSession, path: str) -> list[str]:
     """The partitions whose states are stored: one name each, so as many as the table has partitions."""
-    try:
-        facts = spark.read.parquet(f"{path}/facts")
-    except AnalysisException as failure:
-        if failure.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    if not any(name.startswith("part=") for name in storage.child_names(spark, f"{path}/facts")):
         return []
+    facts = spark.read.parquet(f"{path}/facts")
     return sorted(row[0] for row in facts.select("__part").distinct().collect())
 
 
