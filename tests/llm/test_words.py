@@ -247,11 +247,12 @@ def test_contamination_of_little(spark, tests_and_docs, empty):
     assert longest[201] == 0 and longest[200] == 24 and longest[203] == 4
 
 
-def test_spans_are_removed(tests_and_docs):
+@pytest.mark.parametrize("shard_words", [decontaminate.SHARD_WORDS, 100])
+def test_spans_are_removed(tests_and_docs, shard_words):
     docs, items = tests_and_docs
     texts = {order(r["doc_id"]): r["text"] for r in docs.collect()}
     about = {order(w[0]): w for w in slow_contamination(docs.collect(), items.collect())}
-    kept = decontaminate.decontaminated(docs, items)
+    kept = decontaminate.decontaminated(docs, items, shard_words=shard_words)
     assert kept.columns == docs.columns
     left = {order(r["doc_id"]): r["text"] for r in kept.collect()}
     assert set(left) == {k for k, w in about.items() if w[2] <= 0.5 * w[1]}
@@ -259,5 +260,5 @@ def test_spans_are_removed(tests_and_docs):
         assert len(ALNUM.findall(lower(text))) == about[k][1] - about[k][2]
         assert about[k][2] or text == texts[k]
     assert decontaminate.without("One, two; three four!", [(1, 3)]) == "One, four!"
-    longer = decontaminate.decontaminated(docs, items, longest=15, coverage=1.0)
+    longer = decontaminate.decontaminated(docs, items, longest=15, coverage=1.0, shard_words=shard_words)
     assert longer.count() == docs.count()

@@ -13,6 +13,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -176,6 +177,22 @@ def pieces(scratch: Scratch, items: DataFrame, window: int, piece_words: int) ->
     return scratch.store(items.select(text_or_empty("item_id").alias("item_id"), text_or_empty().alias("text")).distinct().mapInArrow(cut, ddl))
 
 
+def _shards(scratch: Scratch, items: DataFrame, window: int, shard_words: int, piece_words: int) -> tuple[DataFrame, int]:
+    """The items' pieces, and the number of shards to deal them to."""
+    cut = pieces(scratch, items, window, piece_words)
+    total = cut.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return cut, max(1, -(-total // shard_words))
+
+
+def _automaton(cut: DataFrame, shard: int, shards: int, window: int) -> Broadcast:
+    """A shard's automaton and the ids of its items, by their numbers in it."""
+    dealt = cut.where(F.pmod(F.xxhash64("item_id", "piece"), F.lit(shards)) == shard).orderBy("item_id", "piece").collect()
+    ids = sorted({r["item_id"] for r in dealt})
+    place = {item: i for i, item in enumerate(ids)}
+    built = Automaton([(place[r["item_id"]], r["piece"].encode().split(b" ")) for r in dealt], window)
+    return cut.sparkSession.sparkContext.broadcast((built, ids))
+
+
 def contamination(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, piece_words: int = PIECE_WORDS
 ) -> DataFrame:
@@ -186,20 +203,14 @@ def contamination(
     with the same id are one item, a null id the empty string. Rows of documents are separate, whatever their ids.
     Empty tables of either kind are fine. Documents are never joined or shuffled while there is one shard of items.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "decontaminate")
-    cut = pieces(scratch, items, window, piece_words)
-    total = cut.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shards = max(1, -(-total // shard_words))
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    cut, shards = _shards(scratch, items, window, shard_words, piece_words)
     rows = with_row_id(docs, ROW).select(ROW, "doc_id", text_or_empty().alias("text"))
     ddl = f"{ROW} string, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, spans array<struct<start:int,end:int>>, longest int, items array<string>"
     schema = arrow_schema(ddl)
 
     def scan(shard: int) -> DataFrame:
-        dealt = cut.where(F.pmod(F.xxhash64("item_id", "piece"), F.lit(shards)) == shard).orderBy("item_id", "piece").collect()
-        ids = sorted({r["item_id"] for r in dealt})
-        place = {item: i for i, item in enumerate(ids)}
-        shared = spark.sparkContext.broadcast((Automaton([(place[r["item_id"]], r["piece"].encode().split(b" ")) for r in dealt], window), ids))
+        shared = _automaton(cut, shard, shards, window)
 
         def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             automaton, ids = shared.value
@@ -258,27 +269,54 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def decontaminated(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, longest: int = 0, coverage: float = 0.5
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    longest: int = 0,
+    coverage: float = 0.5,
+    shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
     """The documents, with all their columns, less the spans of more than ``longest`` words.
 
-    A document whose hit words are more than ``coverage`` of its words goes as a whole. Texts without such spans stay as they are.
+    A document whose hit words are more than ``coverage`` of its words goes as a whole. Texts without such spans, and null ones,
+    stay as they are. With one shard of items documents stay where they are; with several, spans of all shards are put together first
+    and joined to the documents.
     """
+    cut, shards = _shards(Scratch(docs.sparkSession, "decontaminate"), items, window, shard_words, PIECE_WORDS)
+    if shards == 1:
+        shared = _automaton(cut, 0, 1, window)
+
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton, _ = shared.value
+            for batch in batches:
+                texts, stay = batch.column("text").to_pylist(), []
+                for i, text in enumerate(texts):
+                    found = words((text or "").encode())
+                    spans, _, _ = automaton.hits(found)
+                    stay.append(sum(b - a for a, b in spans) <= coverage * len(found))
+                    far = [(a, b) for a, b in spans if b - a > longest]
+                    texts[i] = without(text, far) if far and stay[-1] else text
+                yield _with_texts(batch, texts).filter(pa.array(stay, pa.bool_()))
+
+        return docs.mapInArrow(clean, docs.schema)
+
     row, cuts = free_name(docs, ROW), free_name(docs, "__truegrain_cuts")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     far = F.filter("spans", lambda s: s["end"] - s["start"] > longest)
-    found = contamination(docs, items, window).where(F.size("spans") > 0)
+    found = contamination(docs, items, window, shard_words).where(F.size("spans") > 0)
     verdict = F.struct((n_hit > coverage * F.col("n_words")).alias("drop"), far.alias("spans"))
     told = with_row_id(docs, row).join(growing(found.select(F.col(ROW).alias(row), verdict.alias(cuts))), row, "left")
     told = told.where(F.col(cuts).isNull() | ~F.col(cuts)["drop"])
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = [c["spans"] if c else [] for c in batch.column(cuts).to_pylist()]
-            if any(spans):
-                texts = [without(t, [(s["start"], s["end"]) for s in x]) if x else t for t, x in zip(batch.column("text").to_pylist(), spans)]
-                place = batch.schema.names.index("text")
-                batch = batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
-            yield batch.select([i for i, c in enumerate(batch.schema.names) if c != cuts])
-
-    return told.select(*docs.columns, cuts).mapInArrow(cut, docs.schema)
+            spans = [[(s["start"], s["end"]) for s in c["spans"]] if c else [] for c in batch.column(cuts).to_pylist()]
+            texts = [without(t, x) if x else t for t, x in zip(batch.column("text").to_pylist(), spans)]
+            yield _with_texts(batch, texts).select([i for i, c in enumerate(batch.schema.names) if c != cuts])
+
+    return told.select(*docs.columns, cuts).mapInArrow(remove, docs.schema)
+
+
+def _with_texts(batch: pa.RecordBatch, texts: list[str | None]) -> pa.RecordBatch:
+    place = batch.schema.names.index("text")
+    return batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
