@@ -138,8 +138,8 @@ def test_bronze_round_trip(spark):
 
 RAW_FILES = {
     "a 1.csv": b"x,y\n1,\"quoted, \"\"twice\"\"\"\n2,  bare  \r\n\n3,\xff\xfe not utf-8\n",
-    "b.csv": b"x,y\n4,no break at the end",
-    "c.csv": "x,y\n5,\u00e9nds in \u00e9".encode(),
+    "b 100% +%20.csv": b"x,y\n4,no break at the end",
+    "c_\u00e9.csv": "x,y\n5,\u00e9nds in \u00e9".encode(),
     "d.csv": b"\xef\xbb\xbfx,y\n6,marked\n",
     "e.csv": b"",
     "f.csv": b"x,y\n" + b"".join(b"%d,%s\n" % (i, b"z" * (i % 40)) for i in range(10, 3000)),

@@ -52,12 +52,12 @@ def land(spark: SparkSession, source: str, target: str, multi_line: bool = False
     for ending, files in endings.items():
         split = ending == "\n" and not multi_line
         lines = spark.read.option("lineSep", ending).text([path for _, path in files])
-        numbers = spark.createDataFrame(files, "file int, __path string")  # as many rows as the listing has files
-        plain = lambda c: F.url_decode(F.regexp_replace(c, "^file:/+", "file:/"))
+        named = [(number, storage.uri(spark, path)) for number, path in files]
+        numbers = spark.createDataFrame(named, "file int, __path string")  # as many rows as the listing has files
         placed = lines.select(
-            "value", plain(F.col("_metadata.file_path")).alias("__path"), F.col("_metadata.file_block_start").alias("at"),
+            "value", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("at"),
             F.monotonically_increasing_id().alias("__line"),
-        ).join(F.broadcast(numbers.withColumn("__path", plain(F.col("__path")))), "__path")
+        ).join(F.broadcast(numbers), "__path")
         if marked:  # the reader takes the mark off the first line
             heads = placed.where(F.col("file").isin(marked) & (F.col("at") == 0)).groupBy("file").agg(F.min("__line").alias("__line"))
             placed = placed.join(F.broadcast(heads.withColumn("__head", F.lit(True))), ["file", "__line"], "left")
@@ -117,11 +117,10 @@ def read_landed(spark: SparkSession, target: str, multi_line: bool = False, malf
 
 def line_digests(spark: SparkSession, paths: dict[str, int]) -> DataFrame:
     """``file_no, lines, digest`` of the files that paths belong to: digests add up over lines, so parts need no order."""
-    numbers = spark.createDataFrame(list(paths.items()), "__path string, file_no int")
-    plain = lambda c: F.url_decode(F.regexp_replace(c, "^file:/+", "file:/"))
+    named = [(storage.uri(spark, path), number) for path, number in paths.items()]
+    numbers = spark.createDataFrame(named, "__path string, file_no int")  # a row per listed file
     lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(list(paths))
-    named = lines.select("value", plain(F.col("_metadata.file_path")).alias("__path"))
-    told = named.join(F.broadcast(numbers.withColumn("__path", plain(F.col("__path")))), "__path")  # a row per listed file
+    told = lines.select("value", F.col("_metadata.file_path").alias("__path")).join(F.broadcast(numbers), "__path")
     return told.groupBy("file_no").agg(
         F.count("*").alias("lines"), F.sum(F.xxhash64("value").cast("decimal(38,0)")).alias("digest")
     )

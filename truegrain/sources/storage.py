@@ -11,6 +11,11 @@ def located(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def uri(spark: SparkSession, path: str) -> str:
+    """A path as Spark's ``_metadata.file_path`` has it, odd characters encoded."""
+    return spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     system, place = located(spark, path)
     return system.exists(place)
