@@ -676,8 +676,7 @@ def contract_check(spark, sf_dir):
 
 @query
 def gate_results(spark, sf_dir):
-    written = sinks.write_parquet(_flagged_orders(spark, sf_dir), fresh_path(spark, "flagged"))
-    flagged = spark.read.parquet(written)
+    flagged = stored(_flagged_orders(spark, sf_dir), "flagged")
     clean, _ = anomaly.quarantine(flagged)
     bronze = views.contract_orders(spark, sf_dir)
     silver = medallion.write_silver(clean, fresh_path(spark, "silver"))

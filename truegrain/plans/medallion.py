@@ -162,7 +162,7 @@ def run_orders(
     raw = files.null_tokens(counted.where(F.col(MALFORMED).isNull()).drop(MALFORMED))
     plan = expect.expectation_plan(raw, *_agreed(), raw_text=True)
     typed_rows = files.typed(raw.observe(seen, *plan.counts), contract.struct_type())
-    typed = spark.read.parquet(sinks.write_parquet(typed_rows, f"{target}/typed"))
+    typed = sinks.layer(typed_rows, f"{target}/typed")
     broken = None
     if lines.get["malformed_lines"]:
         broken = sinks.write_parquet(malformed_lines(read), f"{target}/malformed")
@@ -173,8 +173,8 @@ def run_orders(
 
     seen = Observation()
     found = anomaly.detect(typed, settings.ORDERS_ANOMALY_COLUMNS).observe(seen, *anomaly.rate_counts())
-    staged = sinks.write_parquet(found, f"{target}/flagged")
-    clean, _ = anomaly.quarantine(spark.read.parquet(staged))
+    staged = f"{target}/flagged"
+    clean, _ = anomaly.quarantine(sinks.layer(found, staged))
     rate = anomaly.rate_of(gates.facts_row(spark, seen.get), settings.ORDERS_QUARANTINE_LIMIT)
     if not settle(gates.quarantine_gate(rate, "gate_2")):
         return ended(malformed=broken, flagged=staged)

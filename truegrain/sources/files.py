@@ -47,9 +47,10 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
 
 def null_tokens(df: DataFrame) -> DataFrame:
     """Turn the texts that stand for a missing cell into null."""
+    tokens = [F.lit(token) for token in NA_TOKENS]
     return df.select(
         *(
-            F.when(~cells.column(f.name).isin(*NA_TOKENS), cells.column(f.name)).alias(f.name)
+            F.when(~cells.column(f.name).isin(tokens), cells.column(f.name)).alias(f.name)
             if cells.is_text(f.dataType)
             else cells.column(f.name)
             for f in df.schema.fields

@@ -37,6 +37,11 @@ def write_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
+def layer(df: DataFrame, path: str) -> DataFrame:
+    """Write or replace a layer and read it back; its schema is known, so no file is opened for it."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_parquet(df, path))
+
+
 VERSIONS = "_versions"
 
 
@@ -117,10 +122,15 @@ def append_scores(card: DataFrame, path: str, table: str | None = None) -> str:
 
 
 def history_runs(spark: SparkSession, path: str, card: DataFrame) -> int:
-    """How many of a scorecard's runs the history holds, read back from it with all their dimensions."""
-    due = _long_runs(card).groupBy("pipeline_name", "run").agg(F.count("*").alias("__due"))
-    held = read_scores(spark, path, with_run=True).groupBy("pipeline_name", "run").agg(F.count("*").alias("__held"))
-    return held.join(due, ["pipeline_name", "run"]).where("__held = __due").count()
+    """How many of a scorecard's runs the history holds, read back from it with all their dimensions.
+
+    The runs of one scorecard are named on the driver, so that only their partitions of the history are read.
+    """
+    counts = lambda rows: rows.groupBy("pipeline_name", "run").agg(F.count("*").alias("n")).collect()
+    due = {(row["pipeline_name"], row["run"]): row["n"] for row in counts(_long_runs(card))}
+    history = read_scores(spark, path, with_run=True)
+    named = history.where(F.col("pipeline_name").isin(sorted({p for p, _ in due})) & F.col("run").isin(sorted({r for _, r in due})))
+    return sum(due.get((row["pipeline_name"], row["run"])) == row["n"] for row in counts(named))
 
 
 HISTORY_SCHEMA = (
