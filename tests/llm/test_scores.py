@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -46,8 +47,6 @@ def test_quality_on_documents_held_out(spark, corpus):
     rows = found.collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(r["doc_id"] for r in docs.collect())
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
-    import zlib
-
     assert all(r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
     truth = dict(labelled(600)[1][i][:2] for i in range(600))
     held = [(r["predicted"], truth[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in truth]
@@ -104,6 +103,74 @@ def test_tokens_and_context_vectors(spark, corpus):
     assert not pooled[1].any()
 
 
+TOKENS = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^A-Za-z\x80-\xff0-9\x20\x09-\x0D]+")
+
+
+def slow_tokens(text):
+    """Slot and form of each token, hashed character by character."""
+    ended = None
+    for found in TOKENS.finditer((text or "").encode()):
+        run, total, power = found.group(), 0, 1
+        for byte in run:
+            total = (total + ((byte + 32 if 65 <= byte <= 90 else byte) + 1) * power) % 2**64
+            power = power * int(quality.PRIME) % 2**64
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            total = (total ^ total >> shift) * factor % 2**64
+        upper = sum(65 <= byte <= 90 for byte in run)
+        kind = 1 if run[:1].isdigit() else 0 if run[:1].isalpha() or run[0] >= 128 else 2
+        case = 0 if not upper else 2 if upper == len(run) else 1 if upper == 1 and run[:1].isupper() else 3
+        form = (kind * 4 + case) * 16 + min(len(run), 8) - 1 + 8 * (found.start() == ended)
+        ended = found.end()
+        yield ((total ^ total >> 31) >> 20) % quality.SLOTS, form
+
+
+def slow_scores(docs, labels):
+    """Each row's score from its text, by loops over tokens and their neighbours; only ``Network.fit`` is shared."""
+    found = [list(slow_tokens(r["text"])) for r in docs]
+    place, sign = quality.index_vectors()
+    vectors = defaultdict(lambda: np.zeros(quality.WIDTH))
+    for tokens in found:
+        for i, (slot, form) in enumerate(tokens):
+            met = [(slot, quality.SLOTS + form)]
+            for j in (i - 1, i + 1):
+                if 0 <= j < len(tokens):
+                    met += [(a, b) for a in (slot, quality.SLOTS + form) for b in (tokens[j][0], quality.SLOTS + tokens[j][1])]
+            for owner, neighbour in met:
+                for k in range(quality.ONES):
+                    vectors[owner][place[neighbour, k]] += sign[neighbour, k]
+    unit = {k: v / max(math.sqrt(v @ v), 1e-9) for k, v in vectors.items()}
+    x = np.zeros((len(found), 2 * quality.WIDTH + 2))
+    for row, tokens in zip(x, found):
+        for i, (slot, form) in enumerate(tokens):
+            row[: quality.WIDTH] += unit[slot] / len(tokens)
+            row[quality.WIDTH : -2] += unit.get(quality.SLOTS + form, 0) / len(tokens)
+            row[-2] += (i > 0 and tokens[i - 1][0] == slot) / len(tokens)
+        row[-1] = math.log1p(len(tokens))
+    marks = defaultdict(list)
+    for r in labels:
+        if r["doc_id"] is not None and r["quality"] in (0, 1) and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2:
+            marks[r["doc_id"]].append(r["quality"])
+    known = sorted({r["doc_id"] for r in docs} & set(marks))
+    first = [min(tuple(row) for r, row in zip(docs, x) if r["doc_id"] == i) for i in known]
+    network = quality.Network().fit(np.array(first), np.array([float(min(marks[i])) for i in known]))
+    mean, scale, w1, b1, w2, b2 = network.weights
+    columns = w1.T.tolist()
+    for row in ((x - mean) / scale).tolist():
+        hidden = [math.tanh(sum(a * b for a, b in zip(row, column)) + shift) for column, shift in zip(columns, b1)]
+        logit = sum(a * b for a, b in zip(hidden, w2)) + b2[0]
+        yield 1 / (1 + math.exp(-max(-30, min(30, logit / network.temperature))))
+
+
+def test_quality_against_plain_loops(corpus):
+    """From texts to scores: tokens, context sums, pooling, choice of labels and the network, all done row by row."""
+    docs, labels = corpus
+    rows = docs.collect()
+    wanted = sorted(zip(map(str, (r["doc_id"] for r in rows)), slow_scores(rows, labels.collect())))
+    found = sorted((str(r["doc_id"]), r["score"]) for r in quality.scored(docs, labels).collect())
+    assert [i for i, _ in found] == [i for i, _ in wanted]
+    assert max(abs(a - b) for (_, a), (_, b) in zip(found, wanted)) < 1e-3
+
+
 def test_temperature_calibrates():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 8))
