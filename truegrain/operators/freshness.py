@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from truegrain.functions import cells
 from truegrain.operators import measures
+from truegrain.session import known_rows
 
 
 @dataclass(frozen=True)
@@ -36,7 +37,7 @@ def sla_frame(spark: SparkSession, slas: Sequence[FreshnessSLA]) -> DataFrame:
         (s.table_name, float(s.sla_hours), float(s.warning_multiplier), float(s.critical_multiplier))
         for s in slas
     ]
-    return spark.createDataFrame(rows, SLA_SCHEMA)
+    return known_rows(spark, rows, SLA_SCHEMA)
 
 
 def latest_by(df: DataFrame, timestamp: str, table: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truegrain.operators.score import ScorerConfig
+from truegrain.session import known_rows
 from truegrain.sources.contract import Contract
 
 GATE_SCHEMA = (
@@ -21,8 +22,8 @@ GATE_SCHEMA = (
 
 
 def facts_row(spark: SparkSession, facts: Mapping[str, int]) -> DataFrame:
-    """Counts that are already known, as a one-row frame of literals."""
-    return spark.sql("SELECT 1 AS one").select(*(F.lit(value).cast("long").alias(name) for name, value in facts.items()))
+    """Counts that are already known, as one local row: plain expressions of it are worked out without a job."""
+    return known_rows(spark, [tuple(facts.values())], ", ".join(f"`{name}` long" for name in facts))
 
 
 def _rows(source: DataFrame, gate: str, severity: Column) -> DataFrame:
@@ -87,7 +88,7 @@ def history_gate(spark: SparkSession, gate: str, appended: int, due: int = 1) ->
     """How many of the runs that were added the history holds, read back; fewer than were due warn, as the data itself is loaded."""
     passed = appended == due
     row = (gate, "history", "", passed, "OK" if passed else "WARN", float(appended), float(due))
-    return spark.createDataFrame([row], GATE_SCHEMA)
+    return known_rows(spark, [row], GATE_SCHEMA)
 
 
 def contract_gate(spark: SparkSession, contract: Contract, gate: str = "contract") -> DataFrame:
@@ -95,7 +96,7 @@ def contract_gate(spark: SparkSession, contract: Contract, gate: str = "contract
     notice = contract.breaking_change_notice()
     name = f"{contract.previous_version} -> {contract.version}"
     rows = [(gate, "breaking_change", name, False, "WARN", None, None)] if notice else []
-    return spark.createDataFrame(rows, GATE_SCHEMA)
+    return known_rows(spark, rows, GATE_SCHEMA)
 
 
 def transform_gate(counts: DataFrame, gate: str = "transform") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from truegrain.functions.cells import sql_text
 from truegrain.operators import measures
 from truegrain.operators.measures import MeasureSpec
+from truegrain.session import known_rows
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,7 @@ def config_frame(spark: SparkSession, configs: Sequence[ScorerConfig]) -> DataFr
         for c in configs
         for i, (name, d) in enumerate(c.dimensions.items())
     ]
-    return spark.createDataFrame(rows, CONFIG_SCHEMA)
+    return known_rows(spark, rows, CONFIG_SCHEMA)
 
 
 def block_message(dimension: Column, score: Column, floor: Column) -> Column:

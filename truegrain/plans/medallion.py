@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from truegrain.functions import cells
 from truegrain.operators import anomaly, expect, gates, score, transform
 from truegrain.plans import settings
-from truegrain.session import remove_path
+from truegrain.session import known_rows, remove_path
 from truegrain.sources import files, landing, sinks
 from truegrain.sources.contract import Contract
 
@@ -150,7 +150,7 @@ def run_orders(
 
     def ended(**layers: str | None) -> MedallionRun:
         paths = {"flagged": None, "silver": None, "gold": None, "history": None, "malformed": None, **layers}
-        rows = spark.createDataFrame(decided, gates.GATE_SCHEMA)
+        rows = known_rows(spark, decided, gates.GATE_SCHEMA)
         return MedallionRun(bronze=bronze, gate_rows=rows, completed=paths["history"] is not None, **paths)
 
     settle(gates.contract_gate(spark, contract))
@@ -180,7 +180,7 @@ def run_orders(
         return ended(malformed=broken, flagged=staged)
 
     card = score.scorecard(clean, settings.ORDERS_SPEC, config, as_of)
-    card = spark.createDataFrame(card.collect(), card.schema)  # one row, used for gate and history
+    card = spark.createDataFrame(card.toArrow(), card.schema)  # one row, used for gate and history
     if not settle(gates.score_gate(card, config, "gate_3")):
         return ended(malformed=broken, flagged=staged)
 

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def build_session(app_name: str = "truegrain", **conf: str) -> SparkSession:
@@ -58,3 +62,10 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a path through the file system it names, local or remote."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def known_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few rows that the driver already holds, as a local relation: Spark reads it without Python tasks and knows its size."""
+    fields = StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, to_arrow_schema(fields))], fields.names), fields)

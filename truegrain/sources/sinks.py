@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from truegrain.functions import cells
 from truegrain.operators.score import long_scores
-from truegrain.session import remove_path
+from truegrain.session import known_rows, remove_path
 from truegrain.sources import storage
 
 RUN_COLUMNS = ("pipeline_name", "scored_at", "total_score", "status", "hard_block_triggered")
@@ -83,7 +83,7 @@ def load_gold(spark: SparkSession, silver: str, path: str, table: str | None = N
     else:
         remove_path(spark, f"{path}/{folder}")
     line = [(passed, loaded, due.get["records_due"], table or path)]
-    return spark.createDataFrame(line, "passed boolean, records_loaded long, records_due long, table string")
+    return known_rows(spark, line, "passed boolean, records_loaded long, records_due long, table string")
 
 
 def _replacing(rows: DataFrame, *by: str) -> DataFrameWriter:
